@@ -31,23 +31,28 @@ def is_peak(ts) -> Column:
     return (h >= PEAK_START_HOUR) & (h < PEAK_END_HOUR)
 
 
+def _seconds(t: Column) -> Column:
+    """Seconds within the minute, with the fraction (decimal(8,6))."""
+    return F.date_part(F.lit("SECOND"), t)
+
+
 def floor_minutes(ts, minutes: int) -> Column:
-    """Floor a naive timestamp to a whole number of minutes within the hour."""
+    """Floor a naive timestamp to a multiple of ``minutes`` within the hour by
+    subtracting a day-time interval (no session time zone involved)."""
     t = _c(ts)
-    mins = (F.floor(F.minute(t) / minutes) * minutes).cast("int")
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), mins, F.lit(0))
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(t) % minutes, _seconds(t))
 
 
 def hour_floor(ts) -> Column:
     """top of the hour, still TIMESTAMP_NTZ."""
     t = _c(ts)
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(t), _seconds(t))
 
 
 def second_floor(ts) -> Column:
     t = _c(ts)
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
-                                F.floor(F.second(t)).cast("int"))
+    s = _seconds(t)
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), s - F.floor(s))
 
 
 def usage_date_of(ts) -> Column:

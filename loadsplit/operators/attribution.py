@@ -16,8 +16,10 @@ from loadsplit.functions.numeric import exact_avg, exact_sum, round_half_up
 
 
 def label_appliance(scored: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Cluster -> appliance (mapping has k rows)."""
-    return scored.join(F.broadcast(mapping.select("cluster", "appliance")), "cluster", "left")
+    """Cluster -> appliance. The mapping has k rows (checked by
+    ``small_table``), so it is broadcast."""
+    from loadsplit.operators.model import small_table
+    return scored.join(F.broadcast(small_table(mapping.select("cluster", "appliance"))), "cluster", "left")
 
 
 def max_distance_per_cluster(scored: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """Feature matrix, scaling, cluster assignment and the
 cluster -> appliance mapping.
 
-Global statistics (means, standard deviations, centroid count) are scalar
-subqueries: one partial+final aggregate whose single row is inlined into the
-projection - no join, no driver round trip. Centroids are k (=5) rows; they
-are expanded into literal expressions so scoring is one codegen'd projection.
+Global statistics (mean temperature, feature means and deviations) are one
+partial+final aggregate each; their single row is fetched once and inlined as
+literals, the way a fitted scaler is applied. Centroids and the cluster
+mapping are k (=5) rows: they are fetched through ``small_table`` (which
+refuses anything larger than its bound) and expanded into literal expressions
+or broadcast, so scoring is one codegen'd projection over the intervals.
 """
 
 from __future__ import annotations
@@ -30,23 +32,33 @@ def ac_proxy_int(df: DataFrame) -> DataFrame:
     return df.withColumn("ac_proxy_int", F.coalesce(F.col("ac_proxy"), F.lit(False)).cast("int"))
 
 
-def mean_of(df: DataFrame, col: str) -> Column:
-    """Exact mean of a column, rounded to 6 places, as a scalar subquery."""
-    return df.select(round_half_up(F.sum(to_decimal(col)).cast("double") / F.count(col), 6)).scalar()
+def small_table(df: DataFrame, max_rows: int = 64) -> DataFrame:
+    """Materialize a provably small table (k centroids, a mapping) as a local
+    DataFrame; fails instead of pulling an unbounded result to the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows, got more")
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def impute_mean(df: DataFrame, col: str = "temp_c") -> DataFrame:
-    """D3: null -> global mean of the non-null values."""
-    return df.withColumn(col, F.coalesce(F.col(col), mean_of(df, col)))
+def mean_of(df: DataFrame, col: str) -> float | None:
+    """Exact mean of a column, rounded to 6 places (one global aggregate)."""
+    return df.select(round_half_up(F.sum(to_decimal(col)).cast("double") / F.count(col), 6)).first()[0]
 
 
-def feature_frame(interval_features: DataFrame) -> DataFrame:
+def impute_mean(df: DataFrame, col: str = "temp_c", value: float | None = None) -> DataFrame:
+    """D3: null -> global mean of the non-null values (or a fitted ``value``)."""
+    value = mean_of(df, col) if value is None else value
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(value).cast("double")))
+
+
+def feature_frame(interval_features: DataFrame, temp_fill: float | None = None) -> DataFrame:
     """D1-D3 on silver intervals; rows without kWh cannot be clustered and are
     left out (see ``null_kwh_rows``). ``temp_raw`` keeps the unfilled value."""
     df = interval_features.where(F.col("usage_kwh").isNotNull())
     df = df.withColumn("temp_raw", F.col("temp_c"))
     df = ac_proxy_int(cyclical_hour(df))
-    return impute_mean(df, "temp_c")
+    return impute_mean(df, "temp_c", temp_fill)
 
 
 def null_kwh_rows(interval_features: DataFrame) -> DataFrame:
@@ -76,12 +88,13 @@ def standardize(df: DataFrame, cols: Sequence[str] = FEATURES, stats: DataFrame
     with the fitted scaler instead of its own statistics.
     """
     stats = scaler_stats(df, cols) if stats is None else stats
-    s = stats.select(F.struct(*[F.col(f"{p}_{c}") for c in cols for p in ("mean", "std")]).alias("s")).scalar()
+    s = stats.first()
+    zs = []
     for c in cols:
         mean, std = s[f"mean_{c}"], s[f"std_{c}"]
-        z = F.when(std > 0, (F.col(c) - mean) / std).otherwise(F.lit(0.0))
-        df = df.withColumn(f"z_{c}", round_half_up(z, 6))
-    return df
+        z = (F.col(c) - F.lit(mean)) / F.lit(std) if std and std > 0 else F.lit(0.0)
+        zs.append(round_half_up(z, 6).alias(f"z_{c}"))
+    return df.select("*", *zs)
 
 
 def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_init: int = N_INIT,
@@ -132,15 +145,15 @@ def assign_cluster(z: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEA
         for c in cols:
             term = (F.col(f"z_{c}") - F.lit(float(r[c]))) * (F.col(f"z_{c}") - F.lit(float(r[c])))
             acc = term if acc is None else acc + term
-        d2.append((int(r["cluster"]), acc))
-    best = F.least(*[e for _, e in d2])
-    z = z.withColumn("_d2", best)
+        d2.append((int(r["cluster"]), f"_d{int(r['cluster'])}", acc))
+    z = z.select("*", *[e.alias(name) for _, name, e in d2])
+    z = z.withColumn("_m", F.least(*[F.col(name) for _, name, _ in d2]))
     pick = None
-    for cid, e in d2:
-        pick = F.when(e == F.col("_d2"), F.lit(cid)) if pick is None else pick.when(e == F.col("_d2"), F.lit(cid))
-    return (z.withColumn("cluster", pick.cast("int"))
-             .withColumn("distance", round_half_up(F.sqrt("_d2"), 6))
-             .drop("_d2"))
+    for cid, name, _ in d2:
+        hit = F.col(name) == F.col("_m")
+        pick = F.when(hit, F.lit(cid)) if pick is None else pick.when(hit, F.lit(cid))
+    return (z.select("*", pick.cast("int").alias("cluster"), round_half_up(F.sqrt("_m"), 6).alias("distance"))
+             .drop("_m", *[name for _, name, _ in d2]))
 
 
 def distance_to_centroid(z: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
@@ -157,10 +170,12 @@ def distance_to_centroid(z: DataFrame, centroids: DataFrame, cols: Sequence[str]
     return z.withColumn("distance", round_half_up(F.sqrt(expr), 6))
 
 
-def centroids_original_units(scored: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
-    """Per-cluster feature means in original units."""
-    return scored.groupBy("cluster").agg(
+def centroids_original_units(scored: DataFrame, cols: Sequence[str] = FEATURES, local: bool = True) -> DataFrame:
+    """Per-cluster feature means in original units (k rows; returned as a
+    local table unless ``local=False``)."""
+    cents = scored.groupBy("cluster").agg(
         *[(F.sum(to_decimal(c)).cast("double") / F.count(c)).alias(c) for c in cols])
+    return small_table(cents) if local else cents
 
 
 def map_clusters(centroids: DataFrame) -> DataFrame:

@@ -82,9 +82,27 @@ def daily_hour_grid(weather: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return _fill(joined, [*keys, "usage_date"], "temp_c", "datetime", backward=True)
 
 
+def fill_hours(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """W2 + W3 in one pass: each observed hour looks ahead to the next one
+    (``lead``) and emits itself plus the missing hours in between, with the
+    time-weighted linear value. Same result as ``interpolate_linear(
+    hourly_spine(...))`` on a series whose ends are observed, without the
+    spine join or the global min/max."""
+    w = Window.partitionBy(*keys).orderBy("datetime")
+    nxt = hourly.select(*keys, "datetime", "temp_c",
+                        F.lead("datetime").over(w).alias("_nt"), F.lead("temp_c").over(w).alias("_nv"))
+    last = F.coalesce(F.col("_nt") - F.expr("INTERVAL 1 HOUR"), F.col("datetime"))
+    rows = nxt.select(*keys, F.col("datetime").alias("_pt"), F.col("temp_c").alias("_pv"), "_nt", "_nv",
+                      F.explode(F.sequence("datetime", last, F.expr("INTERVAL 1 HOUR"))).alias("datetime"))
+    span = F.timestamp_diff("SECOND", F.col("_pt"), F.col("_nt")).cast("double")
+    off = F.timestamp_diff("SECOND", F.col("_pt"), F.col("datetime")).cast("double")
+    value = (F.when(F.col("datetime") == F.col("_pt"), F.col("_pv"))
+             .otherwise((F.col("_nv") - F.col("_pv")) / span * off + F.col("_pv")))
+    return rows.select(*keys, "datetime", value.alias("temp_c"))
+
+
 def build_weather(station: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """S12 -> W1 -> W2 -> W3 -> W4; (datetime, temp_c) one row per hour."""
     readings = read_station_readings(station) if "DATE" in station.columns else station
-    hourly = last_of_hour(readings, keys)
-    filled = interpolate_linear(hourly_spine(hourly, keys), keys)
+    filled = fill_hours(last_of_hour(readings, keys), keys)
     return filled.select(*keys, "datetime", round_half_even("temp_c", 1).alias("temp_c"))

@@ -28,6 +28,7 @@ from loadsplit.operators import quality as Q
 from loadsplit.operators import reports as R
 from loadsplit.operators import weather as W
 from loadsplit.sources import fixtures as X
+from loadsplit.session import checkpoint_root
 from loadsplit.sources.meter_csv import read_station_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,8 +63,16 @@ def bronze(spark, d, dirty: bool = False) -> DataFrame:
     return I.to_bronze(raw).drop("loaded_at")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared checkpoint folder: later
+    passes (statistics, scoring, per-cluster maxima) re-read it instead of
+    recomputing the lineage, and a lost executor costs only a re-read."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def features(spark, d) -> DataFrame:
-    return M.feature_frame(silver(spark, d))
+    return M.feature_frame(cut(silver(spark, d)))
 
 
 def zscores(spark, d) -> DataFrame:
@@ -71,7 +80,7 @@ def zscores(spark, d) -> DataFrame:
 
 
 def scored(spark, d) -> DataFrame:
-    return M.assign_cluster(zscores(spark, d), X.fixed_centroids(spark))
+    return cut(M.assign_cluster(zscores(spark, d), X.fixed_centroids(spark)))
 
 
 def mapping(spark, d, sc: DataFrame | None = None) -> DataFrame:
@@ -373,14 +382,14 @@ def q_model_metrics(spark, d):
 
 def q_persist_model(spark, d):
     from loadsplit.session import scratch_path
-    z = zscores(spark, d)
-    stats = M.scaler_stats(features(spark, d))
+    feats = features(spark, d)
+    stats = M.scaler_stats(feats)
     cents = X.fixed_centroids(spark)
-    base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, mapping(spark, d), "v1")
+    sc0 = cut(M.assign_cluster(M.standardize(feats, stats=stats), cents))
+    base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, mapping(spark, d, sc0), "v1")
     c2, s2, m2 = M.load_model(spark, base)
-    sc = M.assign_cluster(M.standardize(features(spark, d), stats=s2), c2)
+    sc = cut(M.assign_cluster(M.standardize(feats, stats=s2), c2))
     lab = A.confidence(A.max_distance_per_cluster(A.label_appliance(sc, m2)))
-    del z
     return A.estimate_daily(lab)
 
 
