@@ -58,8 +58,7 @@ def stage(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 def run_ingest(spark: SparkSession, meter_root: str, warehouse: str, layout: str = "reference") -> DataFrame:
     """S1 -> S14 -> S2..S10 -> S15 -> Q5 -> E5 -> S16. Returns the one-row
     ingest report (rows loaded, files loaded / skipped / in error)."""
-    bronze_path = _t(warehouse, "bronze")
-    loaded = _read(spark, bronze_path)
+    loaded = _read(spark, _t(warehouse, "bronze"))
     if layout == "export":
         raw = sinks.read_meter_export(spark, meter_root)
         if loaded is not None:
@@ -72,6 +71,13 @@ def run_ingest(spark: SparkSession, meter_root: str, warehouse: str, layout: str
         paths = [r["path"] for r in listing.select("path").collect()]
         raw = S.read_meter_csv(spark, meter_root, paths=paths)
 
+    return ingest_raw(spark, raw, warehouse)
+
+
+def ingest_raw(spark: SparkSession, raw: DataFrame, warehouse: str) -> DataFrame:
+    """S2..S10 -> S15 -> Q5 -> E5 for raw rows of files not yet loaded; returns
+    the S16 report of this batch. Shared by the batch and streaming paths."""
+    bronze_path = _t(warehouse, "bronze")
     # parse the CSV text once; every later step reads the staged Parquet
     staged = stage(raw.withColumn("_bad", I.row_parse_error()), spark, "ingest-stage")
     status = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"),
