@@ -11,9 +11,11 @@ or broadcast, so scoring is one codegen'd projection over the intervals.
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsplit.constants import MAX_ITER, N_CLUSTERS, N_INIT, RANDOM_SEED
@@ -52,19 +54,75 @@ def impute_mean(df: DataFrame, col: str = "temp_c", value: float | None = None)
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(value).cast("double")))
 
 
-def feature_frame(interval_features: DataFrame, temp_fill: float | None = None) -> DataFrame:
-    """D1-D3 on silver intervals; rows without kWh cannot be clustered and are
-    left out (see ``null_kwh_rows``). ``temp_raw`` keeps the unfilled value."""
+def base_features(interval_features: DataFrame) -> DataFrame:
+    """D1 + D2 on silver intervals; rows without kWh cannot be clustered and
+    are left out (see ``null_kwh_rows``). ``temp_raw`` keeps the unfilled value."""
     df = interval_features.where(F.col("usage_kwh").isNotNull())
     df = df.withColumn("temp_raw", F.col("temp_c"))
-    df = ac_proxy_int(cyclical_hour(df))
-    return impute_mean(df, "temp_c", temp_fill)
+    return ac_proxy_int(cyclical_hour(df))
+
+
+def feature_frame(interval_features: DataFrame, temp_fill: float | None = None) -> DataFrame:
+    """``base_features`` with the temperature mean-imputed."""
+    return impute_mean(base_features(interval_features), "temp_c", temp_fill)
+
+
+def fit_features(interval_features: DataFrame) -> tuple[DataFrame, dict]:
+    """D1-D4 fit in one statistics pass: (imputed feature frame, fitted scaler)."""
+    raw = base_features(interval_features)
+    fitted = fit_scaler(raw)
+    return impute_mean(raw, "temp_c", fitted["fill"]), fitted
 
 
 def null_kwh_rows(interval_features: DataFrame) -> DataFrame:
     return interval_features.agg(F.count_if(F.col("usage_kwh").isNull()).alias("null_kwh_rows"))
 
 
+def fit_scaler(raw: DataFrame, cols: Sequence[str] = FEATURES, impute: str = "temp_c") -> dict:
+    """D3 + D4 statistics in one pass over the un-imputed feature frame.
+
+    Per feature: count, exact decimal sum and sum of squares of the non-null
+    values. The imputed column's fill is the rounded mean; with it the sums of
+    the imputed column are exact closed forms (S1 + n_null*fill,
+    S2 + n_null*fill^2), so no second pass is needed. Returns
+    ``{"fill": .., "mean_<c>": .., "std_<c>": ..}``.
+    """
+    from decimal import Decimal
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in cols:
+        d = to_decimal(c)
+        aggs += [F.count(c).alias(f"n_{c}"), F.sum(d).alias(f"s1_{c}"), F.sum(d * d).alias(f"s2_{c}")]
+    row = raw.agg(*aggs).first()
+    n = row["n"]
+    out: dict = {"n": n, "fill": None}
+    for c in cols:
+        nn = row[f"n_{c}"]
+        s1, s2 = row[f"s1_{c}"] or Decimal(0), row[f"s2_{c}"] or Decimal(0)
+        if c == impute and nn:
+            fill = math.floor(float(s1) / nn * 1e6 + 0.5) / 1e6
+            out["fill"] = fill
+            f = Decimal(repr(fill))
+            s1, s2 = s1 + (n - nn) * f, s2 + (n - nn) * f * f
+        if not n:
+            out[f"mean_{c}"], out[f"std_{c}"] = None, None
+            continue
+        mean = float(s1) / n
+        var = max(0.0, float(s2) / n - mean * mean)
+        out[f"mean_{c}"], out[f"std_{c}"] = mean, math.sqrt(var)
+    return out
+
+
+def scaler_table(spark: SparkSession, fitted: dict, cols: Sequence[str] = FEATURES) -> DataFrame:
+    """The fitted scaler as a one-row table (persisted with the model, D19)."""
+    from pyspark.sql import types as T
+    fields = [T.StructField("fill_temp_c", T.DoubleType())]
+    vals = [fitted.get("fill")]
+    for c in cols:
+        fields += [T.StructField(f"mean_{c}", T.DoubleType()), T.StructField(f"std_{c}", T.DoubleType())]
+        vals += [fitted[f"mean_{c}"], fitted[f"std_{c}"]]
+    return spark.createDataFrame([tuple(vals)], T.StructType(fields))
+
+
 def scaler_stats(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     """D4 statistics: population mean and standard deviation per feature, from
     exact decimal sums (order-independent)."""
@@ -81,14 +139,14 @@ def scaler_stats(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     return s.select(*out)
 
 
-def standardize(df: DataFrame, cols: Sequence[str] = FEATURES, stats: DataFrame | None = None) -> DataFrame:
+def standardize(df: DataFrame, cols: Sequence[str] = FEATURES, stats: DataFrame | dict | None = None) -> DataFrame:
     """Z-score with population sigma; a constant column scales to 0.
 
     ``stats`` can be a persisted one-row table (D19) so new data is scored
     with the fitted scaler instead of its own statistics.
     """
     stats = scaler_stats(df, cols) if stats is None else stats
-    s = stats.first()
+    s = stats if isinstance(stats, dict) else stats.first().asDict()
     zs = []
     for c in cols:
         mean, std = s[f"mean_{c}"], s[f"std_{c}"]
@@ -102,24 +160,29 @@ def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_i
     """MLlib KMeans on the scaled features, best of ``n_init`` seeds by
     training cost. Returns (centroids DataFrame in z-space, training cost).
 
-    The input is checkpointed (reliable, under spark.checkpoint.dir) so the
-    iterations reread a stable copy, not the whole lineage.
+    The scaled features are written once to the shared checkpoint folder and
+    the iterations read that copy, not the whole lineage.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    vec = VectorAssembler(inputCols=[f"z_{c}" for c in cols], outputCol="features").transform(z.select(
-        *[f"z_{c}" for c in cols])).select("features")
-    from loadsplit.session import checkpoint_root
-    checkpoint_root(vec.sparkSession)
-    vec = vec.checkpoint(eager=True)
+    from loadsplit.session import scratch_path
+    zcols = [f"z_{c}" for c in cols]
+    path = scratch_path(z.sparkSession, "kmeans-input")
+    z.select(*zcols).write.mode("overwrite").parquet(path)
+    vec = VectorAssembler(inputCols=zcols, outputCol="features").transform(
+        z.sparkSession.read.parquet(path)).select("features")
+    vec = vec.persist()          # blocks lost with an executor are re-read from the Parquet copy
     best = None
-    for i in range(max(1, n_init)):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features")
-        model = km.fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
+    try:
+        for i in range(max(1, n_init)):
+            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features")
+            model = km.fit(vec)
+            cost = model.summary.trainingCost
+            if best is None or cost < best[1]:
+                best = (model, cost)
+    finally:
+        vec.unpersist()
     model, cost = best
     spark = vec.sparkSession
     rows = [tuple([i] + [float(x) for x in center]) for i, center in enumerate(model.clusterCenters())]
@@ -178,34 +241,40 @@ def centroids_original_units(scored: DataFrame, cols: Sequence[str] = FEATURES,
     return small_table(cents) if local else cents
 
 
+def mapping_rows(centroids: DataFrame) -> list[tuple[int, str]]:
+    """D9 rules on the k centroid rows: lowest kWh -> baseline; highest
+    ac_proxy*temp -> hvac; lowest hour_sin -> cooking; of the remaining two
+    the lower kWh -> washer, the higher -> dryer. Ties -> lowest id. The
+    table has k rows (checked), so the rules run on the driver."""
+    rows = [r.asDict() for r in small_table(centroids).collect()]
+    if len(rows) != N_CLUSTERS:
+        raise ValueError(f"map_clusters needs exactly {N_CLUSTERS} clusters, got {len(rows)}")
+    by = {int(r["cluster"]): r for r in rows}
+    left = sorted(by)
+
+    def take(key) -> int:
+        cid = min(left, key=lambda c: (key(by[c]), c))
+        left.remove(cid)
+        return cid
+
+    def num(v):
+        return math.inf if v is None else v
+
+    def hvac_key(r):
+        a, t = r["ac_proxy_int"], r["temp_c"]
+        return math.inf if a is None or t is None else -(a * t)   # highest score first
+
+    out = [(take(lambda r: num(r["usage_kwh"])), "baseline")]
+    out.append((take(hvac_key), "hvac"))
+    out.append((take(lambda r: num(r["hour_sin"])), "cooking"))
+    out.append((take(lambda r: num(r["usage_kwh"])), "washer"))
+    out.append((left[0], "dryer"))
+    return out
+
+
 def map_clusters(centroids: DataFrame) -> DataFrame:
-    """Greedy mapping without reuse on the k-row centroid table:
-    lowest kWh -> baseline; highest ac_proxy*temp -> hvac; lowest hour_sin ->
-    cooking; the remaining two by kWh -> washer, dryer. Ties -> lowest id.
-    Fails at execution unless there are exactly 5 clusters."""
-    c = centroids.select("cluster", "usage_kwh", "hour_sin", "temp_c", "ac_proxy_int",
-                         (F.col("ac_proxy_int") * F.col("temp_c")).alias("hvac_score"))
-    n = centroids.select(F.count(F.lit(1))).scalar()
-
-    def first(df: DataFrame, *order: Column) -> DataFrame:
-        return df.orderBy(*order, F.col("cluster")).limit(1).select("cluster")
-
-    base = first(c, F.col("usage_kwh").asc())
-    rest = c.join(base, "cluster", "left_anti")
-    hvac = first(rest, F.col("hvac_score").desc())
-    rest = rest.join(hvac, "cluster", "left_anti")
-    cook = first(rest, F.col("hour_sin").asc())
-    rest = rest.join(cook, "cluster", "left_anti")
-    # two rows left; an ordered window over them is bounded by k
-    rank = F.row_number().over(Window.orderBy(F.col("usage_kwh").asc(), F.col("cluster").asc()))
-    wd = rest.select("cluster", F.when(rank == 1, F.lit("washer")).otherwise(F.lit("dryer")).alias("appliance"))
-    mapping = (base.withColumn("appliance", F.lit("baseline"))
-               .unionByName(hvac.withColumn("appliance", F.lit("hvac")))
-               .unionByName(cook.withColumn("appliance", F.lit("cooking")))
-               .unionByName(wd))
-    guard = F.when(n == N_CLUSTERS, F.col("appliance")).otherwise(
-        F.raise_error(F.lit(f"map_clusters needs exactly {N_CLUSTERS} clusters")))
-    return mapping.select(F.col("cluster").cast("int").alias("cluster"), guard.cast("string").alias("appliance"))
+    """D9 as a k-row table (cluster, appliance)."""
+    return centroids.sparkSession.createDataFrame(mapping_rows(centroids), "cluster int, appliance string")
 
 
 def persist_model(spark: SparkSession, path: str, centroids: DataFrame, stats: DataFrame,

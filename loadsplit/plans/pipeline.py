@@ -132,18 +132,20 @@ def run_disaggregate(spark: SparkSession, warehouse: str, version: str = "v1", r
     of meter-days not yet in gold."""
     model_path = _t(warehouse, "model")
     silver = spark.read.parquet(_t(warehouse, "silver_intervals")).drop("usage_date")
-    feats = M.feature_frame(silver)
     base = f"{model_path}/{version}"
     if refit or not path_exists(spark, f"{base}/centroids"):
-        stats = stage(M.scaler_stats(feats), spark, "scaler")
-        z = M.standardize(feats, stats=stats)
+        feats, fit = M.fit_features(silver)
+        z = M.standardize(feats, stats=fit)
         if centroids is None:
             centroids, _cost = M.fit_clusters(z, n_init=n_init)
         scored = stage(M.assign_cluster(z, centroids), spark, "scored")
         mapping = M.map_clusters(M.centroids_original_units(scored))
-        base = M.persist_model(spark, model_path, centroids, stats, mapping, version)
-    cents, stats, mapping = M.load_model(spark, base)
-    scored = stage(M.assign_cluster(M.standardize(feats, stats=stats), cents), spark, "scored")
+        M.persist_model(spark, model_path, centroids, M.scaler_table(spark, fit), mapping, version)
+    else:
+        cents, stats, mapping = M.load_model(spark, base)
+        fit = stats.first().asDict()
+        feats = M.feature_frame(silver, temp_fill=fit["fill_temp_c"])
+        scored = stage(M.assign_cluster(M.standardize(feats, stats=fit), cents), spark, "scored")
     labeled = A.confidence(A.max_distance_per_cluster(A.label_appliance(scored, mapping)))
     gold = A.estimate_daily(labeled)
     existing = _read(spark, _t(warehouse, "gold_estimates"))

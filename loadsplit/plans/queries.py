@@ -28,7 +28,7 @@ from loadsplit.operators import quality as Q
 from loadsplit.operators import reports as R
 from loadsplit.operators import weather as W
 from loadsplit.sources import fixtures as X
-from loadsplit.session import checkpoint_root
+from loadsplit.session import scratch_path
 from loadsplit.sources.meter_csv import read_station_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,42 +63,57 @@ def bronze(spark, d, dirty: bool = False) -> DataFrame:
     return I.to_bronze(raw).drop("loaded_at")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder: later
-    passes (statistics, scoring, per-cluster maxima) re-read it instead of
-    recomputing the lineage, and a lost executor costs only a re-read."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut the lineage with a Parquet table in the session's shared checkpoint
+    folder: later passes (statistics, scoring, per-cluster maxima) re-read it
+    instead of recomputing the plan, and a lost executor costs only a re-read.
+    (``DataFrame.checkpoint`` would compute the plan twice: once for its
+    eager count and once more to write the checkpoint files.)"""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def staged(spark, d) -> DataFrame:
+    """Silver intervals written once to the shared folder for the passes below."""
+    return cut(silver(spark, d), "silver")
+
+
+def fitted(spark, d, s: DataFrame | None = None) -> tuple[DataFrame, dict]:
+    """Imputed features of the staged silver table and the fitted scaler."""
+    return M.fit_features(s if s is not None else staged(spark, d))
 
 
 def features(spark, d) -> DataFrame:
-    return M.feature_frame(cut(silver(spark, d)))
+    return fitted(spark, d)[0]
 
 
-def zscores(spark, d) -> DataFrame:
-    return M.standardize(features(spark, d))
+def zscores(spark, d, s: DataFrame | None = None) -> DataFrame:
+    feats, fit = fitted(spark, d, s)
+    return M.standardize(feats, stats=fit)
 
 
-def scored(spark, d) -> DataFrame:
-    return cut(M.assign_cluster(zscores(spark, d), X.fixed_centroids(spark)))
+def scored(spark, d, s: DataFrame | None = None) -> DataFrame:
+    return cut(M.assign_cluster(zscores(spark, d, s), X.fixed_centroids(spark)), "scored")
 
 
 def mapping(spark, d, sc: DataFrame | None = None) -> DataFrame:
     return M.map_clusters(M.centroids_original_units(sc if sc is not None else scored(spark, d)))
 
 
-def labeled(spark, d) -> DataFrame:
-    sc = scored(spark, d)
+def labeled(spark, d, s: DataFrame | None = None) -> DataFrame:
+    sc = scored(spark, d, s)
     lab = A.label_appliance(sc, mapping(spark, d, sc))
     return A.confidence(A.max_distance_per_cluster(lab))
 
 
-def gold(spark, d) -> DataFrame:
-    return A.estimate_daily(labeled(spark, d))
+def gold(spark, d, s: DataFrame | None = None) -> DataFrame:
+    return A.estimate_daily(labeled(spark, d, s))
 
 
 def summary(spark, d) -> DataFrame:
-    return E.daily_summary(gold(spark, d), silver(spark, d))
+    s = staged(spark, d)
+    return E.daily_summary(gold(spark, d, s), s)
 
 
 def bands(spark, d) -> DataFrame:
@@ -202,11 +217,13 @@ def q_missing_weather_count(spark, d):
 
 
 def q_reconcile_totals(spark, d):
-    return Q.reconcile_totals(gold(spark, d), daily(spark, d))
+    s = staged(spark, d)
+    return Q.reconcile_totals(gold(spark, d, s), FT.daily_features(s))
 
 
 def q_hvac_temperature_response(spark, d):
-    return Q.hvac_temperature_response(gold(spark, d), silver(spark, d))
+    s = staged(spark, d)
+    return Q.hvac_temperature_response(gold(spark, d, s), s)
 
 
 def q_table_stats(spark, d):
@@ -365,7 +382,8 @@ def q_cluster_diagnostics(spark, d):
 
 
 def q_appliance_share(spark, d):
-    return A.appliance_share(gold(spark, d), daily(spark, d))
+    s = staged(spark, d)
+    return A.appliance_share(gold(spark, d, s), FT.daily_features(s))
 
 
 def q_mean_confidence_by_appliance(spark, d):
@@ -381,9 +399,8 @@ def q_model_metrics(spark, d):
 
 
 def q_persist_model(spark, d):
-    from loadsplit.session import scratch_path
-    feats = features(spark, d)
-    stats = M.scaler_stats(feats)
+    feats, fit = fitted(spark, d)
+    stats = M.scaler_table(spark, fit)
     cents = X.fixed_centroids(spark)
     sc0 = cut(M.assign_cluster(M.standardize(feats, stats=stats), cents))
     base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, mapping(spark, d, sc0), "v1")
