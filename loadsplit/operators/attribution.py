@@ -22,10 +22,16 @@ def label_appliance(scored: DataFrame, mapping: DataFrame) -> DataFrame:
     return scored.join(F.broadcast(small_table(mapping.select("cluster", "appliance"))), "cluster", "left")
 
 
-def max_distance_per_cluster(scored: DataFrame) -> DataFrame:
-    """Max distance of each cluster on every row, floored at 1e-9."""
-    m = scored.groupBy("cluster").agg(
-        F.greatest(F.max("distance"), F.lit(MIN_MAX_DISTANCE)).alias("max_distance"))
+def max_distance_per_cluster(scored: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+    """Max distance of each cluster on every row, floored at 1e-9.
+
+    ``clusters`` is the k-row table of ``model.cluster_table`` when it was
+    already computed (its ``max_distance_raw``); otherwise one aggregate."""
+    if clusters is None:
+        m = scored.groupBy("cluster").agg(F.max("distance").alias("max_distance_raw"))
+    else:
+        m = clusters.select("cluster", "max_distance_raw")
+    m = m.select("cluster", F.greatest(F.col("max_distance_raw"), F.lit(MIN_MAX_DISTANCE)).alias("max_distance"))
     return scored.join(F.broadcast(m), "cluster", "left")
 
 

@@ -233,6 +233,14 @@ def distance_to_centroid(z: DataFrame, centroids: DataFrame, cols: Sequence[str]
     return z.withColumn("distance", round_half_up(F.sqrt(expr), 6))
 
 
+def cluster_table(scored: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
+    """One pass over the scored intervals: per cluster the feature means in
+    original units (D8) and the largest distance (D11). k rows, local."""
+    return small_table(scored.groupBy("cluster").agg(
+        *[(F.sum(to_decimal(c)).cast("double") / F.count(c)).alias(c) for c in cols],
+        F.max("distance").alias("max_distance_raw")))
+
+
 def centroids_original_units(scored: DataFrame, cols: Sequence[str] = FEATURES, local: bool = True) -> DataFrame:
     """Per-cluster feature means in original units (k rows; returned as a
     local table unless ``local=False``)."""

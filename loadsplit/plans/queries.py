@@ -94,7 +94,9 @@ def zscores(spark, d, s: DataFrame | None = None) -> DataFrame:
 
 
 def scored(spark, d, s: DataFrame | None = None) -> DataFrame:
-    return cut(M.assign_cluster(zscores(spark, d, s), X.fixed_centroids(spark)), "scored")
+    """Scoring is a literal projection over staged silver: cheaper to redo per
+    pass than to write out."""
+    return M.assign_cluster(zscores(spark, d, s), X.fixed_centroids(spark))
 
 
 def mapping(spark, d, sc: DataFrame | None = None) -> DataFrame:
@@ -103,8 +105,9 @@ def mapping(spark, d, sc: DataFrame | None = None) -> DataFrame:
 
 def labeled(spark, d, s: DataFrame | None = None) -> DataFrame:
     sc = scored(spark, d, s)
-    lab = A.label_appliance(sc, mapping(spark, d, sc))
-    return A.confidence(A.max_distance_per_cluster(lab))
+    clusters = M.cluster_table(sc)                       # D8 + D11 in one pass, k rows
+    lab = A.label_appliance(sc, M.map_clusters(clusters))
+    return A.confidence(A.max_distance_per_cluster(lab, clusters))
 
 
 def gold(spark, d, s: DataFrame | None = None) -> DataFrame:
@@ -402,10 +405,10 @@ def q_persist_model(spark, d):
     feats, fit = fitted(spark, d)
     stats = M.scaler_table(spark, fit)
     cents = X.fixed_centroids(spark)
-    sc0 = cut(M.assign_cluster(M.standardize(feats, stats=stats), cents))
+    sc0 = M.assign_cluster(M.standardize(feats, stats=stats), cents)
     base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, mapping(spark, d, sc0), "v1")
     c2, s2, m2 = M.load_model(spark, base)
-    sc = cut(M.assign_cluster(M.standardize(feats, stats=s2), c2))
+    sc = M.assign_cluster(M.standardize(feats, stats=s2), c2)
     lab = A.confidence(A.max_distance_per_cluster(A.label_appliance(sc, m2)))
     return A.estimate_daily(lab)
 

@@ -39,8 +39,28 @@ METER_COLUMNS = ("esiid", "usage_date", "revision_date", "interval_start_dt", "u
                  "estimated_actual", "flow_direction")
 
 
+_SPLITS: dict[tuple[int, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """A file with one large row group scans as one task; spread such an input
+    over the session's cores. Only then: a scan with at least that many splits
+    (any input of real size) is returned untouched, so this never adds a
+    shuffle at scale. Filters and column pruning still reach the scan."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    memo = (id(spark), key) if key else None
+    splits = _SPLITS.get(memo) if memo else None
+    if splits is None:
+        splits = df.rdd.getNumPartitions()
+        if memo:
+            _SPLITS[memo] = splits
+    return df.repartition(target) if splits < target else df
 
 
 def _meter_base(spark: SparkSession, sf_dir: str) -> DataFrame:
