@@ -124,9 +124,16 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_station_readings(df: DataFrame) -> DataFrame:
-    """Pick DATE and dry-bulb, type them, drop rows with either null."""
-    ts = F.when(F.col("DATE").cast("string").isNotNull(),
-                F.coalesce(F.col("DATE").try_cast("timestamp_ntz"),
-                           F.try_to_timestamp(F.col("DATE").cast("string")).cast("timestamp_ntz")))
-    temp = F.col("HourlyDryBulbTemperature").try_cast("double")
+    """Pick DATE and dry-bulb, type them, drop rows with either null.
+    Typed columns are used as they are; strings are parsed with ``try_*``."""
+    from pyspark.sql import types as T
+    types = {f.name: f.dataType for f in df.schema.fields}
+    date = F.col("DATE")
+    if isinstance(types["DATE"], (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        ts = date.cast("timestamp_ntz")
+    else:
+        ts = F.try_to_timestamp(date.cast("string")).cast("timestamp_ntz")
+    temp = F.col("HourlyDryBulbTemperature")
+    temp = temp.cast("double") if isinstance(types["HourlyDryBulbTemperature"], T.NumericType) \
+        else temp.cast("string").try_cast("double")
     return df.select(ts.alias("reading_ts"), temp.alias("temp_c")).dropna(subset=["reading_ts", "temp_c"])
