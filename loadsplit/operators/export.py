@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsplit.constants import APPLIANCES, HOURS_PER_INTERVAL, INTERVALS_PER_DAY
+from loadsplit.constants import HOURS_PER_INTERVAL, INTERVALS_PER_DAY
 from loadsplit.functions.numeric import exact_avg, exact_sum, round_half_up
 
 
@@ -92,6 +92,3 @@ def expand_runs_to_intervals(runs: DataFrame) -> DataFrame:
     return slots.groupBy("run_date", "slot").agg(
         (exact_sum("kw") * HOURS_PER_INTERVAL).alias("kwh"))
 
-
-__all__ = ["appliance_profile", "daily_temperature", "daily_summary", "daily_summary_with_confidence",
-           "format_meter_export", "expand_runs_to_intervals", "APPLIANCES"]

@@ -32,7 +32,7 @@ def to_bronze(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     )
 
 
-def row_parse_error(raw: DataFrame | None = None) -> Column:
+def row_parse_error() -> Column:
     """True when a row would make the whole file fail to parse."""
     start = P.trim_time("USAGE_START_TIME")
     bad_start = (F.col("USAGE_DATE").isNotNull() & start.isNotNull()

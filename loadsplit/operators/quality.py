@@ -129,6 +129,15 @@ def weather_stats(weather: DataFrame) -> DataFrame:
     )
 
 
+def summary_stats(summary: DataFrame) -> DataFrame:
+    """Q9 (summary part): days and the range of daily mean temperatures."""
+    return summary.agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.min("avg_temp_c").alias("min_avg_temp_c"),
+        F.max("avg_temp_c").alias("max_avg_temp_c"),
+    )
+
+
 def daily_kwh_range(df: DataFrame, day_col: str = "usage_date", kwh_col: str = "usage_kwh") -> DataFrame:
     """Q10: min / max / mean of per-day totals."""
     per_day = df.groupBy(day_col).agg(exact_sum(kwh_col).alias("day_kwh"))

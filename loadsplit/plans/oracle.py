@@ -375,6 +375,8 @@ SELECTS: dict[str, str] = {
                    "count(DISTINCT esiid) AS n_meters FROM silver",
     "weather_stats": "SELECT count(*) AS n_hours, min(temp_c) AS min_temp_c, max(temp_c) AS max_temp_c, "
                      "min(datetime) AS first_hour, max(datetime) AS last_hour FROM weather_view",
+    "summary_stats": "SELECT count(*) AS n_days, min(avg_temp_c) AS min_avg_temp_c, "
+                     "max(avg_temp_c) AS max_avg_temp_c FROM summary",
     "daily_kwh_range": f"""
         SELECT count(*) AS n_days, min(day_kwh) AS min_day_kwh, max(day_kwh) AS max_day_kwh,
                {r(davg('day_kwh'), 6)} AS avg_day_kwh

@@ -237,6 +237,10 @@ def q_weather_stats(spark, d):
     return Q.weather_stats(weather(spark, d))
 
 
+def q_summary_stats(spark, d):
+    return Q.summary_stats(summary(spark, d))
+
+
 def q_daily_kwh_range(spark, d):
     return Q.daily_kwh_range(X.meter_view(spark, d))
 
@@ -569,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "hvac_temperature_response": q_hvac_temperature_response,
     "table_stats": q_table_stats,
     "weather_stats": q_weather_stats,
+    "summary_stats": q_summary_stats,
     "daily_kwh_range": q_daily_kwh_range,
     # 2.3
     "last_of_hour": q_last_of_hour,

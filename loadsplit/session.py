@@ -7,7 +7,6 @@ On a cluster the scratch location is the shared folder named by
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,6 +68,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
-
-
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists", "local_path", "os"]
