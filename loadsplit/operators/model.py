@@ -215,6 +215,10 @@ def assign_cluster(z: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEA
     for cid, name, _ in d2:
         hit = F.col(name) == F.col("_m")
         pick = F.when(hit, F.lit(cid)) if pick is None else pick.when(hit, F.lit(cid))
+    # ELSE -1 (only reachable with null features) keeps ``cluster`` non-nullable,
+    # so joins on it do not infer an IsNotNull filter that would inline the
+    # whole distance computation a second time
+    pick = pick.otherwise(F.lit(-1))
     return (z.select("*", pick.cast("int").alias("cluster"), round_half_up(F.sqrt("_m"), 6).alias("distance"))
              .drop("_m", *[name for _, name, _ in d2]))
 

@@ -107,7 +107,7 @@ def core(p: str, intervals: str) -> list[tuple[str, str]]:
                    for c in FEATS)
     ds = ", ".join(f"{_dist(row)} AS d{row[0]}" for row in FIXED_CENTROIDS)
     ids = [row[0] for row in FIXED_CENTROIDS]
-    pick = "CASE " + " ".join(f"WHEN d{i} = _m THEN {i}" for i in ids) + " END"
+    pick = "CASE " + " ".join(f"WHEN d{i} = _m THEN {i}" for i in ids) + " ELSE -1 END"
     dcols = ", ".join(f"d{i}" for i in ids)
     means = ", ".join(f"{davg(c)} AS {c}" for c in FEATS)
     sums = (f"{r(dsum('estimated_kwh'), 4)} AS total_kwh, "
