@@ -36,6 +36,7 @@ from loadsplit.sources import meter_csv as S
 from loadsplit.sources import sinks
 
 BROADCAST_WEATHER_MAX_ROWS = 2_000_000   # ~228 station-years of hours
+LAYOUT = ("usage_date", "esiid")          # range clustering of the large stage tables
 
 
 def _t(warehouse: str, name: str) -> str:
@@ -86,7 +87,7 @@ def ingest_raw(spark: SparkSession, raw: DataFrame, warehouse: str) -> DataFrame
     rows = I.to_bronze(good.drop("_bad"))
     Q.quality_report(rows).withColumn("checked_at", F.current_timestamp()) \
         .write.mode("append").parquet(_t(warehouse, "quality"))
-    sinks.write_table(rows, bronze_path, partition_by="usage_date", mode="append")
+    sinks.write_table(rows, bronze_path, partition_by="usage_date", mode="append", cluster_by=LAYOUT)
     ok = ~F.col("has_error")
     return status.agg(
         F.coalesce(F.sum(F.when(ok, F.col("n_rows"))), F.lit(0)).cast("long").alias("rows_loaded"),
@@ -117,7 +118,7 @@ def run_features(spark: SparkSession, warehouse: str) -> DataFrame:
     if existing is not None:
         feats = FT.append_new_dates(existing, feats)
     feats = stage(feats, spark, "silver-stage")
-    sinks.write_table(feats, _t(warehouse, "silver_intervals"), mode="append")
+    sinks.write_table(feats, _t(warehouse, "silver_intervals"), mode="append", cluster_by=LAYOUT)
     daily = FT.daily_features(feats.drop("usage_date"))
     sinks.write_table(daily, _t(warehouse, "silver_daily"), mode="append")
     return spark.read.parquet(_t(warehouse, "silver_daily"))
@@ -151,7 +152,7 @@ def run_disaggregate(spark: SparkSession, warehouse: str, version: str = "v1", r
     existing = _read(spark, _t(warehouse, "gold_estimates"))
     if existing is not None:
         gold = FT.append_new_dates(existing, gold)
-    sinks.write_table(gold, _t(warehouse, "gold_estimates"), mode="append")
+    sinks.write_table(gold, _t(warehouse, "gold_estimates"), mode="append", cluster_by=LAYOUT)
     return spark.read.parquet(_t(warehouse, "gold_estimates"))
 
 

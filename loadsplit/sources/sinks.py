@@ -12,9 +12,19 @@ from pyspark.sql import functions as F
 from loadsplit import schemas
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "usage_date", mode: str = "append") -> None:
+def write_table(df: DataFrame, path: str, partition_by: str | None = "usage_date", mode: str = "append",
+                cluster_by: tuple[str, ...] | None = None) -> None:
     """E5: persist a stage; ``mode='overwrite'`` replaces only the partitions
-    present in ``df`` (dynamic partition overwrite)."""
+    present in ``df`` (dynamic partition overwrite).
+
+    ``cluster_by`` (e.g. ``("usage_date", "esiid")``) range-partitions the rows
+    and sorts them within each task before writing: each date directory gets
+    a few large files instead of one per task, a date holding a large share
+    of rows is split across several tasks by the second key, and the sort
+    tightens Parquet min/max statistics for pushdown on ``esiid``.
+    """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(partition_by)
