@@ -40,10 +40,13 @@ def get_spark(master: str | None = None, app: str = "loadsplit",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="loadsplit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - a core setting may be read-only at runtime
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
