@@ -65,7 +65,7 @@ def band_dryer(kwh, hour) -> Column:
 VARIABLE_BANDS = ("hvac", "morning", "cooking", "washer", "dryer")
 
 
-def headroom_scale(kwh, baseline, variable_sum) -> Column:
+def scale_to_headroom(kwh, baseline, variable_sum) -> Column:
     """Factor that shrinks the variable bands into max(0, kWh - baseline)."""
     available = _pos(_c(kwh) - _c(baseline))
     vs = _c(variable_sum)

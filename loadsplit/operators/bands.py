@@ -58,7 +58,7 @@ def load_bands(df: DataFrame, fill_temp: bool = True) -> DataFrame:
         B.band_dryer(k, h).alias("dryer"),
     )
     vsum = F.col("hvac") + F.col("morning") + F.col("cooking") + F.col("washer") + F.col("dryer")
-    scale = B.headroom_scale(k, "baseline", vsum)
+    scale = B.scale_to_headroom(k, "baseline", vsum)
     scaled = raw.select("esiid", "interval_start_dt", k, h, t, "baseline",
                         *[(F.col(b) * scale).alias(b) for b in B.VARIABLE_BANDS])
     other = B.band_other(k, "baseline", *B.VARIABLE_BANDS)

@@ -25,6 +25,12 @@ def join_weather(intervals: DataFrame, weather: DataFrame, broadcast_weather: bo
     return intervals.withColumn("hour_dt", C.hour_floor("interval_start_dt")).join(w, "hour_dt", "left")
 
 
+def ac_proxy(temp="temp_c"):
+    """cooling flag, temp > 23 C; a missing temperature counts as false."""
+    t = F.col(temp) if isinstance(temp, str) else temp
+    return F.coalesce(t > AC_PROXY_TEMP_C, F.lit(False))
+
+
 def interval_features(intervals: DataFrame, weather: DataFrame, broadcast_weather: bool = False) -> DataFrame:
     """F8: F1-F7 composed, the 9-column silver layout."""
     j = join_weather(intervals, weather, broadcast_weather)
@@ -38,7 +44,7 @@ def interval_features(intervals: DataFrame, weather: DataFrame, broadcast_weathe
         C.is_weekend(ts).alias("is_weekend"),
         C.is_peak(ts).alias("is_peak"),
         F.col("temp_c"),
-        F.coalesce(F.col("temp_c") > AC_PROXY_TEMP_C, F.lit(False)).alias("ac_proxy"),
+        ac_proxy("temp_c").alias("ac_proxy"),
     )
 
 

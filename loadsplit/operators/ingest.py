@@ -32,6 +32,12 @@ def to_bronze(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     )
 
 
+def trim_times(raw: DataFrame) -> DataFrame:
+    """Trim both time strings in place (' 24:00' -> '24:00', never parsed)."""
+    return (raw.withColumn("USAGE_START_TIME", P.trim_time("USAGE_START_TIME"))
+               .withColumn("USAGE_END_TIME", P.trim_time("USAGE_END_TIME")))
+
+
 def row_parse_error() -> Column:
     """True when a row would make the whole file fail to parse."""
     start = P.trim_time("USAGE_START_TIME")

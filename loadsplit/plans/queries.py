@@ -139,9 +139,9 @@ def q_clean_esiid(spark, d):
 
 
 def q_trim_times(spark, d):
-    r = X.raw_meter_view(spark, d)
-    return r.select("source_file", P.trim_time("USAGE_START_TIME").alias("interval_start"),
-                    P.trim_time("USAGE_END_TIME").alias("interval_end"))
+    r = I.trim_times(X.raw_meter_view(spark, d))
+    return r.select("source_file", F.col("USAGE_START_TIME").alias("interval_start"),
+                    F.col("USAGE_END_TIME").alias("interval_end"))
 
 
 def q_parse_usage_date(spark, d):
@@ -303,7 +303,8 @@ def q_join_weather(spark, d):
 
 
 def q_ac_proxy(spark, d):
-    return silver(spark, d).select("esiid", "interval_start_dt", "temp_c", "ac_proxy")
+    return silver(spark, d).select("esiid", "interval_start_dt", "temp_c",
+                                   FT.ac_proxy("temp_c").alias("ac_proxy"))
 
 
 def q_interval_features(spark, d):
@@ -494,13 +495,13 @@ def _band(name):
     return q
 
 
-def q_headroom_scale(spark, d):
+def q_scale_to_headroom(spark, d):
     s = B.fill_day_mean_temp(silver(spark, d))
     k, h, t = "usage_kwh", "hour_of_day", "temp_c"
     base = BF.band_baseline(k)
     vsum = BF.band_hvac(k, h, t) + BF.band_morning(k, h) + BF.band_cooking(k, h) + BF.band_washer(k, h) \
         + BF.band_dryer(k, h)
-    return s.select("esiid", "interval_start_dt", k, BF.headroom_scale(k, base, vsum).alias("scale"))
+    return s.select("esiid", "interval_start_dt", k, BF.scale_to_headroom(k, base, vsum).alias("scale"))
 
 
 def q_load_bands(spark, d):
@@ -638,7 +639,7 @@ QUERIES: dict[str, Query] = {
     "band_cooking": _band("cooking"),
     "band_washer": _band("washer"),
     "band_dryer": _band("dryer"),
-    "scale_to_headroom": q_headroom_scale,
+    "scale_to_headroom": q_scale_to_headroom,
     "band_other": _band("other"),
     "load_bands": q_load_bands,
     "bands_long": q_bands_long,

@@ -101,11 +101,14 @@ def _scan(spark, paths, schema, root, recursive: bool) -> DataFrame:
               .schema(schema))
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", METER_FILE_GLOB)
-    df = reader.csv(paths)
-    df = normalize_headers(df)
-    path = F.col("_metadata.file_path")
-    df = df.where(path.rlike(METER_PATH_REGEX))
-    return df.select(*[F.col(c) for c in df.columns], relative_source_file(path, root).alias("source_file"))
+    df = normalize_headers(reader.csv(paths))
+    return with_lineage(df.where(F.col("_metadata.file_path").rlike(METER_PATH_REGEX)), root)
+
+
+def with_lineage(df: DataFrame, root: str) -> DataFrame:
+    """``source_file`` relative to the data root, from the scan's file
+    metadata (the load timestamp is added by ``to_bronze``)."""
+    return df.withColumn("source_file", relative_source_file(F.col("_metadata.file_path"), root))
 
 
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
