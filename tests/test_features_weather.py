@@ -70,3 +70,15 @@ def test_dedupe_keeps_first_row_of_hour(spark):
     row = W.dedupe_hour(wx).first()
     assert row["temp_c"] == 1.0 and row["datetime"] == dt.datetime(2025, 5, 1, 10)
     assert W.dedupe_hour(wx).select(F.count("*")).first()[0] == 1
+
+
+def test_stations_fill_independently(spark):
+    r = spark.createDataFrame([("a", ts("2025-05-01 10:00:00"), 10.0), ("a", ts("2025-05-01 12:00:00"), 14.0),
+                               ("b", ts("2025-05-01 10:30:00"), 0.0), ("b", ts("2025-05-01 13:00:00"), 3.0)],
+                              "station string, reading_ts timestamp_ntz, temp_c double")
+    out = {(x["station"], x["datetime"].hour): x["temp_c"]
+           for x in W.build_weather(r, keys=["station"]).collect()}
+    assert out == {("a", 10): 10.0, ("a", 11): 12.0, ("a", 12): 14.0,
+                   ("b", 10): 0.0, ("b", 11): 1.0, ("b", 12): 2.0, ("b", 13): 3.0}
+    plan = W.build_weather(r, keys=["station"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(station" in plan
