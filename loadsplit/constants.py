@@ -32,7 +32,20 @@ REVISION_TS_FORMAT = "MM/dd/yyyy HH:mm:ss"
 METER_FILE_GLOB = "????????.csv"
 METER_PATH_REGEX = r"/\d{4}/\d{2}/\d{8}\.csv$"
 
-# rule-based load bands (dashboard)
+# per-file quality warnings (Q5): texts and separator
+ISSUE_SEPARATOR = "; "
+ISSUE_INTERVAL_COUNT = "expected {expected} intervals, got %d"
+ISSUE_NULL_KWH = "%d null usage_kwh values"
+ISSUE_NEGATIVE_KWH = "%d negative usage_kwh values"
+ISSUE_DUPLICATES = "%d duplicate intervals"
+
+# rule-based load bands (dashboard); hour windows are inclusive
+BAND_HVAC_DAY_HOURS = (10, 22)
+BAND_MORNING_HOURS = (6, 8)
+BAND_COOKING_EVENING_HOURS = (18, 20)
+BAND_COOKING_NOON_HOURS = (12, 13)
+BAND_WASHER_HOURS = (8, 17)
+BAND_DRYER_HOURS = (9, 18)
 BAND_BASELINE_CAP = 0.15
 BAND_HOT_C = 23.0
 BAND_HVAC_SPAN_C = 15.0

@@ -31,7 +31,7 @@ def band_hvac(kwh, hour, temp) -> Column:
     k, h, t = _c(kwh), _c(hour), _c(temp)
     hot = F.coalesce(t > K.BAND_HOT_C, F.lit(False))
     excess = k * (t - K.BAND_HOT_C) / K.BAND_HVAC_SPAN_C
-    return (F.when(hot & h.between(10, 22), _pos(excess * K.BAND_HVAC_DAY_FACTOR))
+    return (F.when(hot & h.between(*K.BAND_HVAC_DAY_HOURS), _pos(excess * K.BAND_HVAC_DAY_FACTOR))
             .when(hot, _pos(excess * K.BAND_HVAC_NIGHT_FACTOR))
             .otherwise(F.lit(0.0)))
 
@@ -39,27 +39,27 @@ def band_hvac(kwh, hour, temp) -> Column:
 def band_morning(kwh, hour) -> Column:
     """B6."""
     k, h = _c(kwh), _c(hour)
-    return F.when(h.between(6, 8) & (k > K.BAND_MORNING_MIN_KWH), _pos(k * K.BAND_MORNING_FACTOR)).otherwise(F.lit(0.0))
+    return F.when(h.between(*K.BAND_MORNING_HOURS) & (k > K.BAND_MORNING_MIN_KWH), _pos(k * K.BAND_MORNING_FACTOR)).otherwise(F.lit(0.0))
 
 
 def band_cooking(kwh, hour) -> Column:
     """B7."""
     k, h = _c(kwh), _c(hour)
-    return (F.when(h.between(18, 20), _pos(k * K.BAND_COOKING_EVENING))
-            .when(h.between(12, 13), _pos(k * K.BAND_COOKING_NOON))
+    return (F.when(h.between(*K.BAND_COOKING_EVENING_HOURS), _pos(k * K.BAND_COOKING_EVENING))
+            .when(h.between(*K.BAND_COOKING_NOON_HOURS), _pos(k * K.BAND_COOKING_NOON))
             .otherwise(F.lit(0.0)))
 
 
 def band_washer(kwh, hour) -> Column:
     """B8."""
     k, h = _c(kwh), _c(hour)
-    return F.when(h.between(8, 17) & (k > K.BAND_WASHER_MIN_KWH), _pos(k * K.BAND_WASHER_FACTOR)).otherwise(F.lit(0.0))
+    return F.when(h.between(*K.BAND_WASHER_HOURS) & (k > K.BAND_WASHER_MIN_KWH), _pos(k * K.BAND_WASHER_FACTOR)).otherwise(F.lit(0.0))
 
 
 def band_dryer(kwh, hour) -> Column:
     """B9."""
     k, h = _c(kwh), _c(hour)
-    return F.when(h.between(9, 18) & (k > K.BAND_DRYER_MIN_KWH), _pos(k * K.BAND_DRYER_FACTOR)).otherwise(F.lit(0.0))
+    return F.when(h.between(*K.BAND_DRYER_HOURS) & (k > K.BAND_DRYER_MIN_KWH), _pos(k * K.BAND_DRYER_FACTOR)).otherwise(F.lit(0.0))
 
 
 VARIABLE_BANDS = ("hvac", "morning", "cooking", "washer", "dryer")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadsplit import constants as K
 from loadsplit.constants import INTERVALS_PER_DAY
 from loadsplit.functions.numeric import exact_avg, exact_sum, round_half_up
 
@@ -61,13 +62,12 @@ def quality_report(df: DataFrame, expected: int = INTERVALS_PER_DAY) -> DataFram
     """Q5: Q1-Q4 in one row per file plus the issue text joined by '; '."""
     c = file_checks(df)
     issues = F.concat_ws(
-        "; ",
+        K.ISSUE_SEPARATOR,
         F.when(F.col("n_intervals") != expected,
-               F.format_string(f"expected {expected} intervals, got %d", F.col("n_intervals"))),
-        F.when(F.col("null_kwh") > 0, F.format_string("%d null usage_kwh values", F.col("null_kwh"))),
-        F.when(F.col("negative_kwh") > 0, F.format_string("%d negative usage_kwh values", F.col("negative_kwh"))),
-        F.when(F.col("duplicate_intervals") > 0,
-               F.format_string("%d duplicate intervals", F.col("duplicate_intervals"))),
+               F.format_string(K.ISSUE_INTERVAL_COUNT.format(expected=expected), F.col("n_intervals"))),
+        F.when(F.col("null_kwh") > 0, F.format_string(K.ISSUE_NULL_KWH, F.col("null_kwh"))),
+        F.when(F.col("negative_kwh") > 0, F.format_string(K.ISSUE_NEGATIVE_KWH, F.col("negative_kwh"))),
+        F.when(F.col("duplicate_intervals") > 0, F.format_string(K.ISSUE_DUPLICATES, F.col("duplicate_intervals"))),
     )
     return c.withColumn("issues", issues)
 
