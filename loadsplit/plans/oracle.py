@@ -518,6 +518,7 @@ SELECTS: dict[str, str] = {
     # 2.8
     "build_weather": "SELECT * FROM weather_view",
     "run_ingest": "SELECT * FROM bronze_dirty WHERE source_file NOT IN (SELECT source_file FROM bad_files)",
+    "ingest_incremental": "SELECT * FROM bronze_dirty WHERE source_file NOT IN (SELECT source_file FROM bad_files)",
     "run_features": "SELECT * FROM b_daily",
     "run_export": "SELECT * FROM b_summary",
 }

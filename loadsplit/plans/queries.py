@@ -652,6 +652,7 @@ QUERIES: dict[str, Query] = {
     # 2.8
     "build_weather": q_build_weather,
     "run_ingest": _pipeline("run_ingest"),
+    "ingest_incremental": _pipeline("ingest_incremental"),
     "run_features": _pipeline("run_features"),
     "run_disaggregate": _pipeline("run_disaggregate"),
     "run_export": _pipeline("run_export"),

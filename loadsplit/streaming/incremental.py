@@ -23,19 +23,36 @@ from loadsplit.sources.meter_csv import normalize_headers, relative_source_file
 METER_GLOB = "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9][0-9][0-9][0-9][0-9][0-9][0-9].csv"
 
 
-def meter_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming twin of ``read_meter_csv``: all strings plus ``source_file``."""
+EXPORT_GLOB = "year=[0-9]*/month=[0-9]*/day=[0-9]*/*.csv"
+
+
+def meter_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
+                 layout: str = "reference") -> DataFrame:
+    """Streaming twin of ``read_meter_csv``: all strings plus ``source_file``.
+
+    ``layout='export'`` reads the directory-per-day layout of the E8 sink,
+    where one logical file (a day) is several part files committed together.
+    Do not cap files per trigger there: the file-level rules (skip loaded,
+    quarantine) need all parts of a day in the same micro-batch."""
     reader = spark.readStream.schema(schemas.RAW_METER).option("header", "true")
+    if max_files_per_trigger and layout == "export":
+        raise ValueError("the export layout splits a day into part files; do not cap files per trigger")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = normalize_headers(reader.csv(f"{root.rstrip('/')}/{METER_GLOB}"))
+    glob = EXPORT_GLOB if layout == "export" else METER_GLOB
+    df = normalize_headers(reader.csv(f"{root.rstrip('/')}/{glob}"))
     path = F.col("_metadata.file_path")
+    if layout == "export":
+        parts = F.regexp_extract(path, r"year=(\d{4})/month=(\d{2})/day=(\d{8})/", 0)
+        src = F.concat_ws("/", F.regexp_extract(parts, r"year=(\d{4})", 1), F.regexp_extract(parts, r"month=(\d{2})", 1),
+                          F.concat(F.regexp_extract(parts, r"day=(\d{8})", 1), F.lit(".csv")))
+        return df.select(*schemas.RAW_METER.fieldNames(), src.alias("source_file"))
     return (df.where(path.rlike(METER_PATH_REGEX))
               .select(*schemas.RAW_METER.fieldNames(), relative_source_file(path, root).alias("source_file")))
 
 
 def ingest_incremental(spark: SparkSession, root: str, warehouse: str, checkpoint: str,
-                       max_files_per_trigger: int | None = None) -> list[dict]:
+                       max_files_per_trigger: int | None = None, layout: str = "reference") -> list[dict]:
     """Run the stream until every file present now is processed; returns the
     per-batch ingest reports."""
     from loadsplit.plans.pipeline import _t, ingest_raw
@@ -50,7 +67,7 @@ def ingest_incremental(spark: SparkSession, root: str, warehouse: str, checkpoin
         rep["epoch"] = epoch_id
         reports.append(rep)
 
-    q = (meter_stream(spark, root, max_files_per_trigger).writeStream
+    q = (meter_stream(spark, root, max_files_per_trigger, layout).writeStream
          .foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
