@@ -16,6 +16,8 @@ def day_intervals(interval_features: DataFrame, date: str) -> DataFrame:
     ts = F.col("interval_start_dt")
     lo = F.to_timestamp_ntz(F.lit(date))
     hi = F.to_timestamp_ntz(F.date_add(F.lit(date).cast("date"), 1).cast("string"))
+    if "usage_date" in interval_features.columns:      # stage table: prune partitions
+        interval_features = interval_features.where(F.col("usage_date") == F.lit(date).cast("date"))
     return (interval_features.where((ts >= lo) & (ts < hi))
             .select("esiid", "interval_start_dt", "usage_kwh", "hour_of_day", "temp_c")
             .orderBy("interval_start_dt", "esiid"))
