@@ -30,6 +30,7 @@ from loadsplit.operators import weather as W
 from loadsplit.sources import fixtures as X
 from loadsplit.session import scratch_path
 from loadsplit.sources.meter_csv import read_station_readings
+from loadsplit.sources.sinks import read_summary_csv, reset_table, write_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -437,16 +438,12 @@ def q_daily_summary_with_confidence(spark, d):
 
 
 def q_write_table(spark, d):
-    from loadsplit.sources.sinks import write_table
-    from loadsplit.session import scratch_path
     path = scratch_path(spark, "gold")
     write_table(gold(spark, d), path, partition_by="usage_date")
     return spark.read.parquet(path).select("esiid", "usage_date", "appliance", "estimated_kwh", "confidence")
 
 
 def q_reset_table(spark, d):
-    from loadsplit.sources.sinks import reset_table, write_table
-    from loadsplit.session import scratch_path
     path = scratch_path(spark, "silver-daily")
     write_table(daily(spark, d).where(F.col("usage_date") < F.lit(LOADED_BEFORE).cast("date")), path,
                 partition_by="usage_date")
@@ -456,8 +453,6 @@ def q_reset_table(spark, d):
 
 
 def q_write_csv(spark, d):
-    from loadsplit.sources.sinks import read_summary_csv, write_csv
-    from loadsplit.session import scratch_path
     path = scratch_path(spark, "summary-csv")
     write_csv(summary(spark, d), path)
     return read_summary_csv(spark, path)
