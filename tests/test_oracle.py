@@ -9,7 +9,8 @@ NAMES = ["to_bronze", "quarantine_bad_files", "ingest_report", "quality_report",
          "daily_hour_grid", "interval_features", "daily_features", "append_new_dates", "standardize",
          "assign_cluster", "map_clusters", "estimate_daily", "appliance_profile", "daily_summary",
          "load_bands", "average_attribution", "expand_runs_to_intervals", "format_meter_export",
-         "hvac_temperature_response"]
+         "hvac_temperature_response", "clean_esiid", "coerce_kwh", "parse_usage_date", "reconcile_totals",
+         "cluster_diagnostics", "day_intervals", "model_metrics", "ingest_incremental"]
 
 
 @pytest.fixture(scope="module")
