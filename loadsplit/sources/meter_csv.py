@@ -16,11 +16,6 @@ from loadsplit import schemas
 from loadsplit.constants import METER_FILE_GLOB, METER_PATH_REGEX, RAW_COLUMNS
 
 
-def _root_uri(root: str) -> str:
-    root = root.rstrip("/")
-    return root if ":" in root.split("/")[0] else "file:" + root
-
-
 def list_meter_files(spark: SparkSession, root: str) -> DataFrame:
     """Distributed listing of meter files (path, relative source_file, size).
 
