@@ -30,7 +30,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > 3 * n_words",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "exclamations": "10 * n_exclaims > 3 * n_words",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 15 * n_words",
