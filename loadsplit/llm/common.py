@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for
+    clusters where it is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loadsplit_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="loadsplit-code-"), "loadsplit_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(os.path.join(top, "loadsplit")):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), top))
+    sc.addPyFile(path)
+    sc._loadsplit_shipped = True
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character keeps its form."""
     return F.translate(c, UPPER, LOWER)

@@ -100,7 +100,16 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
         yield held
 
 
-_built: dict[int, list[WuManber]] = {}
+_built: dict[tuple[int, int], list[WuManber]] = {}
+
+
+def _tables(block, window: int) -> list[WuManber]:
+    """The tables of a broadcast block, made once per worker."""
+    key = id(block), window
+    if key not in _built:
+        _built.clear()
+        _built[key] = build(block.value, window)
+    return _built[key]
 
 
 def _digest(hits: list[list[int]], items: list[list[str]]) -> tuple[list[pa.Array], list[str]]:
@@ -122,10 +131,7 @@ def _search_pass(block, window: int, last: bool):
     ``_items``; the last pass turns them into the digest columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(block) not in _built:
-            _built.clear()
-            _built[id(block)] = build(block.value, window)
-        tables = _built[id(block)]
+        tables = _tables(block, window)
         for batch in batches:
             names = batch.schema.names
             col = {c: batch.column(i) for i, c in enumerate(names)}

@@ -3,11 +3,15 @@ with its production parameters to its whole table."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, sharding, url_filter
-from .common import table
+from loadsplit.session import scratch_path
+
+from . import decontaminate, piece_nbest, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
+from .common import ship, table
 
 #: fixed values: rules of the url query (verdict, host, path)
 URL_RULES = (
@@ -21,6 +25,26 @@ URL_RULES = (
 LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
+#: id that ends a document in the token files
+END_ID = 2
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file, the same on every machine of a cluster."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, d, "documents"), path, vocabulary("word_bpe_49k.json"), END_ID)
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
 def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents")) \
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
@@ -30,10 +54,22 @@ def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.measure(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op5_piece_nbest(spark: SparkSession, d: str) -> DataFrame:
+    return piece_nbest.digest(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, d, "documents"), texts=False).drop("removed")
+
+
 def op7_shards(spark: SparkSession, d: str) -> DataFrame:
     return sharding.assign_shards(table(spark, d, "documents"))
 
 
+def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.components(table(spark, d, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     """The list holds the urls of the pages on LISTED_SITES, whatever their subdomain."""
     pages = table(spark, d, "pages")
@@ -41,9 +77,15 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.filter_urls(pages, pages.where(site.isin(*LISTED_SITES)), URL_RULES)
 
 
-QUERIES = {
-    "op3_quality_rules": op3_quality_rules,
-    "op4_decontaminate": op4_decontaminate,
-    "op7_shards": op7_shards,
-    "op10_url_filter": op10_url_filter,
-}
+def _shipped(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        ship(spark)
+        return query(spark, d)
+
+    return run
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (
+    op1_toxicity, op2_token_files, op3_quality_rules, op4_decontaminate, op5_piece_nbest, op6_substring_dedup, op7_shards,
+    op9_simhash, op10_url_filter)}
