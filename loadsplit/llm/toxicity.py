@@ -167,7 +167,7 @@ def _row(features: dict[int, float]) -> np.ndarray:
     return x
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps, drawn towards the prior."""
     start = w = prior()
     for _ in range(rounds):
