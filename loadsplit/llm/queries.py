@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loadsplit.session import scratch_path
 
-from . import decontaminate, piece_nbest, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
+from . import decontaminate, html_text, piece_nbest, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
 from .common import ship, table
 
 #: fixed values: rules of the url query (verdict, host, path)
@@ -66,6 +66,10 @@ def op7_shards(spark: SparkSession, d: str) -> DataFrame:
     return sharding.assign_shards(table(spark, d, "documents"))
 
 
+def op8_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract(table(spark, d, "pages"))
+
+
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.components(table(spark, d, "documents"))
 
@@ -88,4 +92,4 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_toxicity, op2_token_files, op3_quality_rules, op4_decontaminate, op5_piece_nbest, op6_substring_dedup, op7_shards,
-    op9_simhash, op10_url_filter)}
+    op8_html_text, op9_simhash, op10_url_filter)}
