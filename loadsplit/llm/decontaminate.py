@@ -22,6 +22,7 @@ empty tables are allowed on either side. Other input columns are carried by
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -100,16 +101,15 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
         yield held
 
 
-_built: dict[tuple[int, int], list[WuManber]] = {}
+_built: dict[str, list[WuManber]] = {}
 
 
-def _tables(block, window: int) -> list[WuManber]:
-    """The tables of a broadcast block, made once per worker."""
-    key = id(block), window
-    if key not in _built:
+def _tables(block, name: str, window: int) -> list[WuManber]:
+    """The tables of a broadcast block of that unique name, made once per worker."""
+    if name not in _built:
         _built.clear()
-        _built[key] = build(block.value, window)
-    return _built[key]
+        _built[name] = build(block.value, window)
+    return _built[name]
 
 
 def _digest(hits: list[list[int]], items: list[list[str]]) -> tuple[list[pa.Array], list[str]]:
@@ -130,8 +130,10 @@ def _search_pass(block, window: int, last: bool):
     """A mapInArrow function that adds the block's occurrences to ``_hits`` and
     ``_items``; the last pass turns them into the digest columns."""
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(block, window)
+        tables = _tables(block, name, window)
         for batch in batches:
             names = batch.schema.names
             col = {c: batch.column(i) for i, c in enumerate(names)}

@@ -242,7 +242,7 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", out: str = "
             texts = [model.decode(values[s:e].tolist()) for s, e in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
 
-    return coded.mapInArrow(run, coded.schema.add(out, "string"))
+    return coded.mapInArrow(run, T.StructType([*coded.schema.fields, T.StructField(out, T.StringType())]))
 
 
 def digest(docs: DataFrame, model_path: str, n_best: int = N_BEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
