@@ -27,17 +27,18 @@ RAW_COLUMNS = (
     "USAGE_END_TIME", "USAGE_KWH", "ESTIMATED_ACTUAL",
     "CONSUMPTION_SURPLUSGENERATION",
 )
-USAGE_DATE_FORMAT = "MM/dd/yyyy"
-REVISION_TS_FORMAT = "MM/dd/yyyy HH:mm:ss"
+USAGE_DATE_FORMAT = "M/d/yyyy"           # one or two digits, as the reference's parser takes them
+REVISION_TS_FORMAT = "M/d/yyyy H:m:s"
+INTERVAL_START_FORMAT = "yyyy-MM-dd H:m"
 METER_FILE_GLOB = "????????.csv"
-METER_PATH_REGEX = r"/\d{4}/\d{2}/\d{8}\.csv$"
+METER_PATH_REGEX = r"^\d{4}/\d{2}/\d{8}\.csv$"   # below the data root
 
 # per-file quality warnings (Q5): texts and separator
 ISSUE_SEPARATOR = "; "
-ISSUE_INTERVAL_COUNT = "expected {expected} intervals, got %d"
-ISSUE_NULL_KWH = "%d null usage_kwh values"
-ISSUE_NEGATIVE_KWH = "%d negative usage_kwh values"
-ISSUE_DUPLICATES = "%d duplicate intervals"
+ISSUE_INTERVAL_COUNT = "file holds %d rows instead of {expected}"
+ISSUE_NULL_KWH = "kWh missing in %d rows"
+ISSUE_NEGATIVE_KWH = "kWh below zero in %d rows"
+ISSUE_DUPLICATES = "%d rows repeat a meter and slot"
 
 # rule-based load bands (dashboard); hour windows are inclusive
 BAND_HVAC_DAY_HOURS = (10, 22)

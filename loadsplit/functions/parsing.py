@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loadsplit.constants import REVISION_TS_FORMAT, USAGE_DATE_FORMAT
+from loadsplit.constants import INTERVAL_START_FORMAT, REVISION_TS_FORMAT, USAGE_DATE_FORMAT
 
 
 def _c(c) -> Column:
@@ -25,17 +25,18 @@ def trim_time(c) -> Column:
 
 
 def parse_usage_date(c) -> Column:
-    """S5: 'MM/dd/yyyy' -> DATE, null when malformed."""
+    """month/day/year, one or two digits -> DATE, null when malformed."""
     return F.try_to_timestamp(_c(c), F.lit(USAGE_DATE_FORMAT)).cast("date")
 
 
 def bad_usage_date(c) -> Column:
-    """S5 error flag: a non-null string that does not parse."""
+    """S5 error flag: a non-null string that does not parse. (A blank date is
+    an error of the row if it has a start time, see ``row_parse_error``.)"""
     return _c(c).isNotNull() & parse_usage_date(c).isNull()
 
 
 def parse_revision_ts(c) -> Column:
-    """S6: 'MM/dd/yyyy HH:mm:ss' -> TIMESTAMP_NTZ, null when malformed."""
+    """month/day/year hour:minute:second -> TIMESTAMP_NTZ, null when malformed."""
     return F.try_to_timestamp(_c(c), F.lit(REVISION_TS_FORMAT)).cast("timestamp_ntz")
 
 
@@ -44,15 +45,13 @@ def bad_revision_ts(c) -> Column:
 
 
 def build_interval_start(date_col, time_col) -> Column:
-    """Typed date + trimmed 'HH:mm' -> naive timestamp."""
+    """Typed date + trimmed hour:minute -> naive timestamp."""
     txt = F.concat_ws(" ", _c(date_col).cast("string"), _c(time_col))
-    return F.try_to_timestamp(txt, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
+    return F.try_to_timestamp(txt, F.lit(INTERVAL_START_FORMAT)).cast("timestamp_ntz")
 
 
 def coerce_kwh(c) -> Column:
-    """Non-numeric -> null; the row is kept."""
-    return F.expr(f"try_cast({c} as double)") if isinstance(c, str) else _try_double(c)
-
-
-def _try_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """Non-numeric -> null; the row is kept. The reader's words for missing
+    numbers (NaN) are null too, and so are infinities, which no sum could hold."""
+    x = _c(c).try_cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)

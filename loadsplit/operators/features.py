@@ -68,6 +68,7 @@ def daily_features(features: DataFrame) -> DataFrame:
 
 
 def append_new_dates(target: DataFrame, df: DataFrame, keys: Sequence[str] = ("esiid", "usage_date")) -> DataFrame:
-    """rows of ``df`` whose key is absent from ``target`` (what to append)."""
-    keys = list(keys)
-    return df.join(target.select(*keys).distinct(), keys, "left_anti")
+    """rows of ``df`` whose key is absent from ``target`` (what to append);
+    null keys are equal to each other."""
+    done = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+    return df.join(done, [df[k].eqNullSafe(done[f"_t_{k}"]) for k in keys], "left_anti")

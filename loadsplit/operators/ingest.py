@@ -39,11 +39,11 @@ def trim_times(raw: DataFrame) -> DataFrame:
 
 
 def row_parse_error() -> Column:
-    """True when a row would make the whole file fail to parse."""
+    """True when a row would make the whole file fail to parse (S5-S7): a date,
+    revision or start time that does not parse, or a start time without a date."""
     start = P.trim_time("USAGE_START_TIME")
-    bad_start = (F.col("USAGE_DATE").isNotNull() & start.isNotNull()
-                 & P.parse_usage_date("USAGE_DATE").isNotNull()
-                 & P.build_interval_start(P.parse_usage_date("USAGE_DATE"), start).isNull())
+    day = P.parse_usage_date("USAGE_DATE")
+    bad_start = start.isNotNull() & (day.isNull() | P.build_interval_start(day, start).isNull())
     return P.bad_usage_date("USAGE_DATE") | P.bad_revision_ts("REVISION_DATE") | bad_start
 
 

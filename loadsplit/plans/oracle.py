@@ -63,7 +63,7 @@ def bronze_sql(src: str) -> str:
                trim(USAGE_END_TIME) AS interval_end,
                try_strptime(CAST({day} AS VARCHAR) || ' ' || trim(USAGE_START_TIME), '%Y-%m-%d %H:%M')
                  AS interval_start_dt,
-               TRY_CAST(USAGE_KWH AS DOUBLE) AS usage_kwh,
+               CASE WHEN isfinite(TRY_CAST(USAGE_KWH AS DOUBLE)) THEN TRY_CAST(USAGE_KWH AS DOUBLE) END AS usage_kwh,
                ESTIMATED_ACTUAL AS estimated_actual,
                CONSUMPTION_SURPLUSGENERATION AS flow_direction,
                source_file
@@ -73,10 +73,9 @@ def bronze_sql(src: str) -> str:
 ROW_ERROR = """(
     (USAGE_DATE IS NOT NULL AND try_strptime(USAGE_DATE, '%m/%d/%Y') IS NULL)
  OR (REVISION_DATE IS NOT NULL AND try_strptime(REVISION_DATE, '%m/%d/%Y %H:%M:%S') IS NULL)
- OR (USAGE_DATE IS NOT NULL AND trim(USAGE_START_TIME) IS NOT NULL
-     AND try_strptime(USAGE_DATE, '%m/%d/%Y') IS NOT NULL
-     AND try_strptime(CAST(CAST(try_strptime(USAGE_DATE, '%m/%d/%Y') AS DATE) AS VARCHAR) || ' '
-                      || trim(USAGE_START_TIME), '%Y-%m-%d %H:%M') IS NULL))"""
+ OR (USAGE_START_TIME IS NOT NULL
+     AND NOT coalesce(regexp_full_match(USAGE_DATE, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}')
+                      AND regexp_full_match(trim(USAGE_START_TIME), '([01]?[0-9]|2[0-3]):[0-5]?[0-9]'), false)))"""
 
 
 def cooling(t: str) -> str:
@@ -321,7 +320,8 @@ SELECTS: dict[str, str] = {
     "parse_revision_ts": "SELECT source_file, REVISION_DATE AS raw_revision_date, "
                          "try_strptime(REVISION_DATE, '%m/%d/%Y %H:%M:%S') AS revision_date FROM raw_meter_view",
     "build_interval_start": "SELECT source_file, usage_date, interval_start, interval_start_dt FROM bronze_clean",
-    "coerce_kwh": "SELECT source_file, USAGE_KWH AS raw_kwh, TRY_CAST(USAGE_KWH AS DOUBLE) AS usage_kwh "
+    "coerce_kwh": "SELECT source_file, USAGE_KWH AS raw_kwh, CASE WHEN regexp_full_match(USAGE_KWH, "
+                  "'[+-]?[0-9]*\\.?[0-9]+([eE][+-]?[0-9]+)?') THEN CAST(USAGE_KWH AS DOUBLE) END AS usage_kwh "
                   "FROM dirty_raw_view",
     "to_bronze": "SELECT * FROM bronze_clean",
     "read_station_readings": "SELECT * FROM readings",
@@ -346,10 +346,10 @@ SELECTS: dict[str, str] = {
     "check_duplicates": "SELECT source_file, duplicate_intervals FROM fc WHERE duplicate_intervals > 0",
     "quality_report": """
         SELECT *, concat_ws('; ',
-            CASE WHEN n_intervals != 96 THEN 'expected 96 intervals, got ' || CAST(n_intervals AS VARCHAR) END,
-            CASE WHEN null_kwh > 0 THEN CAST(null_kwh AS VARCHAR) || ' null usage_kwh values' END,
-            CASE WHEN negative_kwh > 0 THEN CAST(negative_kwh AS VARCHAR) || ' negative usage_kwh values' END,
-            CASE WHEN duplicate_intervals > 0 THEN CAST(duplicate_intervals AS VARCHAR) || ' duplicate intervals' END)
+            CASE WHEN n_intervals != 96 THEN 'file holds ' || CAST(n_intervals AS VARCHAR) || ' rows instead of 96' END,
+            CASE WHEN null_kwh > 0 THEN 'kWh missing in ' || CAST(null_kwh AS VARCHAR) || ' rows' END,
+            CASE WHEN negative_kwh > 0 THEN 'kWh below zero in ' || CAST(negative_kwh AS VARCHAR) || ' rows' END,
+            CASE WHEN duplicate_intervals > 0 THEN CAST(duplicate_intervals AS VARCHAR) || ' rows repeat a meter and slot' END)
               AS issues
         FROM fc""",
     "missing_weather_count": "SELECT count(*) AS n_intervals, count(*) FILTER (WHERE temp_c IS NULL) AS missing_temp "

@@ -1,12 +1,13 @@
 """Session construction and the shared scratch location.
 
-On a cluster the scratch location is the shared folder named by
-``spark.checkpoint.dir``; we only invent one when the session has none
-(local tests).
+The scratch location is the shared folder named by ``spark.checkpoint.dir``.
+One is made up only for a local master without the setting; a cluster without
+it is an error, as executors cannot read each other's temporary folders.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,9 +40,12 @@ def get_spark(master: str | None = None, app: str = "loadsplit",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set one only if unset."""
+    """The shared checkpoint folder of the session; set one only if unset and
+    the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="loadsplit-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)
@@ -64,10 +68,13 @@ def local_path(path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
+    """False when nothing is at ``path``, or a folder without any file of a
+    table yet; every other error of reading it is raised."""
     from pyspark.errors import AnalysisException
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise

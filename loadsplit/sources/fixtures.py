@@ -39,28 +39,8 @@ METER_COLUMNS = ("esiid", "usage_date", "revision_date", "interval_start_dt", "u
                  "estimated_actual", "flow_direction")
 
 
-_SPLITS: dict[tuple[int, str], int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """A file with one large row group scans as one task; spread such an input
-    over the session's cores. Only then: a scan with at least that many splits
-    (any input of real size) is returned untouched, so this never adds a
-    shuffle at scale. Filters and column pruning still reach the scan."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    memo = (id(spark), key) if key else None
-    splits = _SPLITS.get(memo) if memo else None
-    if splits is None:
-        splits = df.rdd.getNumPartitions()
-        if memo:
-            _SPLITS[memo] = splits
-    return df.repartition(target) if splits < target else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _meter_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +74,9 @@ def raw_meter_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_meter_view with deterministic malformations: padded apostrophes on
-    'signup' rows, ISO dates on large 'click' rows (their files fail), and
-    bad / negative / empty kWh on small purchase / error / view rows."""
+    'signup' rows, one-digit dates on 'purchase' and one-digit hours on 'error'
+    rows, ISO or blank dates or bad revisions on large 'click' rows (their
+    files fail), and bad / negative / empty / NaN kWh on small rows."""
     from loadsplit.operators.export import format_meter_export
     raw = format_meter_export(_meter_base(spark, sf_dir), keep=("source_file", "event_type", "value"))
     et, v = F.col("event_type"), F.col("value")
@@ -103,13 +84,20 @@ def dirty_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("ESTIMATED_ACTUAL") == "E",
                F.concat(F.lit(" ''"), F.expr("substr(ESIID, 2)"), F.lit(" ")))
         .otherwise(F.col("ESIID")).alias("ESIID"),
-        F.when((et == "click") & (v >= 250),
-               F.date_format(F.try_to_timestamp("USAGE_DATE", F.lit("MM/dd/yyyy")), "yyyy-MM-dd"))
+        F.when((et == "click") & (v >= 400), F.lit(None))
+        .when((et == "click") & (v >= 250),
+              F.date_format(F.try_to_timestamp("USAGE_DATE", F.lit("MM/dd/yyyy")), "yyyy-MM-dd"))
+        .when(et == "purchase", F.regexp_replace("USAGE_DATE", "(^|/)0", "$1"))
         .otherwise(F.col("USAGE_DATE")).alias("USAGE_DATE"),
-        "REVISION_DATE", "USAGE_START_TIME", "USAGE_END_TIME",
+        F.when((et == "click") & (v >= 240) & (v < 250), F.lit("02/30/2024 07:40:29"))
+        .otherwise(F.col("REVISION_DATE")).alias("REVISION_DATE"),
+        F.when(et == "error", F.regexp_replace("USAGE_START_TIME", "^ 0", " "))
+        .otherwise(F.col("USAGE_START_TIME")).alias("USAGE_START_TIME"),
+        "USAGE_END_TIME",
         F.when((et == "purchase") & (v < 1), F.lit("bad"))
         .when((et == "error") & (v < 1), F.concat(F.lit("-"), F.col("USAGE_KWH")))
         .when((et == "view") & (v < 0.5), F.lit(""))
+        .when((et == "view") & (v < 1), F.lit("NaN"))
         .otherwise(F.col("USAGE_KWH")).alias("USAGE_KWH"),
         "ESTIMATED_ACTUAL", "CONSUMPTION_SURPLUSGENERATION", "source_file",
     )
@@ -189,12 +177,20 @@ SQL_VIEWS = {
     "dirty_raw_view": f"""
         SELECT CASE WHEN ESTIMATED_ACTUAL = 'E' THEN ' {_Q * 5} || substr(ESIID, 2) || ' '
                     ELSE ESIID END AS ESIID,
-               CASE WHEN event_type = 'click' AND value >= 250
-                    THEN strftime(strptime(USAGE_DATE, '%m/%d/%Y'), '%Y-%m-%d') ELSE USAGE_DATE END AS USAGE_DATE,
-               REVISION_DATE, USAGE_START_TIME, USAGE_END_TIME,
+               CASE WHEN event_type = 'click' AND value >= 400 THEN NULL
+                    WHEN event_type = 'click' AND value >= 250
+                    THEN strftime(strptime(USAGE_DATE, '%m/%d/%Y'), '%Y-%m-%d')
+                    WHEN event_type = 'purchase' THEN replace(ltrim(USAGE_DATE, '0'), '/0', '/')
+                    ELSE USAGE_DATE END AS USAGE_DATE,
+               CASE WHEN event_type = 'click' AND value >= 240 AND value < 250 THEN '02/30/2024 07:40:29'
+                    ELSE REVISION_DATE END AS REVISION_DATE,
+               CASE WHEN event_type = 'error' AND starts_with(USAGE_START_TIME, ' 0')
+                    THEN ' ' || substr(USAGE_START_TIME, 3) ELSE USAGE_START_TIME END AS USAGE_START_TIME,
+               USAGE_END_TIME,
                CASE WHEN event_type = 'purchase' AND value < 1 THEN 'bad'
                     WHEN event_type = 'error' AND value < 1 THEN '-' || USAGE_KWH
                     WHEN event_type = 'view' AND value < 0.5 THEN ''
+                    WHEN event_type = 'view' AND value < 1 THEN 'NaN'
                     ELSE USAGE_KWH END AS USAGE_KWH,
                ESTIMATED_ACTUAL, CONSUMPTION_SURPLUSGENERATION, source_file
         FROM raw_base""",

@@ -60,7 +60,7 @@ def test_ingest_quarantine_quality_and_rerun(spark, scratch):
     qr = {r["source_file"]: r for r in spark.read.parquet(f"{wh}/quality").collect()}
     issues = qr["2025/05/20250503.csv"]["issues"]
     # 95 rows + one repeated slot = 96 rows, so the count check stays quiet
-    assert issues == "1 null usage_kwh values; 1 negative usage_kwh values; 1 duplicate intervals"
+    assert issues == "kWh missing in 1 rows; kWh below zero in 1 rows; 1 rows repeat a meter and slot"
     assert qr["2025/05/20250501.csv"]["issues"] == ""
     rep2 = PL.run_ingest(spark, root, wh).first().asDict()   # same files again: nothing new
     assert rep2["rows_loaded"] == 0 and spark.read.parquet(f"{wh}/bronze").count() == 192
@@ -71,7 +71,7 @@ def test_short_file_warns_only(spark):
     df = spark.createDataFrame(rows, "source_file string, esiid string, interval_start_dt timestamp_ntz, "
                                      "usage_kwh double")
     assert Q.check_interval_count(df).first()["n_intervals"] == 95
-    assert Q.quality_report(df).first()["issues"].startswith("expected 96 intervals, got 95")
+    assert Q.quality_report(df).first()["issues"].startswith("file holds 95 rows instead of 96")
     assert df.count() == 95
 
 
