@@ -11,12 +11,13 @@ from loadsplit.constants import HOURS_PER_INTERVAL, INTERVALS_PER_DAY
 from loadsplit.functions.numeric import exact_avg, exact_sum, round_half_up
 
 
-def appliance_profile(gold: DataFrame, by_meter: bool = False) -> DataFrame:
+def appliance_profile(gold: DataFrame, by_meter: bool = False, ordered: bool = False) -> DataFrame:
     """kWh (4 dp) and share of the date's total (6 dp) per gold row.
 
     The denominator is per date over all meters (``by_meter=True``: per
     meter-day). Totals are an aggregate joined back on the date, never a
-    window over the date alone.
+    window over the date alone. ``ordered`` sorts the result, which puts all
+    rows of a date and appliance into one task; tables do without.
     """
     keys = ["esiid", "usage_date"] if by_meter else ["usage_date"]
     totals = gold.groupBy(*keys).agg(exact_sum("estimated_kwh").alias("_day_total"))
@@ -27,7 +28,8 @@ def appliance_profile(gold: DataFrame, by_meter: bool = False) -> DataFrame:
         round_half_up(F.try_divide(F.col("estimated_kwh"), F.when(F.col("_day_total") != 0, F.col("_day_total"))), 6)
         .alias("pct_of_daily_total"),
     ]
-    return j.select(*cols).orderBy(*(["esiid"] if by_meter else []), "usage_date", "appliance")
+    out = j.select(*cols)
+    return out.orderBy(*(["esiid"] if by_meter else []), "usage_date", "appliance") if ordered else out
 
 
 def daily_temperature(interval_features: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from loadsplit.functions import parsing as P
 
 
-def to_bronze(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Eight raw strings (+ source_file) -> the 11-column bronze layout."""
+def to_bronze(raw: DataFrame, loaded_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Eight raw strings (+ source_file) -> the 11-column bronze layout
+    (and the columns named in ``keep``)."""
     usage_date = P.parse_usage_date("USAGE_DATE")
     start = P.trim_time("USAGE_START_TIME")
     return raw.select(
@@ -29,6 +30,7 @@ def to_bronze(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
         F.col("CONSUMPTION_SURPLUSGENERATION").alias("flow_direction"),
         F.col("source_file"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"),
+        *keep,
     )
 
 

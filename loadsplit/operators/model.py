@@ -55,9 +55,9 @@ def impute_mean(df: DataFrame, col: str = "temp_c", value: float | None = None)
 
 
 def base_features(interval_features: DataFrame) -> DataFrame:
-    """D1 + D2 on silver intervals; rows without kWh cannot be clustered and
-    are left out (see ``null_kwh_rows``). ``temp_raw`` keeps the unfilled value."""
-    df = interval_features.where(F.col("usage_kwh").isNotNull())
+    """D1 + D2 on silver intervals; rows without kWh or time cannot be clustered
+    and are left out (see ``null_kwh_rows``). ``temp_raw`` keeps the unfilled value."""
+    df = interval_features.where(F.col("usage_kwh").isNotNull() & F.col("interval_start_dt").isNotNull())
     df = df.withColumn("temp_raw", F.col("temp_c"))
     return ac_proxy_int(cyclical_hour(df))
 
@@ -75,7 +75,8 @@ def fit_features(interval_features: DataFrame) -> tuple[DataFrame, dict]:
 
 
 def null_kwh_rows(interval_features: DataFrame) -> DataFrame:
-    return interval_features.agg(F.count_if(F.col("usage_kwh").isNull()).alias("null_kwh_rows"))
+    lost = F.col("usage_kwh").isNull() | F.col("interval_start_dt").isNull()
+    return interval_features.agg(F.count_if(lost).alias("null_kwh_rows"))
 
 
 def fit_scaler(raw: DataFrame, cols: Sequence[str] = FEATURES, impute: str = "temp_c") -> dict:
@@ -160,8 +161,11 @@ def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_i
     """MLlib KMeans on the scaled features, best of ``n_init`` seeds by
     training cost. Returns (centroids DataFrame in z-space, training cost).
 
-    The scaled features are written once to the shared checkpoint folder and
-    the iterations read that copy, not the whole lineage.
+    Equal feature rows (hours, rounded temperatures and kWh repeat) are fitted
+    once with their count as weight: the same objective on fewer rows, with all
+    data in it. They are written once to the shared checkpoint folder and the
+    iterations read that copy, not the whole lineage. ``max_iter`` bounds a fit
+    that has not converged to the estimator's tolerance by then.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
@@ -169,14 +173,14 @@ def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_i
     from loadsplit.session import scratch_path
     zcols = [f"z_{c}" for c in cols]
     path = scratch_path(z.sparkSession, "kmeans-input")
-    z.select(*zcols).write.mode("overwrite").parquet(path)
+    z.groupBy(*zcols).agg(F.count(F.lit(1)).cast("double").alias("weight")).write.mode("overwrite").parquet(path)
     vec = VectorAssembler(inputCols=zcols, outputCol="features").transform(
-        z.sparkSession.read.parquet(path)).select("features")
+        z.sparkSession.read.parquet(path)).select("features", "weight")
     vec = vec.persist()          # blocks lost with an executor are re-read from the Parquet copy
     best = None
     try:
         for i in range(max(1, n_init)):
-            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features")
+            km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", weightCol="weight")
             model = km.fit(vec)
             cost = model.summary.trainingCost
             if best is None or cost < best[1]:
@@ -240,7 +244,7 @@ def distance_to_centroid(z: DataFrame, centroids: DataFrame, cols: Sequence[str]
 def cluster_table(scored: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     """One pass over the scored intervals: per cluster the feature means in
     original units (D8) and the largest distance (D11). k rows, local."""
-    return small_table(scored.groupBy("cluster").agg(
+    return small_table(scored.where("cluster >= 0").groupBy("cluster").agg(
         *[(F.sum(to_decimal(c)).cast("double") / F.count(c)).alias(c) for c in cols],
         F.max("distance").alias("max_distance_raw")))
 
@@ -289,18 +293,34 @@ def map_clusters(centroids: DataFrame) -> DataFrame:
     return centroids.sparkSession.createDataFrame(mapping_rows(centroids), "cluster int, appliance string")
 
 
+def label_table(clusters: DataFrame) -> DataFrame:
+    """D9 + D11 of a ``cluster_table``: (cluster, appliance, max_distance_raw)."""
+    return map_clusters(clusters).join(clusters.select("cluster", "max_distance_raw"), "cluster")
+
+
+def model_exists(spark: SparkSession, base: str) -> bool:
+    """True once all tables of the version are written."""
+    from loadsplit.session import path_exists
+    return path_exists(spark, f"{base}/mapping")
+
+
 def persist_model(spark: SparkSession, path: str, centroids: DataFrame, stats: DataFrame,
-                  mapping: DataFrame, version: str) -> str:
-    """Write centroids, scaler statistics and mapping as small Parquet
-    tables under ``path/version``; scoring later reads them back."""
+                  labels: DataFrame, version: str) -> str:
+    """Write centroids, scaler statistics and the label table (appliance and
+    largest distance of each cluster) as small Parquet tables under
+    ``path/version``; scoring later reads them back, so a row's confidence does
+    not depend on what else is scored. A version that is there is never
+    overwritten; ``mapping`` is written last and completes it."""
     base = f"{path.rstrip('/')}/{version}"
+    if model_exists(spark, base):
+        raise ValueError(f"model version {version} exists; give the new fit a version of its own")
     centroids.coalesce(1).write.mode("overwrite").parquet(f"{base}/centroids")
     stats.coalesce(1).write.mode("overwrite").parquet(f"{base}/scaler")
-    mapping.coalesce(1).write.mode("overwrite").parquet(f"{base}/mapping")
+    labels.coalesce(1).write.parquet(f"{base}/mapping")
     return base
 
 
 def load_model(spark: SparkSession, base: str):
-    """(centroids, scaler stats, mapping) of a persisted model version."""
+    """(centroids, scaler stats, label table) of a persisted model version."""
     return (spark.read.parquet(f"{base}/centroids"), spark.read.parquet(f"{base}/scaler"),
             spark.read.parquet(f"{base}/mapping"))

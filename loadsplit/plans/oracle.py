@@ -521,6 +521,11 @@ SELECTS: dict[str, str] = {
     "ingest_incremental": "SELECT * FROM bronze_dirty WHERE source_file NOT IN (SELECT source_file FROM bad_files)",
     "run_features": "SELECT * FROM b_daily",
     "run_export": "SELECT * FROM b_summary",
+    "run_disaggregate": "SELECT esiid, usage_date, total_kwh AS attributed_kwh, true AS appliances_ok, "
+                        "true AS confidence_ok FROM b_daily",
+    "run_all": "SELECT usage_date, total_kwh, avg_temp_c FROM b_summary",
+    "run_incremental": "SELECT d.*, d.total_kwh AS attributed_kwh, s.total_kwh AS published_total_kwh "
+                       "FROM b_daily d JOIN b_summary s USING (usage_date)",
 }
 
 

@@ -2,9 +2,9 @@
 each ``(spark, sf_dir) -> DataFrame`` over views derived from the whole
 ``events`` table (see ``loadsplit.sources.fixtures``).
 
-Shared intermediates (silver, scored intervals, gold, summary) are rebuilt
-lazily inside every query so each plan is self-contained and Catalyst can
-prune columns and push filters down to the ``events`` scan.
+Every query builds its own intermediates, so Catalyst can prune columns and
+push filters down to the ``events`` scan. Those that read silver several times
+(model statistics, scoring, gold) write it once while they are built.
 """
 
 from __future__ import annotations
@@ -412,11 +412,10 @@ def q_persist_model(spark, d):
     stats = M.scaler_table(spark, fit)
     cents = X.fixed_centroids(spark)
     sc0 = M.assign_cluster(M.standardize(feats, stats=stats), cents)
-    base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, mapping(spark, d, sc0), "v1")
+    base = M.persist_model(spark, scratch_path(spark, "model"), cents, stats, M.label_table(M.cluster_table(sc0)), "v1")
     c2, s2, m2 = M.load_model(spark, base)
     sc = M.assign_cluster(M.standardize(feats, stats=s2), c2)
-    lab = A.confidence(A.max_distance_per_cluster(A.label_appliance(sc, m2)))
-    return A.estimate_daily(lab)
+    return A.estimate_daily(A.confidence(A.max_distance_per_cluster(A.label_appliance(sc, m2), m2)))
 
 
 # --- 2.6 export -------------------------------------------------------------------
@@ -652,4 +651,5 @@ QUERIES: dict[str, Query] = {
     "run_disaggregate": _pipeline("run_disaggregate"),
     "run_export": _pipeline("run_export"),
     "run_all": _pipeline("run_all"),
+    "run_incremental": _pipeline("run_incremental"),
 }

@@ -1,20 +1,36 @@
 """File readers.
 
-Meter exports live at ``<root>/YYYY/MM/YYYYMMDD.csv``. The reader is one
-distributed CSV scan with a declared all-string schema; Spark splits the
-files over tasks, so nothing is parsed on the driver.
+Meter exports live at ``<root>/YYYY/MM/YYYYMMDD.csv``. The scan reads every
+line, headers too, as strings in file order; each file's header line then says
+which column is which, so columns bind by name whatever their order. Headers
+are found and joined in Spark, and nothing per file reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadsplit import schemas
 from loadsplit.constants import METER_FILE_GLOB, METER_PATH_REGEX, RAW_COLUMNS
 
+MAX_FIELDS = 64      # fields read per line; a required column beyond them counts as missing
+LINES = T.StructType([T.StructField(f"f{k}", T.StringType()) for k in range(MAX_FIELDS)])
+
+
+def relative_source_file(path: Column, root: str, spark: SparkSession | None = None) -> Column:
+    """Path below the data root, e.g. ``2025/05/20250501.csv``; null for a
+    file elsewhere."""
+    spark = spark or SparkSession.active()
+    home = spark._jvm.org.apache.hadoop.fs.Path(root)
+    home = home.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(home).toUri().toString()
+    plain = lambda c: F.regexp_replace(c, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    prefix = plain(F.lit(home.rstrip("/") + "/"))
+    return F.when(F.startswith(plain(path), prefix), F.substr(plain(path), F.length(prefix) + 1))
+
 
 def list_meter_files(spark: SparkSession, root: str) -> DataFrame:
     """Distributed listing of meter files (path, relative source_file, size).
@@ -25,85 +41,63 @@ def list_meter_files(spark: SparkSession, root: str) -> DataFrame:
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", METER_FILE_GLOB)
              .load(root)
-             .select("path", "length"))
-    files = files.where(F.col("path").rlike(METER_PATH_REGEX))
-    return files.select("path", relative_source_file(F.col("path"), root).alias("source_file"), "length")
+             .select("path", relative_source_file(F.col("path"), root, spark).alias("source_file"), "length"))
+    return files.where(F.col("source_file").rlike(METER_PATH_REGEX))
 
 
-def relative_source_file(path_col, root: str):
-    """Path relative to the data root, e.g. ``2025/05/20250501.csv``."""
-    return F.regexp_extract(path_col, r"(\d{4}/\d{2}/\d{8}\.csv)$", 1)
+def normalize_headers(df: DataFrame) -> DataFrame:
+    """Trim and upper-case column names."""
+    return df.toDF(*[c.strip().upper() for c in df.columns])
 
 
-def header_groups(spark: SparkSession, paths: Iterable[str]) -> dict[tuple, list[str]]:
-    """Group files by their header line so columns bind by name.
+def with_lineage(df: DataFrame, root: str) -> DataFrame:
+    """``source_file`` relative to the data root, from the scan's file
+    metadata; files outside the expected layout drop out (the load timestamp is
+    added by ``to_bronze``)."""
+    df = df.withColumn("source_file", relative_source_file(F.col("_metadata.file_path"), root, df.sparkSession))
+    return df.where(F.col("source_file").rlike(METER_PATH_REGEX))
 
-    The header scan runs in Spark tasks; only one line per file reaches the
-    driver, which needs the path list for the per-layout reads anyway.
-    """
-    paths = list(paths)
-    if not paths:
-        return {}
-    heads = (spark.read.text(paths)
-             .where(F.upper(F.col("value")).contains("ESIID"))
-             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
-             .dropDuplicates(["path"]))
-    groups: dict[tuple, list[str]] = {}
-    for row in heads.collect():
-        cols = tuple(c.strip().strip('"').upper() for c in row["header"].split(","))
-        groups.setdefault(cols, []).append(row["path"])
-    return groups
 
+def meter_lines(spark: SparkSession, root: str, paths: Iterable[str] | None = None) -> DataFrame:
+    """All lines of the meter files as (fields array, source_file)."""
+    reader = spark.read.schema(LINES).option("header", "false").option("mode", "PERMISSIVE") \
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", METER_FILE_GLOB)
+    lines = with_lineage(reader.csv([*paths] if paths is not None else [root]), root)
+    return lines.select(F.array(*LINES.fieldNames()).alias("fields"), "source_file")
 
-def normalize_headers(df: DataFrame) -> DataFrame:
-    """Trim and upper-case column names."""
-    return df.toDF(*[c.strip().upper() for c in df.columns])
 
+def header_names(fields: Column) -> Column:
+    """Names as they bind: trimmed, upper case, without byte order mark."""
+    return F.transform(fields, lambda f: F.upper(F.trim(F.regexp_replace(f, "^\ufeff", ""))))
 
-def read_meter_csv(spark: SparkSession, root: str, paths: Iterable[str] | None = None,
-                   by_name: bool = False) -> DataFrame:
-    """S1 + S2 + S9: all ``YYYY/MM/YYYYMMDD.csv`` below ``root`` as strings,
-    with ``source_file`` relative to the root.
 
-    ``by_name=True`` reads each header layout separately and unions by name,
-    for exports whose column order differs between files.
-    """
-    if by_name:
-        if paths is None:
-            paths = [r["path"] for r in list_meter_files(spark, root).select("path").collect()]
-        parts = []
-        for cols, group in header_groups(spark, paths).items():
-            from pyspark.sql import types as T
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-            parts.append(_scan(spark, group, schema, root, recursive=False))
-        if not parts:
-            return spark.createDataFrame([], schemas.RAW_METER.add("source_file", "string"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out.select(*RAW_COLUMNS, "source_file")
-    if paths is not None:
-        paths = list(paths)
-        if not paths:
-            return spark.createDataFrame([], schemas.RAW_METER.add("source_file", "string"))
-        return _scan(spark, paths, schemas.RAW_METER, root, recursive=False)
-    return _scan(spark, [root], schemas.RAW_METER, root, recursive=True)
-
-
-def _scan(spark, paths, schema, root, recursive: bool) -> DataFrame:
-    reader = (spark.read.option("header", "true")
-              .option("mode", "PERMISSIVE")
-              .schema(schema))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", METER_FILE_GLOB)
-    df = normalize_headers(reader.csv(paths))
-    return with_lineage(df.where(F.col("_metadata.file_path").rlike(METER_PATH_REGEX)), root)
+def is_header(fields: Column) -> Column:
+    """A line with the names of at least two of the columns among its fields."""
+    return F.size(F.array_intersect(header_names(fields), F.array(*[F.lit(c) for c in RAW_COLUMNS]))) >= 2
 
 
-def with_lineage(df: DataFrame, root: str) -> DataFrame:
-    """``source_file`` relative to the data root, from the scan's file
-    metadata (the load timestamp is added by ``to_bronze``)."""
-    return df.withColumn("source_file", relative_source_file(F.col("_metadata.file_path"), root))
+def bind_columns(lines: DataFrame) -> DataFrame:
+    """(fields, source_file) -> the eight columns by name, source_file, and
+    ``missing_columns``, true where the file lacks one of them (or a header).
+
+    Headers are one row per file, joined back on the file; a file that holds a
+    large share of all lines is a skewed key that AQE splits."""
+    heads = lines.where(is_header(F.col("fields"))).groupBy("source_file") \
+        .agg(F.min(header_names(F.col("fields"))).alias("_names"))
+    rows = lines.where(~is_header(F.col("fields"))).join(heads, "source_file", "left")
+    at = {c: F.array_position("_names", c).cast("int") for c in RAW_COLUMNS}
+    missing = F.lit(False)
+    for c in RAW_COLUMNS:
+        missing = missing | (F.coalesce(at[c], F.lit(0)) == 0)
+    return rows.select(*[F.get("fields", at[c] - 1).alias(c) for c in RAW_COLUMNS], "source_file",
+                       missing.alias("missing_columns"))
+
+
+def read_meter_csv(spark: SparkSession, root: str, paths: Iterable[str] | None = None) -> DataFrame:
+    """S1 + S2 + S9: all ``YYYY/MM/YYYYMMDD.csv`` below ``root`` (or below the
+    folders ``paths`` in it) as strings bound by name, with ``source_file``
+    relative to the root. A column that a file lacks is null."""
+    return bind_columns(meter_lines(spark, root, paths)).drop("missing_columns")
 
 
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -124,7 +118,6 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_station_readings(df: DataFrame) -> DataFrame:
     """Pick DATE and dry-bulb, type them, drop rows with either null.
     Typed columns are used as they are; strings are parsed with ``try_*``."""
-    from pyspark.sql import types as T
     types = {f.name: f.dataType for f in df.schema.fields}
     date = F.col("DATE")
     if isinstance(types["DATE"], (T.TimestampNTZType, T.TimestampType, T.DateType)):

@@ -15,10 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsplit import schemas
-from loadsplit.constants import METER_PATH_REGEX
-from loadsplit.operators import ingest as I
-from loadsplit.session import path_exists
-from loadsplit.sources.meter_csv import normalize_headers, relative_source_file
+from loadsplit.sources.meter_csv import LINES, normalize_headers, with_lineage
 
 METER_GLOB = "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9][0-9][0-9][0-9][0-9][0-9][0-9].csv"
 
@@ -28,44 +25,42 @@ EXPORT_GLOB = "year=[0-9]*/month=[0-9]*/day=[0-9]*/*.csv"
 
 def meter_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
                  layout: str = "reference") -> DataFrame:
-    """Streaming twin of ``read_meter_csv``: all strings plus ``source_file``.
+    """Streaming twin of ``meter_lines``: (fields, source_file), to be bound by
+    name in the micro-batch, which holds whole files.
 
     ``layout='export'`` reads the directory-per-day layout of the E8 sink,
-    where one logical file (a day) is several part files committed together.
-    Do not cap files per trigger there: the file-level rules (skip loaded,
-    quarantine) need all parts of a day in the same micro-batch."""
-    reader = spark.readStream.schema(schemas.RAW_METER).option("header", "true")
+    where one logical file (a day) is several part files committed together
+    with one column order; it gives the bound columns. Do not cap files per
+    trigger there: the file-level rules (skip loaded, quarantine) need all
+    parts of a day in the same micro-batch."""
     if max_files_per_trigger and layout == "export":
         raise ValueError("the export layout splits a day into part files; do not cap files per trigger")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    glob = EXPORT_GLOB if layout == "export" else METER_GLOB
-    df = normalize_headers(reader.csv(f"{root.rstrip('/')}/{glob}"))
-    path = F.col("_metadata.file_path")
     if layout == "export":
+        df = normalize_headers(spark.readStream.schema(schemas.RAW_METER).option("header", "true")
+                               .csv(f"{root.rstrip('/')}/{EXPORT_GLOB}"))
+        path = F.col("_metadata.file_path")
         parts = F.regexp_extract(path, r"year=(\d{4})/month=(\d{2})/day=(\d{8})/", 0)
         src = F.concat_ws("/", F.regexp_extract(parts, r"year=(\d{4})", 1), F.regexp_extract(parts, r"month=(\d{2})", 1),
                           F.concat(F.regexp_extract(parts, r"day=(\d{8})", 1), F.lit(".csv")))
         return df.select(*schemas.RAW_METER.fieldNames(), src.alias("source_file"))
-    return (df.where(path.rlike(METER_PATH_REGEX))
-              .select(*schemas.RAW_METER.fieldNames(), relative_source_file(path, root).alias("source_file")))
+    reader = spark.readStream.schema(LINES).option("header", "false")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    lines = with_lineage(reader.csv(f"{root.rstrip('/')}/{METER_GLOB}"), root)
+    return lines.select(F.array(*LINES.fieldNames()).alias("fields"), "source_file")
 
 
 def ingest_incremental(spark: SparkSession, root: str, warehouse: str, checkpoint: str,
                        max_files_per_trigger: int | None = None, layout: str = "reference") -> list[dict]:
     """Run the stream until every file present now is processed; returns the
     per-batch ingest reports."""
-    from loadsplit.plans.pipeline import _t, ingest_raw
+    from loadsplit.plans.pipeline import ingest_lines, ingest_raw
 
     reports: list[dict] = []
+    step = ingest_raw if layout == "export" else ingest_lines
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        bronze = _t(warehouse, "bronze")
-        if path_exists(spark, bronze):
-            df = I.new_files_only(df, spark.read.parquet(bronze))
-        rep = ingest_raw(spark, df, warehouse).first().asDict()
-        rep["epoch"] = epoch_id
-        reports.append(rep)
+        reports.append(step(spark, df, warehouse).first().asDict() | {"epoch": epoch_id})
 
     q = (meter_stream(spark, root, max_files_per_trigger, layout).writeStream
          .foreachBatch(batch)

@@ -32,7 +32,7 @@ def test_reader_skips_other_csv_and_binds_by_name(spark, scratch):
     os.makedirs(os.path.join(root, "2025", "05"), exist_ok=True)
     with open(os.path.join(root, "2025", "05", "weather.csv"), "w") as f:
         f.write("datetime,temp_c\n")
-    raw = S.read_meter_csv(spark, root, by_name=True)
+    raw = S.read_meter_csv(spark, root)
     assert raw.count() == 192
     assert sorted(r[0] for r in raw.select("source_file").distinct().collect()) == \
         ["2025/05/20250501.csv", "2025/05/20250502.csv"]
@@ -64,6 +64,51 @@ def test_ingest_quarantine_quality_and_rerun(spark, scratch):
     assert qr["2025/05/20250501.csv"]["issues"] == ""
     rep2 = PL.run_ingest(spark, root, wh).first().asDict()   # same files again: nothing new
     assert rep2["rows_loaded"] == 0 and spark.read.parquet(f"{wh}/bronze").count() == 192
+    assert rep2["files_skipped"] == 2 and rep2["files_in_error"] == 1
+    assert spark.read.parquet(f"{wh}/quality").count() == 2
+
+
+def test_ingest_binds_by_name_and_counts_files_without_a_column(spark, scratch):
+    root, wh = _root(scratch, "meters"), scratch("wh")
+    swapped = ["USAGE_KWH", "CONSUMPTION_SURPLUSGENERATION", "ESTIMATED_ACTUAL", " usage_end_time ", "USAGE_START_TIME", "REVISION_DATE",
+               "USAGE_DATE", "ESIID"]
+    write_meter_file(root, D1, day_rows(D1, kwh=0.5))
+    rows = [r | {" usage_end_time ": r["USAGE_END_TIME"], "NOTE": "x"} for r in day_rows(D2, kwh=0.25)]
+    write_meter_file(root, D2, rows, columns=["NOTE", *swapped])
+    write_meter_file(root, D3, day_rows(D3), columns=[c for c in day_rows(D3)[0] if c != "USAGE_KWH"])
+    other = os.path.join(root, "siteB")                      # not below the root in the expected layout
+    write_meter_file(other, D1, day_rows(D1))
+    rep = PL.run_ingest(spark, root, wh).first().asDict()
+    assert rep == {"rows_loaded": 192, "files_loaded": 2, "files_skipped": 0, "files_in_error": 1}
+    kwh = {r["source_file"]: r["k"] for r in spark.read.parquet(f"{wh}/bronze").groupBy("source_file").agg(F.sum("usage_kwh").alias("k")).collect()}
+    assert kwh == {"2025/05/20250501.csv": 48.0, "2025/05/20250502.csv": 24.0}
+    # the file below siteB is a meter file of that root, under its own name
+    assert S.list_meter_files(spark, other).count() == 1 and S.list_meter_files(spark, root).count() == 3
+
+
+def test_blank_date_fails_its_file(spark, scratch):
+    root, wh = _root(scratch, "meters"), scratch("wh")
+    rows = day_rows(D1)
+    rows[7]["USAGE_DATE"] = ""
+    write_meter_file(root, D1, rows)
+    write_meter_file(root, D2, day_rows(D2))
+    assert PL.run_ingest(spark, root, wh).first()["files_in_error"] == 1
+    assert spark.read.parquet(f"{wh}/bronze").where("interval_start_dt is null").count() == 0
+
+
+def test_quality_report_of_a_stopped_run_is_made_good(spark, scratch, monkeypatch):
+    root, wh = _root(scratch, "meters"), scratch("wh")
+    write_meter_file(root, D1, day_rows(D1))
+    monkeypatch.setattr(PL, "_write_report", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    try:
+        PL.run_ingest(spark, root, wh)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    write_meter_file(root, D2, day_rows(D2))
+    assert PL.run_ingest(spark, root, wh).first()["files_loaded"] == 1
+    assert sorted(r[0] for r in spark.read.parquet(f"{wh}/quality").select("source_file").collect()) == \
+        ["2025/05/20250501.csv", "2025/05/20250502.csv"]
 
 
 def test_short_file_warns_only(spark):

@@ -30,6 +30,70 @@ def test_run_all_invariants_and_reruns(spark, scratch):
                                         "gold_profile", "gold_summary")}
     assert PL.run_ingest(spark, root, wh, layout="export").first()["rows_loaded"] == 0
     PL.run_features(spark, wh)
-    PL.run_disaggregate(spark, wh, refit=False)
+    PL.run_disaggregate(spark, wh)
     PL.run_export(spark, wh)
     assert {n: t(n).count() for n in counts} == counts
+
+
+def _chain(spark, wh, raw):
+    PL.ingest_raw(spark, raw, wh).collect()
+    PL.run_features(spark, wh)
+    PL.run_disaggregate(spark, wh, centroids=X.fixed_centroids(spark))
+    PL.run_export(spark, wh)
+
+
+def test_late_meter_reaches_the_exports_and_old_rows_stay(spark, scratch):
+    wh, raw = scratch("wh"), X.raw_meter_view(spark, SF)
+    late = raw.where("source_file = '2024/01/20240110.csv'").limit(3) \
+        .withColumn("ESIID", F.lit("'late")).withColumn("source_file", F.lit("late.csv"))
+    late = PL.stage(late, spark, "late")
+    PL.run_weather(spark, X.station_view(spark, SF), wh)
+    _chain(spark, wh, raw)
+    gold = lambda: {(r["esiid"], r["usage_date"], r["appliance"]): r["confidence"]
+                    for r in spark.read.parquet(f"{wh}/gold_estimates").collect()}
+    before, days = gold(), PL.read_summary(spark, wh).count()
+    _chain(spark, wh, raw.unionByName(late))
+    after = gold()
+    assert all(after[k] == v for k, v in before.items()) and any(k[0] == "late" for k in after)
+    total = spark.read.parquet(f"{wh}/gold_estimates").agg(F.sum("estimated_kwh")).first()[0]
+    published = PL.read_summary(spark, wh)
+    assert published.count() == days
+    assert abs(published.agg(F.sum("total_kwh")).first()[0] - total) < 1e-3
+    assert spark.read.parquet(f"{wh}/gold_profile").count() == len(after)
+
+
+def test_a_stop_between_the_silver_writes_adds_nothing_twice(spark, scratch, monkeypatch):
+    wh = scratch("wh")
+    PL.run_weather(spark, X.station_view(spark, SF), wh)
+    PL.ingest_raw(spark, X.raw_meter_view(spark, SF), wh).collect()
+    monkeypatch.setattr(PL.FT, "daily_features", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    try:
+        PL.run_features(spark, wh)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    n = spark.read.parquet(f"{wh}/silver_intervals").count()
+    PL.run_features(spark, wh)
+    PL.run_features(spark, wh)
+    assert spark.read.parquet(f"{wh}/silver_intervals").count() == n
+
+
+def test_one_new_day_reads_its_partitions_only(spark, scratch):
+    import datetime as dt
+    import re
+    wh = scratch("wh")
+    PL.ingest_raw(spark, X.raw_meter_view(spark, SF), wh).collect()
+    day = [(dt.date(2024, 1, 10), 5)]
+    plan = spark.read.parquet(f"{wh}/bronze").where(PL.on_dates(day))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*2024-01-10", plan)
+
+
+def test_model_versions_are_not_overwritten(spark, scratch):
+    import pytest
+    wh = scratch("wh")
+    PL.run_weather(spark, X.station_view(spark, SF), wh)
+    _chain(spark, wh, X.raw_meter_view(spark, SF))
+    with pytest.raises(ValueError, match="v1"):
+        PL.run_disaggregate(spark, wh, refit=True, centroids=X.fixed_centroids(spark))
+    PL.run_disaggregate(spark, wh, version="v2", centroids=X.fixed_centroids(spark))
+    assert spark.read.parquet(f"{wh}/gold_estimates").select("model_version").distinct().count() == 1
