@@ -11,8 +11,8 @@ from loadsplit.functions.numeric import exact_avg
 
 def day_intervals(interval_features: DataFrame, date: str) -> DataFrame:
     """B1: one date's intervals ordered by time. On a table partitioned by
-    ``usage_date`` the filter prunes partitions; on intervals it pushes a
-    range predicate on the timestamp to the scan."""
+    ``usage_date`` the filter prunes partitions; on intervals with a stored
+    timestamp its range reaches the scan."""
     ts = F.col("interval_start_dt")
     lo = F.to_timestamp_ntz(F.lit(date))
     hi = F.to_timestamp_ntz(F.date_add(F.lit(date).cast("date"), 1).cast("string"))
@@ -36,13 +36,16 @@ def filter_dates(df: DataFrame, start: str, end: str, col: str = "usage_date") -
 def fill_day_mean_temp(df: DataFrame) -> DataFrame:
     """Null temperature -> mean of that meter-day's temperatures.
 
-    An aggregate joined back (map-side combined, skew-safe) instead of a
-    window, so a meter-day with many copies does not land in one task.
-    """
+    The means are an aggregate (map-side combined, skew-safe) of the meter-days
+    that have a null; only the rows with a null are joined to it, all others
+    pass by."""
     day = F.to_date("interval_start_dt")
-    means = df.groupBy("esiid", day.alias("_day")).agg(exact_avg("temp_c").alias("_day_temp"))
-    j = df.withColumn("_day", day).join(means, ["esiid", "_day"], "left")
-    return j.withColumn("temp_c", F.coalesce(F.col("temp_c"), F.col("_day_temp"))).drop("_day", "_day_temp")
+    means = df.groupBy("esiid", day.alias("_day")) \
+        .agg(exact_avg("temp_c").alias("_day_temp"), F.count_if(F.col("temp_c").isNull()).alias("_n")).where("_n > 0").drop("_n")
+    empty = df.where(F.col("temp_c").isNull()).withColumn("_day", day)
+    filled = empty.join(means, empty["esiid"].eqNullSafe(means["esiid"]) & empty["_day"].eqNullSafe(means["_day"]), "left") \
+        .withColumn("temp_c", F.col("_day_temp")).select(*[empty[c] if c != "temp_c" else F.col("_day_temp").alias("temp_c") for c in df.columns])
+    return df.where(F.col("temp_c").isNotNull()).unionByName(filled)
 
 
 def load_bands(df: DataFrame, fill_temp: bool = True) -> DataFrame:

@@ -87,10 +87,18 @@ def fill_hours(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     (``lead``) and emits itself plus the missing hours in between, with the
     time-weighted linear value. Same result as ``interpolate_linear(
     hourly_spine(...))`` on a series whose ends are observed, without the
-    spine join or the global min/max."""
-    w = Window.partitionBy(*keys).orderBy("datetime")
-    nxt = hourly.select(*keys, "datetime", "temp_c",
-                        F.lead("datetime").over(w).alias("_nt"), F.lead("temp_c").over(w).alias("_nv"))
+    spine join or the global min/max. Windows hold one station's year; a year's
+    last hour looks at the first hour of the next year with readings."""
+    own = hourly.withColumn("_y", F.year("datetime"))
+    w = Window.partitionBy(*keys, "_y").orderBy("datetime")
+    firsts = own.groupBy(*keys, "_y").agg(F.min("datetime").alias("_ft"), F.min_by("temp_c", "datetime").alias("_fv"))
+    years = Window.partitionBy(*keys).orderBy("_y")      # one row per station and year
+    after = firsts.select(*keys, "_y", F.lead("_ft").over(years).alias("_ft"), F.lead("_fv").over(years).alias("_fv"))
+    nxt = own.select(*keys, "_y", "datetime", "temp_c",
+                     F.lead("datetime").over(w).alias("_nt"), F.lead("temp_c").over(w).alias("_nv")) \
+        .join(after, [*keys, "_y"], "left") \
+        .select(*keys, "datetime", "temp_c", F.coalesce("_nt", "_ft").alias("_nt"),
+                F.when(F.col("_nt").isNull(), F.col("_fv")).otherwise(F.col("_nv")).alias("_nv"))
     last = F.coalesce(F.col("_nt") - F.expr("INTERVAL 1 HOUR"), F.col("datetime"))
     rows = nxt.select(*keys, F.col("datetime").alias("_pt"), F.col("temp_c").alias("_pv"), "_nt", "_nv",
                       F.explode(F.sequence("datetime", last, F.expr("INTERVAL 1 HOUR"))).alias("datetime"))

@@ -50,9 +50,11 @@ def readings(spark, d) -> DataFrame:
     return read_station_readings(X.station_view(spark, d))
 
 
-def silver(spark, d) -> DataFrame:
-    intervals = I.filter_flow(X.meter_view(spark, d))
-    return FT.interval_features(intervals, W.dedupe_hour(weather(spark, d)))
+def silver(spark, d, day: str | None = None) -> DataFrame:
+    """Silver intervals (of one day). The hourly series is written first: its
+    size is then known when the join is planned, before intervals are shuffled."""
+    intervals = I.filter_flow(X.meter_view(spark, d, day))
+    return FT.interval_features(intervals, cut(weather(spark, d), "weather"))
 
 
 def daily(spark, d) -> DataFrame:
@@ -299,7 +301,7 @@ def _calendar(fn, name):
 
 def q_join_weather(spark, d):
     m = I.filter_flow(X.meter_view(spark, d))
-    return FT.join_weather(m, W.dedupe_hour(weather(spark, d))).select("esiid", "interval_start_dt", "hour_dt",
+    return FT.join_weather(m, W.dedupe_hour(cut(weather(spark, d), "weather"))).select("esiid", "interval_start_dt", "hour_dt",
                                                                        "temp_c")
 
 
@@ -400,11 +402,12 @@ def q_mean_confidence_by_appliance(spark, d):
 
 
 def q_first_day_estimates(spark, d):
-    return A.first_day_estimates(gold(spark, d))
+    return A.first_day_estimates(cut(gold(spark, d), "gold"))
 
 
 def q_model_metrics(spark, d):
-    return A.model_metrics(gold(spark, d), A.training_cost(scored(spark, d)))
+    s = staged(spark, d)
+    return A.model_metrics(cut(gold(spark, d, s), "gold"), A.training_cost(scored(spark, d, s)))
 
 
 def q_persist_model(spark, d):
@@ -468,7 +471,7 @@ def q_expand_runs_to_intervals(spark, d):
 # --- 2.7 dashboard ------------------------------------------------------------------
 
 def q_day_intervals(spark, d):
-    return B.day_intervals(silver(spark, d), DAY)
+    return B.day_intervals(silver(spark, d, DAY), DAY)
 
 
 def q_date_bounds(spark, d):
@@ -511,7 +514,7 @@ def q_breakdown_long(spark, d):
 
 
 def q_average_attribution(spark, d):
-    return R.average_attribution(summary(spark, d))
+    return R.average_attribution(cut(summary(spark, d), "summary"))
 
 
 def q_total_metrics(spark, d):

@@ -20,6 +20,8 @@ Binding (fixed, see FIXTURES.md):
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _meter_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _meter_base(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
+    if day:  # slots are floored inside their day, so the range can stand on the raw time
+        ev = ev.where((F.col("ts") >= F.to_timestamp_ntz(F.lit(day))) &
+                      (F.col("ts") < F.to_timestamp_ntz(F.lit(str(dt.date.fromisoformat(day) + dt.timedelta(1))))))
     return ev.select(
         F.col("user_id").cast("string").alias("esiid"),
         F.to_date("ts").alias("usage_date"),
@@ -59,8 +64,8 @@ def _meter_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def meter_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _meter_base(spark, sf_dir).select(*METER_COLUMNS)
+def meter_view(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+    return _meter_base(spark, sf_dir, day).select(*METER_COLUMNS)
 
 
 def file_view(spark: SparkSession, sf_dir: str) -> DataFrame:
