@@ -43,30 +43,18 @@ from loadsplit.session import scratch_path
 from .common import grouped, ranges, shuffle_partitions, stage, utf8
 
 WINDOW = 35
-PACK_BYTES = 8 << 20
+PACK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 RANGE_WINDOWS = 1 << 20
-CACHED_WORDS = 400_000
-#: per round: seed of the word hash, base of the polynomial (odd), bits left out
+LONG_WORD = 64
+#: per round: seed of the byte values, base of the polynomials (odd), bits left out
 ROUNDS = ((1, 0x9E3779B97F4A7C15, 16), (2, 0xC2B2AE3D27D4EB4F, 0))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 # --- hashing ------------------------------------------------------------------------
 
-class _Words(dict):
-    """Word to 64-bit hash, forgetting all when it grows too large."""
-
-    def __init__(self, seed: int):
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return h
-
-
-_words: dict[int, _Words] = {}
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -81,22 +69,65 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[base]
 
 
-def window_hashes(words: list[bytes], window: int, seed: int, base: int) -> np.ndarray:
-    """Hash of every window of one text: prefix sums of word * base^k, taken back
-    to the window's start, then mixed."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    table = _words.setdefault(seed, _Words(seed))
-    up, down = _power(base, len(words))
-    prefix = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(np.fromiter(map(table.__getitem__, words), np.uint64, len(words)) * up[:len(words)], out=prefix[1:])
-    h = (prefix[window:] - prefix[:n]) * down[:n]
+def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Rabin-Karp hashes of value stretches: prefix sums of value * base^k, taken
+    back to the stretch's start, then mixed."""
+    up, down = _power(base, values.size + 1)
+    prefix = np.zeros(values.size + 1, np.uint64)
+    np.cumsum(values * up[:values.size], out=prefix[1:])
+    h = (prefix[ends] - prefix[starts]) * down[starts]
     h ^= h >> np.uint64(32)
     h *= np.uint64(base)
     return h ^ (h >> np.uint64(29))
 
 
+class Texts:
+    """The texts of a pack as one stretch of bytes: their words, and the hashes
+    of the windows that start at each word."""
+
+    def __init__(self, column: pa.Array, window: int):
+        column = column.cast(pa.large_binary())
+        self.offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        self.data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+        word = np.zeros(self.data.size + 2, bool)  # one place before and one after
+        word[1:-1] = ~_SPACE[self.data]
+        edge = np.zeros(self.data.size + 1, bool)
+        edge[self.offsets] = True
+        self.starts = np.flatnonzero(word[1:] & (~word[:-1] | edge))
+        self.ends = np.flatnonzero(word[:-1] & (~word[1:] | edge))
+        #: number of the first word of each text, and of all words
+        self.first = np.searchsorted(self.starts, self.offsets)
+        last = np.repeat(self.first[1:], np.diff(self.first))
+        self.windows = np.flatnonzero(np.arange(last.size) + window <= last)
+        self.window = window
+
+    def blocks(self) -> Iterator[tuple[int, int]]:
+        """Stretches of texts of about BLOCK_BYTES."""
+        n = len(self.offsets) - 1
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + BLOCK_BYTES)))
+            yield at, min(to, n)
+            at = min(to, n)
+
+    def hashes(self, seed: int, base: int) -> np.ndarray:
+        """Hash of the window at every word (of what is there, where it is cut short)."""
+        values = np.random.default_rng(seed).integers(1 << 63, size=256, dtype=np.uint64)
+        out = np.empty(self.starts.size, np.uint64)
+        for at, to in self.blocks():
+            lo, hi, byte = self.first[at], self.first[to], self.offsets[at]
+            if lo == hi:
+                continue
+            starts, ends = self.starts[lo:hi], self.ends[lo:hi]
+            words = _rolling(values[self.data[byte:self.offsets[to]]], starts - byte, ends - byte, base)
+            for k in np.flatnonzero(ends - starts > LONG_WORD):  # long repetitive words would defeat a power of two as modulus
+                words[k] = xxhash.xxh64_intdigest(self.data[starts[k]:ends[k]].tobytes(), seed)
+            place = np.arange(hi - lo)
+            out[lo:hi] = _rolling(words, place, np.minimum(place + self.window, hi - lo), base)
+        return out
+
+
 # --- packs --------------------------------------------------------------------------
 
 def _write_pack(batch: pa.Table) -> bytes:
@@ -171,25 +202,26 @@ def _edges(n_ranges: int, bits: int) -> np.ndarray:
 
 
 class _Asked:
-    """The hashes a pack asks about in a round: per text those of the windows
-    that passed the rounds before, and the sorted distinct ones."""
+    """The windows of a pack that passed the rounds so far, and the sorted
+    distinct hashes to ask about in a round."""
 
     def __init__(self, pack: pa.Table, window: int, answers: list[tuple[int, list | None]]):
         """answers: (ranges, replies) of the rounds before."""
-        self.words = [t.split() for t in utf8(pack.column("_text").combine_chunks())]
-        self.at = [np.arange(max(0, len(w) - window + 1)) for w in self.words]
-        self.window = window
+        self.texts = Texts(pack.column("_text").combine_chunks(), window)
+        self.at = self.texts.windows
         for k, (n_ranges, replies) in enumerate(answers):
             self.ask(k)
             self.hear(n_ranges, ROUNDS[k][2], replies or [])
 
     def ask(self, k: int) -> None:
         seed, base, off = ROUNDS[k]
-        texts = [window_hashes(w, self.window, seed, base)[a] >> np.uint64(off) if a.size else np.empty(0, np.uint64)
-                 for w, a in zip(self.words, self.at)]
-        self.hash = np.concatenate(texts) if texts else np.empty(0, np.uint64)
-        self.distinct, self.place, count = np.unique(self.hash, return_inverse=True, return_counts=True)
-        self.twice = count > 1
+        found = self.texts.hashes(seed, base)[self.at] >> np.uint64(off) if self.at.size else np.empty(0, np.uint64)
+        self.order = np.argsort(found)
+        found = found[self.order]
+        new = np.r_[True, found[1:] != found[:-1]][:found.size]
+        first = np.flatnonzero(new)
+        self.distinct, self.place = found[first], np.cumsum(new) - 1
+        self.twice = np.diff(np.r_[first, found.size]) > 1
 
     def hear(self, n_ranges: int, off: int, replies: list) -> None:
         """Keep the windows whose hash was found elsewhere."""
@@ -198,26 +230,30 @@ class _Asked:
         for r in replies:
             lo, hi = cut[r["range"]], cut[r["range"] + 1]
             again[lo:hi] |= np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=hi - lo).astype(bool)
-        own = again[self.place]
-        ends = np.cumsum([a.size for a in self.at])
-        self.at = [a[own[e - a.size:e]] for a, e in zip(self.at, ends)]
+        self.at = np.sort(self.at[self.order[again[self.place]]])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of packs, one at a time."""
+    for b in batches:
+        for k in range(b.num_rows):
+            yield b.slice(k, 1).to_pylist()[0]
 
 
 def _requests(k: int, window: int, n_ranges: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = _edges(n_ranges[k], 64 - ROUNDS[k][2])
-        for b in batches:
-            for row in b.to_pylist():
-                asked = _Asked(_read_pack(row["payload"]), window, [(n_ranges[j], row[f"r{j}"]) for j in range(k)])
-                asked.ask(k)
-                cut = np.r_[np.searchsorted(asked.distinct, edges), asked.distinct.size]
-                full = np.flatnonzero(np.diff(cut))
-                n = np.diff(cut)[full]
-                blobs = [_dense(asked.distinct[cut[r]:cut[r + 1]]) for r in full]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([row["part"]] * full.size, pa.int32()),
-                     pa.array([row["pack"]] * full.size, pa.int32()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())],
-                    ["range", "part", "pack", "n", "hashes"])
+        for row in _rows(batches):
+            asked = _Asked(_read_pack(row["payload"]), window, [(n_ranges[j], row[f"r{j}"]) for j in range(k)])
+            asked.ask(k)
+            cut = np.r_[np.searchsorted(asked.distinct, edges), asked.distinct.size]
+            full = np.flatnonzero(np.diff(cut))
+            n = np.diff(cut)[full]
+            blobs = [_dense(asked.distinct[cut[r]:cut[r + 1]]) for r in full]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int32()), pa.array([row["part"]] * full.size, pa.int32()),
+                 pa.array([row["pack"]] * full.size, pa.int32()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())],
+                ["range", "part", "pack", "n", "hashes"])
 
     return run
 
@@ -288,33 +324,32 @@ def _cut(text: bytes, mask: np.ndarray) -> bytes:
 
 def _remover(window: int, n_ranges: list[int], texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                pack = _read_pack(row["payload"])
-                asked = _Asked(pack, window, [(n, row[f"r{k}"]) for k, n in enumerate(n_ranges)])
-                raw = pack.column("_text").combine_chunks()
-                removed, spans, shas, kept = [], [], [], []
-                for k, (words, at) in enumerate(zip(asked.words, asked.at)):
-                    if at.size:
-                        mask = ranges(at, at + window, len(words))
-                        edge = np.flatnonzero(np.diff(np.r_[False, mask, False].astype(np.int8)))
-                        spans.append(edge.tolist())
-                        removed.append(int(mask.sum()))
-                        if texts:
-                            kept.append(_cut(raw[k].as_py().encode(), mask).decode())
-                        words = [w for w, m in zip(words, mask.tolist()) if not m]
-                    else:
-                        spans.append([])
-                        removed.append(0)
-                        if texts:
-                            kept.append(raw[k].as_py())
-                    shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                carried = [c for c in pack.column_names if c != "_text"]
-                made = {"_n": pa.array([len(w) for w in asked.words], pa.int64()), "_removed": pa.array(removed, pa.int64()),
-                        "_spans": pa.array(spans, pa.list_(pa.int64())), "_sha": pa.array(shas, pa.string())}
-                made |= {"_kept": pa.array(kept, pa.string())} if texts else {}
-                for out in pa.table({c: pack.column(c) for c in carried} | made).to_batches(max_chunksize=2000):
-                    yield out
+        for row in _rows(batches):
+            pack = _read_pack(row["payload"])
+            asked = _Asked(pack, window, [(n, row[f"r{k}"]) for k, n in enumerate(n_ranges)])
+            first = asked.texts.first
+            mask = ranges(asked.at, asked.at + window, int(first[-1]))
+            removed = np.diff(np.r_[0, np.cumsum(mask)][first])
+            raw, spans, shas, kept = pack.column("_text").combine_chunks(), [], [], []
+            for k, n in enumerate(removed.tolist()):
+                text = raw[k].as_py()
+                code = (text or "").encode()
+                words = code.split()
+                if n:
+                    own = mask[first[k]:first[k + 1]]
+                    spans.append(np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).tolist())
+                    words = [w for w, m in zip(words, own.tolist()) if not m]
+                    text = _cut(code, own).decode() if texts else None
+                else:
+                    spans.append([])
+                shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                if texts:
+                    kept.append(text)
+            made = {"_n": pa.array(np.diff(first), pa.int64()), "_removed": pa.array(removed, pa.int64()),
+                    "_spans": pa.array(spans, pa.list_(pa.int64())), "_sha": pa.array(shas, pa.string())}
+            made |= {"_kept": pa.array(kept, pa.string())} if texts else {}
+            carried = {c: pack.column(c) for c in pack.column_names if c != "_text"}
+            yield from pa.table(carried | made).to_batches(max_chunksize=2000)
 
     return run
 
