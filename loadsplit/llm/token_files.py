@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import shuffle_partitions, utf8
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_600_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
@@ -72,7 +73,7 @@ class WordEncoder(dict):
             text = word.decode()
             found = self._letters(text) if self.plain and _LETTERS.fullmatch(text) else \
                 self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
+            ids = struct.pack(f"<{len(found)}I", *found)
         self[word] = ids
         return ids
 
