@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,16 @@ from pyspark.sql import types as T
 from .common import utf8
 
 N_BEST = 4
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
+CACHED_SEARCHES = 100_000
+GROUP_BYTES = 5 << 20
 MARK = "▁"
 #: (score, ids of the segmentation as little-endian 32-bit integers)
 Path = tuple[float, bytes]
+#: ids of the best segmentation, its score, and per segmentation (score, [(start, number of ids, ids in their place)])
+Segments = tuple[bytes, float, list[tuple[float, list[tuple[int, int, bytes]]]]]
 NEVER = float("-inf")
+LARGEST = sys.float_info.max
 
 
 class Pieces:
@@ -49,19 +55,19 @@ class Pieces:
         self.scores, self.byte_ids = scores, byte_ids
         self.unknown = min((s for _, s in scores.values()), default=0.0) - 10
         self.spelled = [np.uint32(i).astype("<u4").tobytes() for i in byte_ids]
-        #: every beginning of a piece; (score, ids) if it is a piece itself
-        self.missing, self.prefixes = (), {}
+        #: every end of a piece; (score, ids) if it is a piece itself
+        self.missing, self.suffixes = (), {}
         for p in scores:
-            self.prefixes.update({p[:k]: None for k in range(1, len(p)) if p[:k] not in self.prefixes})
-        self.prefixes |= {p: (s, np.uint32(i).astype("<u4").tobytes()) for p, (i, s) in scores.items()}
+            self.suffixes.update({p[k:]: None for k in range(1, len(p))})
+        self.suffixes |= {p: (s, np.uint32(i).astype("<u4").tobytes()) for p, (i, s) in scores.items()}
         joined = any(a != MARK and b == MARK for p in scores for a, b in zip(p, p[1:]))
         broken = any("\n" in p and len(p) > 1 for p in scores)
         words = rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if not broken else rf"{MARK}*[^{MARK}]+|{MARK}+"
         self.chunk = re.compile(words if not joined else r"(?s).+")
-        #: characters that no piece joins to the one before: a chunk's end may be cut off there
-        self.apart = "".join(c for c in ".,!?;:" if not any(b == c and a.isalpha() for p in scores for a, b in zip(p, p[1:])))
+        self.simple = not joined and not broken
         self.form = {i: p.replace(MARK, " ").encode() for p, (i, _) in scores.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.best: dict[str, tuple[bytes, float, float]] = {}
+        self.searched: dict[tuple[str, int], list[Path]] = {}
 
     @classmethod
     def load(cls, model_path: str) -> Pieces:
@@ -79,64 +85,72 @@ class Pieces:
         """Viterbi: best score from the start to every place, and per place the
         (start, score, ids) of the pieces that end there."""
         n = len(chunk)
-        score, edges = [0.0] + [NEVER] * n, [[] for _ in range(n + 1)]
-        for i in range(n):
-            own = [] if chunk[i] in self.scores else [(i + 1, (self.unknown, self._bytes(chunk[i])))]
-            for j in range(i + 1, n + 1):
-                hit = self.prefixes.get(chunk[i:j], self.missing)
+        score, edges = [0.0], [[]]
+        for j in range(1, n + 1):
+            own = [] if chunk[j - 1] in self.scores else [(j - 1, self.unknown, self._bytes(chunk[j - 1]))]
+            for i in range(j - 1, -1, -1):
+                hit = self.suffixes.get(chunk[i:j], self.missing)
                 if hit is self.missing:
                     break
                 if hit:
-                    own.append((j, hit))
-            for j, hit in own:
-                edges[j].append((i, *hit))
-                score[j] = max(score[j], score[i] + hit[0])
+                    own.append((i, *hit))
+            edges.append(own)
+            score.append(max((score[i] + s for i, s, _ in own), default=NEVER))
         return score, edges
 
-    def solve(self, chunk: str) -> tuple[bytes, float, float]:
-        """(ids of the best path as little-endian integers, its score, what the
-        second best path scores less): Viterbi with the two best scores of a place."""
-        get, n, missing, known = self.prefixes.get, len(chunk), self.missing, self.scores
-        first, second, back = [0.0] + [NEVER] * n, [NEVER] * (n + 1), [(0, b"")] * (n + 1)
-        for i in range(n):
-            at, after = first[i], second[i]
-            if chunk[i] not in known:
-                v, top = at + self.unknown, first[i + 1]
-                if v > top:
-                    first[i + 1], second[i + 1], back[i + 1] = v, max(top, after + self.unknown), (i, self._bytes(chunk[i]))
-                elif v > second[i + 1]:
-                    second[i + 1] = v
-            for j in range(i + 1, n + 1):
-                hit = get(chunk[i:j], missing)
-                if hit is None:
-                    continue
-                if hit is missing:
+    def solve(self, chunks: Iterable[str]) -> None:
+        """Remember for each chunk (ids of the best path as little-endian
+        integers, its score, what the second best path scores less): Viterbi with
+        the two best scores of a place. In sorted order a chunk starts from the
+        places it has in common with the one before."""
+        get, missing, known, best = self.suffixes.get, self.missing, self.scores, self.best
+        first, second, back = [0.0], [NEVER], [(0, b"")]
+        last = ""
+        for chunk in sorted(chunks):
+            n, at = len(chunk), 0
+            for x, y in zip(chunk, last):
+                if x != y:
                     break
-                s, own = hit
-                v, top = at + s, first[j]
-                if v > top:
-                    low = after + s
-                    first[j], second[j], back[j] = v, top if top > low else low, (i, own)
-                elif v > second[j]:
-                    second[j] = v
-        ids, at = [], n
-        while at:
-            at, own = back[at]
-            ids.append(own)
-        return b"".join(ids[::-1]), first[n], first[n] - second[n]
-
-    def lookup(self, chunk: str) -> tuple[bytes, float, float]:
-        found = self.best.get(chunk)
-        if found is None:
-            if len(self.best) >= CACHED_CHUNKS:
-                self.best.clear()
-            if chunk[-1] in self.apart and chunk[-2:-1].isalpha():
-                a, b = self.lookup(chunk[:-1]), self.lookup(chunk[-1])
-                found = a[0] + b[0], a[1] + b[1], min(a[2], b[2])
-            else:
-                found = self.solve(chunk)
-            self.best[chunk] = found
-        return found
+                at += 1
+            del first[at + 1:], second[at + 1:], back[at + 1:]
+            last = chunk
+            for j in range(at + 1, n + 1):
+                top = low = NEVER
+                way = 0, b""
+                for i in range(j - 1, -1, -1):
+                    hit = get(chunk[i:j], missing)
+                    if hit is None:
+                        continue
+                    if hit is missing:
+                        break
+                    v = first[i] + hit[0]
+                    if v > top:
+                        after = second[i] + hit[0]
+                        top, low, way = v, top if top > after else after, (i, hit[1])
+                    elif v > low:
+                        low = v
+                if chunk[j - 1] not in known:
+                    v = first[j - 1] + self.unknown
+                    if v > top:
+                        top, low, way = v, max(top, second[j - 1] + self.unknown), (j - 1, self._bytes(chunk[j - 1]))
+                    elif v > low:
+                        low = v
+                first.append(top)
+                second.append(low)
+                back.append(way)
+            ids, at = [], n
+            while at:
+                at, own = back[at]
+                ids.append(own)
+            best[chunk] = b"".join(ids[::-1]), first[n], first[n] - second[n]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Solve the chunks that are not remembered."""
+        new = chunks.difference(self.best)
+        if len(self.best) + len(new) > CACHED_CHUNKS:
+            self.best.clear()
+            new = chunks
+        self.solve(new)
 
     def search(self, chunk: str, n: int) -> list[Path]:
         """The n best segmentations: A* from the end, where the forward score of
@@ -153,30 +167,78 @@ class Pieces:
                 heapq.heappush(heap, (-(score[i] + s + behind), tick, i, s + behind, own + tail))
         return out
 
-    def segment(self, text: str, n: int) -> tuple[bytes, float, list[tuple[float, list[tuple[int, int, bytes]]]]]:
+    def segment(self, text: str, n: int) -> Segments:
         """(ids of the best segmentation, its score, the n best as (score,
         changes)); a change replaces so many ids from a place of the best."""
-        chunks = self.chunk.findall(MARK + text.replace(" ", MARK)) if text else []
-        solved = list(map(self.lookup, chunks))
-        best, total = b"".join([x[0] for x in solved]), sum([x[1] for x in solved])
-        loses = [x[2] for x in solved]
-        turn = [k for k in heapq.nsmallest(n - 1, range(len(loses)), loses.__getitem__) if loses[k] < float("inf")]
-        turn.sort()
-        ways = []
-        for k in turn:  # of equal paths the one in use stands first
-            own = (solved[k][1], solved[k][0])
-            ways.append([own, *[w for w in self.search(chunks[k], n) if w != own]][:n])
-        heap, seen, found = [(-total, (0,) * len(turn))], {(0,) * len(turn)}, []
-        start = np.cumsum([0, *[len(x[0]) // 4 for x in solved]]) if turn else []
+        chunks = self.chunks(text)
+        self.learn(set(chunks))
+        return self.combine(chunks, n)
+
+    def chunks(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if not self.simple or "  " in text or MARK in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            return self.chunk.findall(MARK + text.replace(" ", MARK))
+        out: list[str] = []
+        for line in text.split("\n"):  # the same cuts, where single spaces make them plain
+            head, *rest = line.split(" ")
+            if out:
+                out.append("\n")
+                if head:
+                    out.append(head)
+            else:
+                out.append(MARK + head)
+            out += [MARK + w for w in rest]
+        return out
+
+    def segments(self, texts: Iterable[str], n: int) -> Iterator[Segments]:
+        """``segment`` of each text, in groups whose new chunks are solved together."""
+        group, size = [], 0
+        for text in texts:
+            group.append(self.chunks(text))
+            size += len(text)
+            if size >= GROUP_BYTES:
+                yield from self._together(group, n)
+                group, size = [], 0
+        yield from self._together(group, n)
+
+    def _together(self, group: list[list[str]], n: int) -> Iterator[Segments]:
+        self.learn(set().union(*group))
+        for chunks in group:
+            yield self.combine(chunks, n)
+
+    def ways(self, chunk: str, n: int) -> list[Path]:
+        """The n best segmentations, the remembered best one first of its equals."""
+        found = self.searched.get((chunk, n))
+        if found is None:
+            if len(self.searched) >= CACHED_SEARCHES:
+                self.searched.clear()
+            ids, score, _ = self.best[chunk]
+            found = self.searched[chunk, n] = [(score, ids), *[w for w in self.search(chunk, n) if w != (score, ids)]][:n]
+        return found
+
+    def combine(self, chunks: list[str], n: int) -> Segments:
+        """The n best combinations of solved chunks."""
+        if not chunks:
+            return b"", 0.0, [(0.0, [])]
+        ids, scores, loses = zip(*map(self.best.__getitem__, chunks))
+        total, most = sum(scores), sorted(loses)[:n - 1]
+        limit = min(most[-1], LARGEST) if most else NEVER
+        turn = [k for k, x in enumerate(loses) if x <= limit]
+        turn = sorted(sorted(turn, key=loses.__getitem__)[:n - 1])
+        ways = [self.ways(chunks[k], n) for k in turn]
+        start = [sum(map(len, ids[:k])) // 4 for k in turn]
+        none = (0,) * len(turn)
+        heap, seen, found = [(-total, none)], {none}, []
         while heap and len(found) < n:
             low, pick = heapq.heappop(heap)
-            found.append((-low, [(int(start[k]), len(solved[k][0]) // 4, w[p][1]) for k, w, p in zip(turn, ways, pick) if p]))
+            found.append((-low, [(at, len(ids[k]) // 4, w[p][1]) for k, at, w, p in zip(turn, start, ways, pick) if p]))
             for k, w in enumerate(ways):
                 more = (*pick[:k], pick[k] + 1, *pick[k + 1:])
                 if more[k] < len(w) and more not in seen:
                     seen.add(more)
                     heapq.heappush(heap, (low + w[pick[k]][0] - w[more[k]][0], more))
-        return best, total, found
+        return b"".join(ids), total, found
 
     def decode(self, ids: Sequence[int]) -> str:
         """Text of the ids; the space put before the first word is taken off."""
@@ -221,9 +283,9 @@ def encode(docs: DataFrame, model_path: str, n_best: int = N_BEST, text_col: str
         kind = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct(
             [("start", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                found = [model.segment(t.decode(), n_best) for t in utf8(part.column(1))]
+            for at in range(0, b.num_rows, 1500):
+                part = b.slice(at, 1500)
+                found = list(model.segments((t.decode() for t in utf8(part.column(1))), n_best))
                 paths = [[{"score": s, "changes": [{"start": x, "n": y, "ids": np.frombuffer(z, "<i4")} for x, y, z in c]} for s, c in f[2]] for f in found]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64()),
                                                   pa.array(paths, kind)], ["_row", "ids", "score", "nbest"])
@@ -257,9 +319,8 @@ def digest(docs: DataFrame, model_path: str, n_best: int = N_BEST, id_col: str =
         model = pieces(model_path)
         for b in batches:
             out = []
-            for raw in utf8(b.column(1)):
-                text = raw.decode()
-                ids, score, paths = model.segment(text, n_best)
+            texts = [t.decode() for t in utf8(b.column(1))]
+            for text, (ids, score, paths) in zip(texts, model.segments(texts, n_best)):
                 same = model.decode(np.frombuffer(ids, "<u4").tolist()) == text
                 out.append((len(ids) // 4, score, zlib.crc32(ids), same, [p[0] for p in paths], [zlib.crc32(replace(ids, p[1])) for p in paths]))
             kinds = (pa.int64(), pa.float64(), pa.int64(), pa.bool_(), pa.list_(pa.float64()), pa.list_(pa.int64()))

@@ -148,7 +148,7 @@ def test_nbest_matches_all_segmentations():
             return [(0.0, b"")]
         out = [] if s[0] in m.scores else [(m.unknown + x, m._bytes(s[0]) + i) for x, i in every(s[1:])]
         for j in range(1, len(s) + 1):
-            hit = m.prefixes.get(s[:j])
+            hit = m.suffixes.get(s[:j])
             out += [(hit[0] + x, hit[1] + i) for x, i in every(s[j:])] if hit else []
         return out
 
@@ -156,6 +156,7 @@ def test_nbest_matches_all_segmentations():
     for _ in range(150):
         s = "".join(rng.choice("the and  é\n日ℵing.") for _ in range(rng.randint(0, 9)))
         ways = every("▁" + s.replace(" ", "▁")) if s else [(0.0, b"")]
+        assert m.chunks(s) == (m.chunk.findall("▁" + s.replace(" ", "▁")) if s else [])
         ids, total, paths = m.segment(s, 4)
         full = [(p, piece_nbest.replace(ids, c)) for p, c in paths]
         assert [p for p, _ in full] == sorted((x for x, _ in ways), reverse=True)[:4]
