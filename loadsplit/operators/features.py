@@ -12,17 +12,15 @@ from loadsplit.functions import calendar as C
 from loadsplit.functions.numeric import exact_sum
 
 
-def join_weather(intervals: DataFrame, weather: DataFrame, broadcast_weather: bool = False) -> DataFrame:
-    """F5 + F6: left equi-join on the top of the hour; unmatched temp is null.
+def join_weather(intervals: DataFrame, weather: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """F5 + F6: left equi-join on the top of the hour (and the station ``keys``,
+    which both sides then have); unmatched temp is null.
 
-    Hourly weather is hours x stations, so it is normally broadcast; pass
-    ``broadcast_weather=True`` after checking its size, otherwise AQE picks the
-    strategy from runtime statistics.
+    Hourly weather is hours x stations. Read from a stored table its size is
+    known when the join is planned, and the optimizer's own threshold decides.
     """
-    w = weather.select(F.col("datetime").alias("hour_dt"), F.col("temp_c"))
-    if broadcast_weather:
-        w = F.broadcast(w)
-    return intervals.withColumn("hour_dt", C.hour_floor("interval_start_dt")).join(w, "hour_dt", "left")
+    w = weather.select(*keys, F.col("datetime").alias("hour_dt"), F.col("temp_c"))
+    return intervals.withColumn("hour_dt", C.hour_floor("interval_start_dt")).join(w, [*keys, "hour_dt"], "left")
 
 
 def ac_proxy(temp="temp_c"):
@@ -31,9 +29,9 @@ def ac_proxy(temp="temp_c"):
     return F.coalesce(t > AC_PROXY_TEMP_C, F.lit(False))
 
 
-def interval_features(intervals: DataFrame, weather: DataFrame, broadcast_weather: bool = False) -> DataFrame:
+def interval_features(intervals: DataFrame, weather: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """F8: F1-F7 composed, the 9-column silver layout."""
-    j = join_weather(intervals, weather, broadcast_weather)
+    j = join_weather(intervals, weather, keys)
     ts = F.col("interval_start_dt")
     return j.select(
         F.col("esiid"),

@@ -23,7 +23,9 @@ date or month.
 
 from __future__ import annotations
 
+import contextlib
 import logging
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ from loadsplit.operators import ingest as I
 from loadsplit.operators import model as M
 from loadsplit.operators import quality as Q
 from loadsplit.operators import weather as W
-from loadsplit.session import path_exists, scratch_path
+from loadsplit.session import path_exists, remove_scratch, scratch_path
 from loadsplit.sources import meter_csv as S
 from loadsplit.sources import sinks
 
@@ -53,11 +55,16 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def stage(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
+@contextlib.contextmanager
+def staged(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Write ``df`` once to the shared checkpoint folder, read it back, and
+    remove it when the block that uses it ends."""
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        remove_scratch(spark, path)
 
 
 # --- dates to work in -----------------------------------------------------------------
@@ -99,10 +106,10 @@ def run_ingest(spark: SparkSession, meter_root: str, warehouse: str, layout: str
     listing = S.list_meter_files(spark, meter_root)
     loaded = _read(spark, _t(warehouse, "bronze"))
     new = I.new_files_only(listing, loaded) if loaded is not None else listing
-    new = stage(new.select("source_file"), spark, "new-files")
-    months = sorted(r[0] for r in new.select(F.substring("source_file", 1, 7)).distinct().collect())
-    lines = S.meter_lines(spark, meter_root, [f"{meter_root.rstrip('/')}/{m}" for m in months])
-    return ingest_lines(spark, lines.join(new, "source_file", "left_semi"), warehouse, listing.count() - new.count())
+    with staged(spark, new.select("source_file"), "new-files") as new:
+        months = sorted(r[0] for r in new.select(F.substring("source_file", 1, 7)).distinct().collect())
+        lines = S.meter_lines(spark, meter_root, [f"{meter_root.rstrip('/')}/{m}" for m in months])
+        return ingest_lines(spark, lines.join(new, "source_file", "left_semi"), warehouse, listing.count() - new.count())
 
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, warehouse: str, skipped: int | None = None) -> DataFrame:
@@ -131,18 +138,19 @@ def ingest_raw(spark: SparkSession, raw: DataFrame, warehouse: str, skipped: int
     bad = I.row_parse_error()
     if "missing_columns" in raw.columns:
         bad = bad | F.col("missing_columns")
-    typed = stage(I.to_bronze(raw.withColumn("_bad", bad), keep=("_bad",)), spark, "ingest-stage")
-    status = typed.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_or("_bad").alias("has_error"))
-    rows = typed.join(status.where("has_error").select("source_file"), "source_file", "left_anti").drop("_bad")
-    sinks.write_table(rows, _t(warehouse, "bronze"), mode="append", cluster_by=LAYOUT)
-    _write_report(rows, warehouse)
-    ok = ~F.col("has_error")
-    return status.agg(
-        F.coalesce(F.sum(F.when(ok, F.col("n_rows"))), F.lit(0)).cast("long").alias("rows_loaded"),
-        F.count_if(ok).alias("files_loaded"),
-        F.lit(skipped).cast("long").alias("files_skipped"),
-        F.count_if(~ok).alias("files_in_error"),
-    )
+    with staged(spark, I.to_bronze(raw.withColumn("_bad", bad), keep=("_bad",)), "ingest-stage") as typed:
+        status = typed.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_or("_bad").alias("has_error"))
+        rows = typed.join(status.where("has_error").select("source_file"), "source_file", "left_anti").drop("_bad")
+        sinks.write_table(rows, _t(warehouse, "bronze"), mode="append", cluster_by=LAYOUT)
+        _write_report(rows, warehouse)
+        ok = ~F.col("has_error")
+        report = status.agg(
+            F.coalesce(F.sum(F.when(ok, F.col("n_rows"))), F.lit(0)).cast("long").alias("rows_loaded"),
+            F.count_if(ok).alias("files_loaded"),
+            F.lit(skipped).cast("long").alias("files_skipped"),
+            F.count_if(~ok).alias("files_in_error"),
+        )
+        return spark.createDataFrame(report.collect(), report.schema)  # one row
 
 
 def _write_report(rows: DataFrame, warehouse: str) -> None:
@@ -187,15 +195,16 @@ def run_features(spark: SparkSession, warehouse: str) -> DataFrame:
     bronze, state = spark.read.parquet(_t(warehouse, "bronze")), _t(warehouse, "state_features")
     dates = touched_dates(spark, bronze, state)
     if dates:
-        weather = stage(W.dedupe_hour(spark.read.parquet(_t(warehouse, "weather"))), spark, "weather-hours")
         rows = I.filter_flow(bronze.where(on_dates(dates))).select("esiid", "interval_start_dt", "usage_kwh")
-        feats = FT.interval_features(rows, weather).withColumn("usage_date", F.to_date("interval_start_dt"))
-        feats = stage(feats, spark, "silver-stage")
-        lost = feats.agg(F.count_if(F.col("temp_c").isNull()), F.count_if(F.col("usage_kwh").isNull())).first()
-        if any(lost):
-            log.warning("%d intervals without weather, %d without kWh", *lost)
-        sinks.write_table(feats, _t(warehouse, "silver_intervals"), mode="overwrite", cluster_by=LAYOUT)
-        sinks.write_table(FT.daily_features(feats.drop("usage_date")), _t(warehouse, "silver_daily"), mode="overwrite", cluster_by=LAYOUT)
+        with staged(spark, W.dedupe_hour(spark.read.parquet(_t(warehouse, "weather"))), "weather-hours") as weather:
+            feats = FT.interval_features(rows, weather).withColumn("usage_date", F.to_date("interval_start_dt"))
+            with staged(spark, feats, "silver-stage") as feats:
+                lost = feats.agg(F.count_if(F.col("temp_c").isNull()), F.count_if(F.col("usage_kwh").isNull())).first()
+                if any(lost):
+                    log.warning("%d intervals without weather, %d without kWh", *lost)
+                sinks.write_table(feats, _t(warehouse, "silver_intervals"), mode="overwrite", cluster_by=LAYOUT)
+                sinks.write_table(FT.daily_features(feats.drop("usage_date")), _t(warehouse, "silver_daily"), mode="overwrite",
+                                  cluster_by=LAYOUT)
         record_dates(spark, state, dates)
     return spark.read.parquet(_t(warehouse, "silver_daily"))
 

@@ -62,6 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/loadsplit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path`` once nothing reads it any more."""
+    if not path.startswith(f"{checkpoint_root(spark).rstrip('/')}/loadsplit/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side helpers can test paths."""
     return path[5:] if path.startswith("file:") else path

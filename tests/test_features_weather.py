@@ -82,3 +82,15 @@ def test_stations_fill_independently(spark):
                    ("b", 10): 0.0, ("b", 11): 1.0, ("b", 12): 2.0, ("b", 13): 3.0}
     plan = W.build_weather(r, keys=["station"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(station" in plan
+
+
+def test_weather_joins_by_station_and_fills_across_years(spark):
+    from loadsplit.operators import features as FT
+    from loadsplit.operators import weather as W
+    rows = [("s1", ts("2023-12-31T22:00"), 10.0), ("s1", ts("2024-01-01T02:00"), 14.0), ("s2", ts("2023-12-31T23:00"), 30.0)]
+    hours = W.fill_hours(spark.createDataFrame(rows, "station string, datetime timestamp_ntz, temp_c double"), ["station"])
+    assert [r["temp_c"] for r in hours.where("station = 's1'").orderBy("datetime").collect()] == [10.0, 11.0, 12.0, 13.0, 14.0]
+    m = spark.createDataFrame([("a", "s1", ts("2023-12-31T23:15")), ("b", "s2", ts("2023-12-31T23:15")), ("c", "s2", ts("2024-01-01T00:00"))],
+                              "esiid string, station string, interval_start_dt timestamp_ntz")
+    got = {r["esiid"]: r["temp_c"] for r in FT.join_weather(m, hours, ["station"]).collect()}
+    assert got == {"a": 11.0, "b": 30.0, "c": None}
