@@ -94,6 +94,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 """
 
+OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT k, unnest(range(1, len(w) - 33)) AS p, w FROM d WHERE len(w) >= 35),
+g AS (SELECT k, p, sha256(array_to_string(w[p:p + 34], ' ')) AS h FROM win),
+rep AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY h) AS n FROM g) WHERE n > 1),
+gone AS (SELECT DISTINCT k, unnest(range(p, p + 35)) AS q FROM rep),
+words AS (SELECT k, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS x FROM d),
+kept AS (
+  SELECT k, count(*) AS n, string_agg(x, ' ' ORDER BY q) AS s
+  FROM words ANTI JOIN gone USING (k, q) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (k)
+"""
+
 OP7 = """
 WITH tab AS (
   SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k:
@@ -115,6 +130,7 @@ FROM s
 ORACLES = {
     "op3_quality_rules": OP3,
     "op4_decontaminate": OP4,
+    "op6_substring_dedup": OP6,
     "op7_shards": OP7,
     "op10_url_filter": OP10,
 }
