@@ -39,27 +39,26 @@ def range_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def global_offsets(parts: DataFrame) -> DataFrame:
-    """``parts`` with _start (bytes before the row), _row (rows before it) and
-    _total (all bytes)."""
+    """``parts`` with _start (bytes before the row) and _row (rows before it)."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = parts.groupBy("_part").agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
     totals = totals.select("_part", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes0"),
                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows0"))
-    grand = parts.agg(F.sum("size").alias("_total"))
     within = Window.partitionBy("_part").orderBy("_id", "_tie")
     return parts.select("*", F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s"),
                         (F.row_number().over(within) - 1).cast("long").alias("_r")) \
-        .join(F.broadcast(totals), "_part").join(F.broadcast(grand)) \
+        .join(F.broadcast(totals), "_part") \
         .select("_id", "size", "text_crc32", (F.col("_bytes0") + F.col("_s")).alias("_start"),
-                (F.col("_rows0") + F.col("_r")).alias("_row"), "_total")
+                (F.col("_rows0") + F.col("_r")).alias("_row"))
 
 
 def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, size, text_crc32, law, shard, slot, grown_shard.
     A row goes to the shard whose target range holds its first byte, so shard
     sizes differ from the target by less than one row."""
-    rows = global_offsets(range_parts(docs, id_col, text_col)) \
-        .withColumn("shard", F.floor(F.col("_start").cast("decimal(38,0)") * n_shards / F.col("_total")).cast("int"))
+    parts = range_parts(docs, id_col, text_col)
+    total = parts.agg(F.sum("size")).first()[0] or 1
+    rows = global_offsets(parts).withColumn("shard", F.expr(f"cast(cast(_start as decimal(38,0)) * {n_shards} div {total} as int)"))
     first = rows.groupBy("shard").agg(F.min("_row").alias("_first"))
     return rows.join(F.broadcast(first), "shard").select(
         F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",

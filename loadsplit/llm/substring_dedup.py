@@ -177,7 +177,9 @@ def pack_texts(docs: DataFrame, text_col: str = "text", window: int = WINDOW, pa
     packs = rows.mapInArrow(_packer(window, pack_bytes), "part int, pack int, windows long, payload binary")
     name = f"packs_{uuid.uuid4().hex}"
     packs.write.bucketBy(shuffle_partitions(spark), "part").option("path", scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # of the catalog's entry; the files are the table's own
+    return table
 
 
 # --- counting -------------------------------------------------------------------------
