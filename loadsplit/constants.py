@@ -5,7 +5,6 @@ Fixed values (natural order, as published by the reference pipeline):
 
 # --- fixed values -----------------------------------------------------------
 INTERVALS_PER_DAY = 96
-INTERVAL_MINUTES = 15
 PEAK_START_HOUR = 6            # peak is [6, 21)
 PEAK_END_HOUR = 21
 AC_PROXY_TEMP_C = 23.0         # strictly greater
@@ -16,10 +15,6 @@ MAX_ITER = 20                  # notebook path
 MIN_CONFIDENCE = 0.3
 MIN_MAX_DISTANCE = 1e-9
 
-ESTIMATED_ACTUAL_VALUES = ("A", "E")
-FLOW_DIRECTIONS = ("Consumption", "SurplusGeneration")
-APPLIANCES = ("hvac", "dryer", "washer", "cooking", "baseline")
-BAND_NAMES = ("baseline", "hvac", "washer", "dryer", "cooking", "morning", "other")
 SUMMARY_APPLIANCE_COLUMNS = ("hvac_kwh", "washer_kwh", "dryer_kwh", "cooking_kwh", "baseline_kwh")
 
 RAW_COLUMNS = (

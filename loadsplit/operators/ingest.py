@@ -73,10 +73,6 @@ def quarantine_bad_files(raw: DataFrame) -> DataFrame:
     return raw.join(bad, "source_file", "left_anti")
 
 
-def bad_files(raw: DataFrame) -> DataFrame:
-    return raw.where(row_parse_error()).groupBy("source_file").agg(F.count(F.lit(1)).alias("bad_rows"))
-
-
 def new_files_only(files: DataFrame, loaded: DataFrame) -> DataFrame:
     """Keep files (rows or a listing) whose ``source_file`` is not yet loaded.
 

@@ -124,29 +124,13 @@ def scaler_table(spark: SparkSession, fitted: dict, cols: Sequence[str] = FEATUR
     return spark.createDataFrame([tuple(vals)], T.StructType(fields))
 
 
-def scaler_stats(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
-    """D4 statistics: population mean and standard deviation per feature, from
-    exact decimal sums (order-independent)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for c in cols:
-        d = to_decimal(c)
-        aggs += [F.sum(d).cast("double").alias(f"s1_{c}"), F.sum(d * d).cast("double").alias(f"s2_{c}")]
-    s = df.agg(*aggs)
-    out = []
-    for c in cols:
-        mean = F.col(f"s1_{c}") / F.col("n")
-        var = F.greatest(F.lit(0.0), F.col(f"s2_{c}") / F.col("n") - mean * mean)
-        out += [mean.alias(f"mean_{c}"), F.sqrt(var).alias(f"std_{c}")]
-    return s.select(*out)
-
-
 def standardize(df: DataFrame, cols: Sequence[str] = FEATURES, stats: DataFrame | dict | None = None) -> DataFrame:
     """Z-score with population sigma; a constant column scales to 0.
 
     ``stats`` can be a persisted one-row table (D19) so new data is scored
     with the fitted scaler instead of its own statistics.
     """
-    stats = scaler_stats(df, cols) if stats is None else stats
+    stats = fit_scaler(df, cols, impute="") if stats is None else stats
     s = stats if isinstance(stats, dict) else stats.first().asDict()
     zs = []
     for c in cols:

@@ -1,4 +1,4 @@
-"""Declared schemas of every stage table (no schema inference anywhere)."""
+"""Schemas of the tables that are read as text or made from rows."""
 
 from pyspark.sql import types as T
 
@@ -6,65 +6,11 @@ from loadsplit.constants import RAW_COLUMNS
 
 RAW_METER = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
-BRONZE = T.StructType([
-    T.StructField("esiid", T.StringType()),
-    T.StructField("usage_date", T.DateType()),
-    T.StructField("revision_date", T.TimestampNTZType()),
-    T.StructField("interval_start", T.StringType()),
-    T.StructField("interval_end", T.StringType()),
-    T.StructField("interval_start_dt", T.TimestampNTZType()),
-    T.StructField("usage_kwh", T.DoubleType()),
-    T.StructField("estimated_actual", T.StringType()),
-    T.StructField("flow_direction", T.StringType()),
-    T.StructField("source_file", T.StringType()),
-    T.StructField("loaded_at", T.TimestampType()),
-])
-
-STATION_RAW = T.StructType([
-    T.StructField("DATE", T.StringType()),
-    T.StructField("HourlyDryBulbTemperature", T.StringType()),
-])
-
 WEATHER_RAW = T.StructType([
     T.StructField("datetime", T.StringType()),
     T.StructField("temp_c", T.StringType()),
 ])
 
-HOURLY_WEATHER = T.StructType([
-    T.StructField("datetime", T.TimestampNTZType()),
-    T.StructField("temp_c", T.DoubleType()),
-])
-
-INTERVAL_FEATURES = T.StructType([
-    T.StructField("esiid", T.StringType()),
-    T.StructField("interval_start_dt", T.TimestampNTZType()),
-    T.StructField("usage_kwh", T.DoubleType()),
-    T.StructField("hour_of_day", T.IntegerType()),
-    T.StructField("day_of_week", T.IntegerType()),
-    T.StructField("is_weekend", T.BooleanType()),
-    T.StructField("is_peak", T.BooleanType()),
-    T.StructField("temp_c", T.DoubleType()),
-    T.StructField("ac_proxy", T.BooleanType()),
-])
-
-DAILY_FEATURES = T.StructType([
-    T.StructField("esiid", T.StringType()),
-    T.StructField("usage_date", T.DateType()),
-    T.StructField("total_kwh", T.DoubleType()),
-    T.StructField("peak_kwh", T.DoubleType()),
-    T.StructField("offpeak_kwh", T.DoubleType()),
-    T.StructField("peak_ratio", T.DoubleType()),
-    T.StructField("max_interval_kwh", T.DoubleType()),
-])
-
-APPLIANCE_ESTIMATES = T.StructType([
-    T.StructField("esiid", T.StringType()),
-    T.StructField("usage_date", T.DateType()),
-    T.StructField("appliance", T.StringType()),
-    T.StructField("estimated_kwh", T.DoubleType()),
-    T.StructField("confidence", T.DoubleType()),
-])
-
 CENTROIDS = T.StructType([
     T.StructField("cluster", T.IntegerType()),
     T.StructField("usage_kwh", T.DoubleType()),
@@ -73,10 +19,3 @@ CENTROIDS = T.StructType([
     T.StructField("temp_c", T.DoubleType()),
     T.StructField("ac_proxy_int", T.DoubleType()),
 ])
-
-RUNS = T.StructType([
-    T.StructField("run_date", T.DateType()),
-    T.StructField("start_slot", T.IntegerType()),
-    T.StructField("n_slots", T.IntegerType()),
-    T.StructField("kw", T.DoubleType()),
-])
