@@ -4,7 +4,7 @@ scores over the lattice of pieces are exact heuristics for a backward A* search.
 The lattice of a text falls apart at places that no piece spans (before a word
 mark that follows another character, around line breaks), so a text's
 segmentations are combinations of those of its chunks. Chunks are solved once
-per worker and remembered: ids and score of the best path, and how much the
+per task and remembered: ids and score of the best path, and how much the
 second best loses. A text's N best can only change the N - 1 chunks that lose
 least; those are searched by A* and combined best first.
 
@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from .common import utf8
 
 N_BEST = 4
-CACHED_CHUNKS = 1_000_000
-CACHED_SEARCHES = 100_000
-GROUP_BYTES = 5 << 20
+CACHED_CHUNKS = 500_000
+CACHED_SEARCHES = 20_000
+GROUP_BYTES = 2 << 20
 MARK = "▁"
 #: (score, ids of the segmentation as little-endian 32-bit integers)
 Path = tuple[float, bytes]
@@ -207,6 +207,10 @@ class Pieces:
         for chunks in group:
             yield self.combine(chunks, n)
 
+    def forget(self) -> None:
+        """Drop what is remembered: a worker lives on after its task."""
+        self.best, self.searched = {}, {}
+
     def ways(self, chunk: str, n: int) -> list[Path]:
         """The n best segmentations, the remembered best one first of its equals."""
         found = self.searched.get((chunk, n))
@@ -289,6 +293,7 @@ def encode(docs: DataFrame, model_path: str, n_best: int = N_BEST, text_col: str
                 paths = [[{"score": s, "changes": [{"start": x, "n": y, "ids": np.frombuffer(z, "<i4")} for x, y, z in c]} for s, c in f[2]] for f in found]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64()),
                                                   pa.array(paths, kind)], ["_row", "ids", "score", "nbest"])
+        model.forget()
 
     return rows.mapInArrow(run, schema).select("_row.*", "ids", "score", "nbest")
 
@@ -325,5 +330,6 @@ def digest(docs: DataFrame, model_path: str, n_best: int = N_BEST, id_col: str =
                 out.append((len(ids) // 4, score, zlib.crc32(ids), same, [p[0] for p in paths], [zlib.crc32(replace(ids, p[1])) for p in paths]))
             kinds = (pa.int64(), pa.float64(), pa.int64(), pa.bool_(), pa.list_(pa.float64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(list(v), k) for v, k in zip(zip(*out), kinds)]], schema.names)
+        model.forget()
 
     return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
