@@ -42,6 +42,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 CELL_ROWS = 20_000
+HOT = 10_000
 PIECE = 1 << 18
 SEGMENTS = 32
 #: low bit of every two-bit segment
@@ -196,13 +197,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, fingerprint (16 hex digits), component_id (the
     smallest id that links reach)."""
     marks = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
-    nodes = stage(marks.groupBy("_fp").agg(F.min("_id").alias("_low")), "simhash-nodes")
+    nodes = stage(marks.groupBy("_fp").agg(F.min("_id").alias("_low"), F.count(F.lit(1)).alias("_n")), "simhash-nodes")
     roots = connected_components(stage(links(nodes, max_bits, cell_rows), "simhash-links"))
     linked = nodes.join(roots, nodes["_fp"] == roots["node"]).select("_fp", "_low", "root")
     low = linked.groupBy("root").agg(F.min("_low").alias("_component"))
     named = linked.join(low, "root").select("_fp", "_component")
-    classes = nodes.join(named, "_fp", "left").select("_fp", F.coalesce("_component", "_low").alias("component_id"))
-    return marks.join(classes, "_fp", "left").select(
+    classes = stage(nodes.join(named, "_fp", "left").select("_fp", "_n", F.coalesce("_component", "_low").alias("component_id")), "simhash-classes")
+    # fewer than HOT fingerprints can each have more than one row in HOT, so
+    # these are broadcast whatever the input; all others have few rows a key
+    hot = F.broadcast(classes.where(F.col("_n") * HOT > marks.count()).drop("_n"))
+    rest = marks.join(hot.select("_fp"), "_fp", "left_anti").join(classes.drop("_n"), "_fp")
+    return marks.join(hot, "_fp").unionByName(rest).select(
         F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
