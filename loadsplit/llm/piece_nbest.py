@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import utf8
 
 N_BEST = 4
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 700_000
 CACHED_SEARCHES = 20_000
 GROUP_BYTES = 2 << 20
 MARK = "▁"
