@@ -10,7 +10,8 @@ least; those are searched by A* and combined best first.
 
 A path's score is the sum of the model's piece scores. A character that no
 piece covers is spelled in byte pieces, at ten less than the lowest score.
-Ties between segmentations are broken alike every time, by the search order.
+Ties between segmentations are broken alike every time, by the search order;
+a search leaves each place at most N times, however many paths tie.
 
 Defined cases: null and empty texts have no ids and one segmentation of score
 zero; very long texts are read whole (a chunk is bounded by the distance of
@@ -154,17 +155,27 @@ class Pieces:
 
     def search(self, chunk: str, n: int) -> list[Path]:
         """The n best segmentations: A* from the end, where the forward score of
-        a place is just what the best start up to it adds."""
+        a place is just what the best start up to it adds. Of equal states the
+        one nearest to the start goes on, and a place is left in the n best ways
+        only, so ties and rounding cannot multiply what is open."""
         score, edges = self.forward(chunk)
-        heap, tick, out = [(-score[-1], 0, len(chunk), 0.0, b"")], 0, []
+        heap, tick, out, left = [(-score[-1], len(chunk), 0, 0.0, None)], 0, [], [0] * (len(chunk) + 1)
         while heap and len(out) < n:
-            _, _, at, behind, tail = heapq.heappop(heap)
+            _, at, _, behind, tail = heapq.heappop(heap)
             if at == 0:
-                out.append((behind, tail))
+                ids = []
+                while tail:
+                    own, tail = tail
+                    ids.append(own)
+                out.append((behind, b"".join(ids)))
                 continue
+            if left[at] == n:
+                continue
+            left[at] += 1
             for i, s, own in edges[at]:
-                tick += 1
-                heapq.heappush(heap, (-(score[i] + s + behind), tick, i, s + behind, own + tail))
+                if left[i] < n:
+                    tick += 1
+                    heapq.heappush(heap, (-(score[i] + s + behind), i, tick, s + behind, (own, tail)))
         return out
 
     def segment(self, text: str, n: int) -> Segments:

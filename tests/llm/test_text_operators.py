@@ -164,6 +164,33 @@ def test_nbest_matches_all_segmentations():
         assert m.decode(np.frombuffer(ids, "<u4").tolist()) == s
 
 
+def test_nbest_of_many_ties(docs):
+    """Runs of spaces have millions of tied best paths; long texts may have no space at all."""
+    m = piece_nbest.pieces(vocabulary("piece_bpe_32k.model"))
+    rng = random.Random(4)
+
+    def best_scores(s, n=4):  # n best scores up to every place, without paths
+        longest, top = max(map(len, m.scores)), [[0.0]]
+        for j in range(1, len(s) + 1):
+            own = [x + m.unknown for x in top[j - 1]] if s[j - 1] not in m.scores else []
+            for i in range(max(0, j - longest), j):
+                hit = m.scores.get(s[i:j])
+                own += [x + hit[1] for x in top[i]] if hit else []
+            top.append(sorted(own, reverse=True)[:n])
+        return top[-1]
+
+    letters = "".join(rng.choice("etaoinshr") for _ in range(100_000))
+    rows = [" " * 200, "a" + " " * 1000 + "b", "x\n" + " " * 1000 + "\n" + " " * 999 + "y", "-" * 1000, "ab" * 2000, letters, "é日ℵ" * 500]
+    for text in rows:
+        ids, total, paths = m.segment(text, 4)
+        full = [piece_nbest.replace(ids, c) for _, c in paths]
+        assert [p for p, _ in paths] == best_scores("▁" + text.replace(" ", "▁")) and len(set(full)) == len(full)
+        assert full[0] == ids and paths[0][0] == total
+        assert all(m.decode(np.frombuffer(i, "<u4").tolist()) == text for i in full)
+    got = piece_nbest.digest(docs(list(enumerate(rows))), vocabulary("piece_bpe_32k.model")).collect()
+    assert len(got) == len(rows) and all(r.round_trip for r in got)
+
+
 def test_nbest_frames(docs):
     rows = odd_texts(3000)
     coded = piece_nbest.encode(docs(rows), vocabulary("piece_bpe_32k.model"), keep=("doc_id", "text", "score"))
