@@ -3,7 +3,7 @@ decontamination, tokens. Each stage is written as Parquet and read again by
 the next one.
 
 A document that fails a quality rule goes; of each group of near duplicates the
-document with the smallest id stays; passages that repeat are cut out of the
+row with the smallest id stays (one row, also if its id repeats); passages that repeat are cut out of the
 texts (a text that has no word left stays as an empty text); contaminated
 documents go. All stages but the last return the columns of ``documents``.
 """

@@ -19,8 +19,8 @@ Defined cases: null, empty and blank texts have fingerprint zero and are linked
 like any other; texts of fewer words than a shingle are one shingle; texts are
 read whole, in pieces; null ids are ignored as smallest id (a component of null
 ids only has a null id); repeated rows keep their rows in ``components``, and
-rows with one id stay or go together in ``drop_near_duplicates``; empty tables
-give empty results.
+``drop_near_duplicates`` keeps one row of a component, also if ids repeat or
+are null; empty tables give empty results.
 Columns other than id and text are not read.
 """
 
@@ -212,8 +212,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the smallest id of every component, all columns
-    unchanged. Rows with the same id are one document and stay or go together."""
-    found = components(docs, id_col, text_col, **options)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(F.col("_stay")), "left_semi")
+    """One row of every component, all columns unchanged: the one with the
+    smallest id (nulls last), of rows with one id the first by row key. The keys
+    are staged with the rows, so every pass sees the same."""
+    rows = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                             F.monotonically_increasing_id().alias("_key")), "simhash-rows")
+    own = F.col("_row")[id_col]
+    ranked = rows.select(F.struct(own.isNull().alias("none"), own.alias("id"), F.col("_key").alias("key")).alias("_rank"),
+                         F.col("_row")[text_col].alias("_text"))
+    found = components(ranked, "_rank", "_text", **options)
+    stay = found.where(F.col("_rank.key") == F.col("component_id.key")).select(F.col("_rank.key").alias("_key"))
+    return rows.join(stay, "_key", "left_semi").select("_row.*")

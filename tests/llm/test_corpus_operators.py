@@ -75,6 +75,21 @@ def test_simhash_keeps_one_of_a_group(docs):
     assert simhash.components(docs(rows).limit(0)).count() == 0
 
 
+def test_repeated_rows_and_null_ids_pass_the_dedup_stages(spark, docs):
+    """One row of a group stays, so the substring stage finds no second copy to cut."""
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (None, b.upper()), (None, c), (3, c), (4, None), (None, ""), (5, "short x"), (5, "other y words")]
+    near = corpus_pipeline.near_dedup(spark, docs(rows), "")
+    assert near.columns == docs(rows).columns
+    kept = sorted((str(r.doc_id), r.text or "") for r in near.collect())
+    assert [k for k in kept if k[0] != "None"] == [("1", a), ("3", c), ("4", ""), ("5", "other y words"), ("5", "short x")]
+    assert [k for k in kept if k[0] == "None"] in ([("None", b)], [("None", b.upper())])
+    cut = substring_dedup.drop_repeats(near).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in cut) == kept
+    assert simhash.drop_near_duplicates(docs(rows).limit(0)).count() == 0
+
+
 def test_grid_bound_and_forest():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
