@@ -3,8 +3,8 @@ visibility rules, and a renderer that emits all visible text with block
 spacing, lists and aligned table cells.
 
 The page is read once by the standard tokenizer. The tree builder closes what a
-new tag closes by implication (paragraphs before blocks, list items, table rows
-and cells, options, definition terms), ignores end tags without a start, and
+new tag closes by implication (the head, paragraphs before blocks, list items,
+table rows and cells, options, definition terms), ignores end tags without a start, and
 closes what is open at the end. Below ``MAX_DEPTH`` open elements, further ones
 are put side by side, so depth is bounded and no text is lost. Rendering
 follows: white space collapses in a line except inside ``pre``; paragraphs,
@@ -50,6 +50,8 @@ IMPLIED = {
     "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, set()),
 }
+#: all that a head holds; anything else ends it
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 #: an end tag or implied end does not reach past these
 SCOPE = frozenset("table td th caption html template".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -83,7 +85,14 @@ class TreeBuilder(HTMLParser):
         if found:
             del self.open[found:]
 
+    def _end_head(self) -> None:
+        """What cannot be in a head ends one whose end tag is left out."""
+        if self.open[-1].tag == "head":
+            self._close({"head"}, set())
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self._end_head()
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         if tag in BLOCK:
@@ -100,6 +109,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
+            self._end_head()
             self.open[-1].children.append(Node("br", {}))
         else:
             self._close_last(tag)
@@ -113,6 +123,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         self.open[-1].children.append(data)
 
 

@@ -218,6 +218,15 @@ def test_html_rendering(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><p>text", "text"), ("<html><head><title>t</title>\n text <b>x</b>", "text x"), ("<head><div>a</div><p>b", "a\n\nb"),
+    ("<head><meta charset=x><link rel=y><script>s</script><noscript>n</noscript><template>u</template><base><style>z</style>\n<img alt=pic> c", "pic c"),
+    ("<head><title>t <i>u</i></title><title>v</title></head>a", "a"), ("<p>a<head><title>t</title>b", "ab"), ("<head></br>a", "a"),
+    ("<head><header>a</header>b", "a\nb")])
+def test_html_head_without_end(page, text):
+    assert html_text.render(page).strip("\n") == text
+
+
 def test_html_frame(spark, docs):
     docs([])
     rows = [(1, "<p>a"), (None, None), (2, ""), (2, "<p>a"), (3, "<p>" + "x " * 50_000)]
