@@ -207,6 +207,20 @@ def _number(value: str | None, least: int, most: int) -> int:
         return least
 
 
+def _cells(node: Node, row: list[Node]) -> Node:
+    """Put the cells under a row into ``row``; returns the row without them.
+    Elements around cells (a form) are looked into, other tables are not."""
+    rest = Node(node.tag, node.attrs)
+    for c in node.children:
+        if isinstance(c, str) or c.tag == "table" or not visible(c):
+            rest.children.append(c)
+        elif c.tag in ("td", "th"):
+            row.append(c)
+        else:
+            rest.children.append(_cells(c, row))
+    return rest
+
+
 def _table(node: Node) -> list[str]:
     """Caption, then rows whose cells are padded to their column's width."""
     caption, rows = [], []
@@ -216,13 +230,14 @@ def _table(node: Node) -> list[str]:
             if isinstance(c, str) or not visible(c):
                 continue
             if c.tag == "tr":
-                rows.append([(lines_of(x), _number(x.attrs.get("colspan"), 1, 1000))
-                             for x in c.children if isinstance(x, Node) and x.tag in ("td", "th") and visible(x)])
+                row: list[Node] = []
+                caption.extend(lines_of(_cells(c, row)))
+                rows.append([(lines_of(x), _number(x.attrs.get("colspan"), 1, 1000)) for x in row])
             elif c.tag in ("thead", "tbody", "tfoot"):
                 walk(c)
-            elif c.tag not in ("col", "colgroup"):
+            else:
                 caption.extend(lines_of(c))
-        # text beside rows is kept, before the table
+        # text beside rows and cells is kept, before the table
         caption.extend(x for x in (_SPACE.sub(" ", c).strip() for c in n.children if isinstance(c, str)) if x)
 
     walk(node)

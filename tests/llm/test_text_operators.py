@@ -227,6 +227,16 @@ def test_html_head_without_end(page, text):
     assert html_text.render(page).strip("\n") == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr>text</tr></table>", "text"), ("<table><tr>a <b>x</b> c<td>y</table>", "a x c\ny"), ("<table><tr><b>x</b></tr></table>", "x"),
+    ("<table><tr><form><td>a</td><td>b</td></form></tr><tr><td>ccc<td>d</table>", "a    b\nccc  d"),
+    ("<table><tr><form>f<div><td>a</div><td hidden>h<td>b</form></table>", "f\na  b"), ("<table><colgroup>g<tr><td>a</table>", "g\na"),
+    ("<table><tr><p hidden>h</p><script>s</script><td>a</table>", "a"), ("<table><tr><table><tr><td>in</table><td>out</table>", "in\nout"),
+    ("<table><tr><td>" * 60 + "deep", "deep"), ("<table><tr><td>" * 49 + "<table><tr><td>a<td>b<tr><td>c", "ab\nc")])
+def test_html_row_text_without_cells(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_frame(spark, docs):
     docs([])
     rows = [(1, "<p>a"), (None, None), (2, ""), (2, "<p>a"), (3, "<p>" + "x " * 50_000)]
