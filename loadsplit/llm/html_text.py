@@ -10,11 +10,14 @@ are put side by side, so depth is bounded and no text is lost. Rendering
 follows: white space collapses in a line except inside ``pre``; paragraphs,
 headings, lists and tables stand apart by an empty line and other blocks by a
 line break; list items are marked and indented; the cells of a table column
-have one width.
+have one width. Formulas stand in the line, the text elements of a drawing are
+words of it, and every option of a select is a line.
 
 Defined cases: a null or empty page gives empty text; unclosed, misnested and
 unknown tags are read as above; hidden elements (``hidden``, ``display:none``,
-``visibility:hidden``, closed templates, scripts, styles, the head) give no
+``visibility:hidden``, templates, scripts and their noscript, styles, the head,
+titles, datalists, annotations of formulas, definitions and descriptions of
+drawings, what stands in for iframe, object, audio, video and canvas) give no
 text; repeated rows and null ids keep their rows; very long pages are read
 whole; an empty table gives an empty result. Other columns are not read.
 """
@@ -35,7 +38,7 @@ MAX_DEPTH = 150
 
 #: fixed values: element classes of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas svg math select".split())
+HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas annotation annotation-xml".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCK = APART | frozenset(
     "html body div section article aside header footer main nav address form fieldset legend figcaption li dt dd hr details summary "
@@ -52,6 +55,16 @@ IMPLIED = {
 }
 #: all that a head holds; anything else ends it
 HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
+#: inside these, a self-closed tag has no content
+FOREIGN = frozenset(("svg", "math"))
+#: HTML stands in them again
+INTEGRATION = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+#: HTML tags that end open svg and math elements
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split())
+#: elements of svg that only define or describe, and their text is not drawn
+SVG_UNSEEN = frozenset("defs symbol desc metadata clippath mask marker pattern lineargradient radialgradient filter".split())
 #: an end tag or implied end does not reach past these
 SCOPE = frozenset("table td th caption html template".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -72,6 +85,19 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
+        #: an svg or math element has come
+        self.foreign = False
+
+    def _foreign(self) -> int:
+        """Place of the outermost open svg or math that no HTML stands in, or 0."""
+        found = 0
+        if self.foreign:
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.open[k].tag in INTEGRATION:
+                    break
+                if self.open[k].tag in FOREIGN:
+                    found = k
+        return found
 
     def _close(self, tags: set[str], bounds: set[str] | frozenset[str]) -> None:
         """End the outermost open element among ``tags`` inside the nearest bound."""
@@ -91,21 +117,30 @@ class TreeBuilder(HTMLParser):
             self._close({"head"}, set())
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._start(tag, attrs, False)
+
+    def _start(self, tag: str, attrs: list[tuple[str, str | None]], closed: bool) -> None:
         if tag not in HEAD:
             self._end_head()
+        if tag in BREAKOUT and (k := self._foreign()):
+            del self.open[k:]
+        if tag in FOREIGN:
+            self.foreign = True
+        if closed:
+            closed = tag in FOREIGN or self._foreign() > 0
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
-        if tag in BLOCK:
+        if tag in BLOCK and tag not in ("option", "optgroup"):
             self._close({"p"}, SCOPE | {"button"})
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
             self.open.pop()
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < MAX_DEPTH:
+        if tag not in VOID and not closed and len(self.open) < MAX_DEPTH:
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
+        self._start(tag, attrs, True)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -125,6 +160,11 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):
             self._end_head()
+            if len(self.open) == MAX_DEPTH and self._foreign():  # its text element may not be open
+                node = Node("text", {})
+                node.children.append(data)
+                self.open[-1].children.append(node)
+                return
         self.open[-1].children.append(data)
 
 
@@ -260,6 +300,24 @@ def _table(node: Node) -> list[str]:
     return out
 
 
+def _svg(node: Node, page: Page) -> None:
+    """The drawn text: text elements apart from each other, and HTML inside."""
+    for c in node.children:
+        if isinstance(c, str) or not visible(c) or c.tag in SVG_UNSEEN or (c.attrs.get("display") or "").strip() == "none" \
+                or (c.attrs.get("visibility") or "").strip() in ("hidden", "collapse"):
+            continue
+        if c.tag == "text":
+            page.text(" ")
+            _render(c, page, False)
+            page.text(" ")
+        elif c.tag == "foreignobject":
+            page.block()
+            _render(c, page, False)
+            page.block()
+        else:
+            _svg(c, page)
+
+
 def lines_of(node: Node, pre: bool = False) -> list[str]:
     """Rendered lines of a node's content."""
     page = Page()
@@ -278,6 +336,19 @@ def _render(node: Node, page: Page, pre: bool) -> None:
             page.newline()
         elif c.tag == "img":
             page.text(c.attrs.get("alt") or "")
+        elif c.tag == "svg":
+            _svg(c, page)
+        elif c.tag in ("option", "optgroup"):
+            page.block()
+            shown = c
+            if c.attrs.get("label"):
+                page.text(c.attrs["label"])
+                page.block()
+                if c.tag == "option":  # its label stands for its text
+                    shown = Node(c.tag, c.attrs)
+                    shown.children = [x for x in c.children if isinstance(x, Node)]
+            _render(shown, page, pre)
+            page.block()
         elif c.tag == "table":
             page.block(True)
             page.block_of(_table(c))

@@ -237,6 +237,19 @@ def test_html_row_text_without_cells(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>so <math><semantics><mrow><mi>a</mi><mo>+</mo><mi>b</mi></mrow><annotation>a+b</annotation></semantics></math> is", "so a+b is"),
+    ("<p>x<svg><title>t</title><defs><text>d</text></defs><desc>e</desc>s<g><text x=1>one</text><text>two<tspan>3</tspan></text></g></svg>y", "x one two3 y"),
+    ("<svg><foreignObject><div>in</div>side</foreignObject></svg>z", "in\nside\nz"), ("<svg><text visibility=hidden>h</text><g display=none><text>h</text></g></svg>z", "z"),
+    ("<p>pick <select><optgroup label=g><option>a<option selected>b</optgroup><option label=l>c</select> now", "pick\ng\na\nb\nl\nnow"),
+    ("<p><svg class=i /> Hello</p>", "Hello"), ("<p><math/>Hello</p>", "Hello"), ("<p><svg><path d=x /><text>t</text><g/></svg> Hello</p>", "t Hello"),
+    ("<svg><path><p>text</p>", "text"), ("<svg><g><div>a</div></svg>b", "a\nb"), ("<math><mtext><b>x</b></mtext><mi>y</mi></math>", "xy"),
+    ("<div/>a<span/>b", "ab"), ("<p>a<noscript>n</noscript><datalist><option>o</datalist>b", "ab"),
+    ("<div>" * 148 + "<svg><text>deep</text></svg>", "deep"), ("<div>" * 3000 + "<svg><text>deep</text></svg>", "deep")])
+def test_html_formulas_drawings_and_options(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_frame(spark, docs):
     docs([])
     rows = [(1, "<p>a"), (None, None), (2, ""), (2, "<p>a"), (3, "<p>" + "x " * 50_000)]
