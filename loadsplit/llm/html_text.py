@@ -16,7 +16,7 @@ words of it, and every option of a select is a line.
 Defined cases: a null or empty page gives empty text; unclosed, misnested and
 unknown tags are read as above; hidden elements (``hidden``, ``display:none``,
 ``visibility:hidden``, templates, scripts and their noscript, styles, the head,
-titles, datalists, annotations of formulas, definitions and descriptions of
+titles, marked sections, datalists, annotations of formulas, definitions and descriptions of
 drawings, what stands in for iframe, object, audio, video and canvas) give no
 text; repeated rows and null ids keep their rows; very long pages are read
 whole; an empty table gives an empty result. Other columns are not read.
@@ -142,6 +142,18 @@ class TreeBuilder(HTMLParser):
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._start(tag, attrs, True)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section, of whatever name, is a comment up to the next ``>``;
+        in svg and math CDATA is text."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        if self.rawdata.startswith("<![CDATA[", i) and self._foreign():
+            end = self.rawdata.find("]]>", i)
+            self.handle_data(self.rawdata[i + 9:end if end >= 0 else None])
+            return end + 3 if end >= 0 else len(self.rawdata)
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self._end_head()

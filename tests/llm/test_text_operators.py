@@ -250,6 +250,13 @@ def test_html_formulas_drawings_and_options(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("a<![x]>b", "ab"), ("a<![ ]>b", "ab"), ("a<![>b", "ab"), ("a<![", "a"), ("a<![x", "a"), ("a<![if !IE]>b<![endif]>c", "abc"), ("a<![endif]-->b ]> c", "ab ]> c"),
+    ("a<![CDATA[x]]>b", "ab"), ("<p><svg><text>a<![CDATA[ <b> & c]]></text></svg>", "a <b> & c"), ("<!doctype html>a<!x>b<!>c<!-- d -->", "abc")])
+def test_html_marked_sections(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_frame(spark, docs):
     docs([])
     rows = [(1, "<p>a"), (None, None), (2, ""), (2, "<p>a"), (3, "<p>" + "x " * 50_000)]
