@@ -6,11 +6,14 @@ The alphabet is the word. Patterns are all 13-word windows of the benchmark
 items (an item of fewer words is one window); those of one length share a
 shift table. A block is the last three words of a window: if a document's
 block stands nowhere in a pattern, the search moves on by eleven words at once.
-Documents are never shuffled: the patterns go to them.
+Documents are not shuffled to be searched: the patterns go to them.
 
 Benchmark items are broadcast in blocks of at most ``block_words`` words
-(plus one item), each searched by its own pass over all documents, so the size
-of what is broadcast does not grow with the benchmark.
+(plus one item), one after the other: a block is searched by its own pass over
+all documents, its hits are staged, and it is destroyed before the next one is
+made, so what the driver, a task and a worker hold does not grow with the
+benchmark. The staged hits are merged by row at the end. A benchmark of one
+block needs one pass and no staging of documents.
 
 Defined cases: null or empty texts and items have no words; a document without
 words is not contaminated; items with the same id count once; a null item id
@@ -25,12 +28,14 @@ import hashlib
 import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import stage, utf8
 
 WINDOW = 13
 BLOCK = 3
@@ -86,19 +91,43 @@ def build(items: Iterable[tuple[str, bytes]], window: int = WINDOW) -> list[WuMa
     return [WuManber(m, p) for m, p in sorted(by_length.items())]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Bounded blocks of (id, text), streamed one partition at a time."""
-    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit("")))
-    held, size = [], 0
-    for item, text in rows.toLocalIterator():
-        raw = text.encode()
-        held.append((item, raw))
-        size += len(split_words(raw))
-        if size >= block_words:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The items (_item, _text, _part) staged, and the ranges of _part that make
+    up the blocks. Tasks number their items into parts of at most block_words
+    words (plus one item); the driver sees part totals only and puts
+    neighbouring parts together."""
+    rows = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")).alias("_item"),
+                            F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            parts, sizes = [], []
+            for text in utf8(batch.column(1)):
+                size = len(split_words(text))
+                if held and held + size > block_words:
+                    part, held = part + 1, 0
+                held += size
+                parts.append(part)
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.int64()), pa.array(sizes, pa.int64())],
+                                             ["_item", "_text", "_part", "_size"])
+
+    items = stage(rows.mapInArrow(run, rows.select("*").schema.add("_part", "long").add("_size", "long")), "decontaminate-items")
+    blocks, held = [], 0
+    for part, size in items.groupBy("_part").agg(F.sum("_size")).orderBy("_part").toLocalIterator():
+        if blocks and held + size <= block_words:
+            blocks[-1], held = (blocks[-1][0], part), held + size
+        else:
+            blocks.append((part, part))
+            held = size
+    return items, blocks
+
+
+def _send(items: DataFrame, block: tuple[int, int]):
+    """The (id, text) of a block, broadcast."""
+    rows = items.where(F.col("_part").between(*block)).select("_item", "_text").collect()
+    return items.sparkSession.sparkContext.broadcast([(i, t.encode()) for i, t in rows])
 
 
 _built: dict[str, list[WuManber]] = {}
@@ -112,7 +141,7 @@ def _tables(block, name: str, window: int) -> list[WuManber]:
     return _built[name]
 
 
-def _digest(hits: list[list[int]], items: list[list[str]]) -> tuple[list[pa.Array], list[str]]:
+def _digest(hits: list[list[int]], items: list[Iterable[str]]) -> list[pa.Array]:
     """Hit words (union of occurrences), items and their checksum per row."""
     n_hit = []
     for h in hits:
@@ -122,54 +151,94 @@ def _digest(hits: list[list[int]], items: list[list[str]]) -> tuple[list[pa.Arra
             last = max(last, e)
         n_hit.append(covered)
     shas = [hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for i in items]
-    return [pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(shas, pa.string())], \
-        ["_n_hit", "_n_items", "_sha"]
+    return [pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(shas, pa.string())]
+
+
+_DIGEST = ["_n_hit", "_n_items", "_sha"]
 
 
-def _search_pass(block, window: int, last: bool):
-    """A mapInArrow function that adds the block's occurrences to ``_hits`` and
-    ``_items``; the last pass turns them into the digest columns."""
+def _occurrences(batch: pa.Array, tables: list[WuManber]) -> tuple[list[int], list[list[int]], list[set[str]]]:
+    """Words, (start, end, ...) of what is found, and the items of each text."""
+    n_words, hits, found = [], [], []
+    for text in utf8(batch):
+        words, spans, ids = split_words(text), [], set()
+        for t in tables:
+            for start, items in t.find(words):
+                spans += [start, start + t.m]
+                ids |= items
+        n_words.append(len(words))
+        hits.append(spans)
+        found.append(ids)
+    return n_words, hits, found
 
+
+def _whole_pass(block, window: int):
+    """mapInArrow function from (_row, _text) to (_row, _n, digest columns)."""
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(block, name, window)
         for batch in batches:
-            names = batch.schema.names
-            col = {c: batch.column(i) for i, c in enumerate(names)}
-            hits, found, n_words = col["_hits"].to_pylist(), col["_items"].to_pylist(), []
-            for k, text in enumerate(utf8(col["_text"])):
-                words = split_words(text)
-                n_words.append(len(words))
-                for t in tables:
-                    for start, items in t.find(words):
-                        hits[k] += [start, start + t.m]
-                        found[k] = list({*found[k], *items})
-            col["_n"] = pa.array(n_words, pa.int64())
-            if last:
-                keep = [c for c in names if c not in ("_text", "_hits", "_items")]
-                more, more_names = _digest(hits, found)
-                yield pa.RecordBatch.from_arrays([*[col[c] for c in keep], *more], [*keep, *more_names])
-            else:
-                col |= {"_hits": pa.array(hits, pa.list_(pa.int64())), "_items": pa.array(found, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([col[c] for c in names], names)
+            n_words, hits, found = _occurrences(batch.column(1), tables)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), *_digest(hits, found)], ["_row", "_n", *_DIGEST])
 
     return run
 
 
+def _block_pass(block, window: int):
+    """mapInArrow function from (_key, _text) to (_key, _hits, _items) of the rows
+    with an occurrence."""
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _tables(block, name, window)
+        for batch in batches:
+            _, hits, found = _occurrences(batch.column(1), tables)
+            at = [k for k, h in enumerate(hits) if h]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array([hits[k] for k in at], pa.list_(pa.int64())),
+                 pa.array([list(found[k]) for k in at], pa.list_(pa.string()))], ["_key", "_hits", "_items"])
+
+    return run
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = pa.array([len(split_words(t)) for t in utf8(batch.column(2))], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], ["_key", "_row", "_n"])
+
+
+def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), *_digest(batch.column(1).to_pylist(), batch.column(2).to_pylist())], ["_key", *_DIGEST])
+
+
 def search(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_col: str = "text", item_id: str = "item_id",
            item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """_row (struct of the ``keep`` columns), _n (words), _n_hit, _n_items and
     _sha (checksum of the item ids)."""
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(b) for b in _blocks(benchmark, item_id, item_text, block_words)] or [sc.broadcast([])]
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text"),
-                    F.lit(0).cast("long").alias("_n"), F.array().cast("array<bigint>").alias("_hits"),
-                    F.array().cast("array<string>").alias("_items"))
-    digest = d.select("_row", "_n").schema.add("_n_hit", "long").add("_n_items", "long").add("_sha", "string")
-    for block in blocks[:-1]:
-        d = d.mapInArrow(_search_pass(block, window, False), d.schema)
-    return d.mapInArrow(_search_pass(blocks[-1], window, True), digest)
+    items, blocks = _blocks(benchmark, item_id, item_text, block_words)
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+    sums = d.select("_row", F.lit(0).cast("long").alias("_n")).schema.add("_n_hit", "long").add("_n_items", "long").add("_sha", "string")
+    if len(blocks) <= 1:
+        block = _send(items, blocks[0] if blocks else (0, -1))
+        return d.mapInArrow(_whole_pass(block, window), sums)
+    rows = stage(d.withColumn("_key", F.monotonically_increasing_id()), "decontaminate-rows")
+    passes = []
+    for k in blocks:
+        block = _send(items, k)
+        found = rows.select("_key", "_text").mapInArrow(_block_pass(block, window), "_key long, _hits array<bigint>, _items array<string>")
+        passes.append(stage(found, "decontaminate-hits"))
+        block.destroy()
+    merged = reduce(DataFrame.unionByName, passes).groupBy("_key").agg(
+        F.flatten(F.collect_list("_hits")).alias("_hits"), F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"))
+    digests = merged.mapInArrow(_digest_rows, "_key long, _n_hit long, _n_items long, _sha string")
+    counted = rows.select("_key", "_row", "_text")
+    counted = counted.mapInArrow(_count_words, counted.drop("_text").schema.add("_n", "long"))
+    none = hashlib.sha256(b"").hexdigest()
+    return counted.join(digests, "_key", "left").select(
+        "_row", "_n", F.coalesce("_n_hit", F.lit(0).cast("long")).alias("_n_hit"),
+        F.coalesce("_n_items", F.lit(0).cast("long")).alias("_n_items"), F.coalesce("_sha", F.lit(none)).alias("_sha"))
 
 
 #: share of hit words, in twentieths, from which a text with a hit is contaminated

@@ -84,6 +84,28 @@ def test_decontaminate_matches_brute_force(spark, docs, block_words):
     assert sorted(map(tuple, got)) == sorted(plain_contamination([t for _, t in rows], items))
 
 
+def test_decontaminate_holds_one_block_at_a_time(spark, docs, monkeypatch):
+    import os
+    sent, most, make = [], [20], type(spark.sparkContext).broadcast
+
+    def broadcast(sc, value):
+        assert not any(os.path.exists(b._path) for b in sent)
+        assert sum(len(decontaminate.split_words(t)) for _, t in value) <= most[0]
+        sent.append(make(sc, value))
+        return sent[-1]
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(15))) for k in range(6)] + [(7, ""), (8, "w1x1 w1x2")]
+    rows = [(k, t + " and " + u) for k, ((_, t), (_, u)) in enumerate(zip(items, items[1:]))] + [(50, None), (51, "clean")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.measure(docs(rows), bench.coalesce(1), block_words=20)
+    assert len(sent) == 6 and str(got._jdf.queryExecution().executedPlan()).count("MapInArrow") <= 3
+    assert sorted(map(tuple, got.drop("doc_id").collect())) == sorted(plain_contamination([t for _, t in rows], items))
+    sent.clear()
+    most[0] = 100
+    assert decontaminate.measure(docs(rows), bench.repartition(5)).count() == len(rows) and len(sent) == 1
+
+
 def test_decontaminate_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     d = docs([(1, "a b"), (2, None)])
