@@ -62,6 +62,18 @@ def utf8(col: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in col.cast(pa.binary()).to_pylist()]
 
 
+def by_bytes(texts: list[bytes], most: int) -> Iterator[slice]:
+    """Slices of about ``most`` bytes that cover the list; a longer text is alone or ends its slice."""
+    at = size = 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= most:
+            yield slice(at, k + 1)
+            at, size = k + 1, 0
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
 def ranges(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Boolean mask of length n that is true inside the half-open intervals."""
     d = np.zeros(n + 1, np.int64)

@@ -127,10 +127,99 @@ SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law,
 FROM s
 """
 
+#: CRC-32 of a blob by its table, for short values
+_CRC_TABLE = """tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(blob: str) -> str:
+    return f"""xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex({blob}), '..'), lambda x: ('0x' || x)::BIGINT),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+OP11 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+df AS (SELECT k, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM d),
+bf AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM b),
+grams AS (
+  SELECT g, {_crc("encode(g)")} % 10000 AS bucket FROM (SELECT g FROM df UNION SELECT g FROM bf), tab),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN grams USING (g) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN grams USING (g) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+                       / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+f AS (SELECT k, count(*) AS n, sum(gain) AS total FROM df JOIN grams USING (g) JOIN gain USING (bucket) GROUP BY k),
+m AS (
+  SELECT k, doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+         coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+         ('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h
+  FROM d LEFT JOIN f USING (k)),
+r AS (SELECT *, weight + floor(-1000.0 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM m),
+o AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS p,
+         count(*) FILTER (WHERE n_words >= 20) OVER () AS n
+  FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN p <= 25 * n // 100 THEN p END AS rank, n_words::BIGINT AS n_words
+FROM o
+"""
+
+
+def _field(c: str) -> str:
+    return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}, '-')"
+
+
+_LEAF = "sha256({0} || {1} || {2} || {3} || {4})"
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT row_number() OVER () AS k, doc_id, lang,
+         {_LEAF.format(*map(_field, ("doc_id", "source", "lang", "n_chars", "text")))} AS leaf,
+         {_LEAF.format(*map(_field, ("doc_id", "source", "lang", f"(n_chars + CASE WHEN {_crc('encode(doc_id::VARCHAR)')} % 7 = 0 THEN 1 ELSE 0 END)", "text")))} AS shown
+  FROM documents, tab),
+trees AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM leaves)),
+placed AS (
+  SELECT l.*, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves l JOIN trees ON l.lang IS NOT DISTINCT FROM trees.lang),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+tops AS (
+  SELECT 0 AS level, tree AS pos, h, (SELECT count(*) FROM trees) AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+sides AS (
+  SELECT tree, false AS top, level, pos, h, n FROM nodes
+  UNION ALL SELECT -1, true, level, pos, h, n FROM tops),
+climb AS (
+  SELECT k, tree, false AS top, 0 AS level, pos, n, '' AS proof, shown AS f, NULL::VARCHAR AS subroot FROM placed
+  UNION ALL
+  SELECT k, c.tree, CASE WHEN c.n > 1 THEN c.top ELSE true END, CASE WHEN c.n > 1 THEN c.level + 1 ELSE 0 END,
+         CASE WHEN c.n > 1 THEN c.pos // 2 ELSE c.tree END, CASE WHEN c.n > 1 THEN (c.n + 1) // 2 ELSE (SELECT count(*) FROM trees) END,
+         CASE WHEN c.n > 1 THEN proof || coalesce(s.h, '') ELSE proof END,
+         CASE WHEN c.n > 1 THEN sha256(CASE WHEN c.pos % 2 = 1 THEN s.h || f ELSE f || coalesce(s.h, '') END) ELSE f END,
+         coalesce(subroot, CASE WHEN c.n = 1 THEN me.h END)
+  FROM climb c
+  LEFT JOIN sides s ON s.top = c.top AND s.tree = CASE WHEN c.top THEN -1 ELSE c.tree END AND s.level = c.level AND s.pos = xor(c.pos, 1)
+  LEFT JOIN sides me ON me.top = c.top AND me.tree = CASE WHEN c.top THEN -1 ELSE c.tree END AND me.level = c.level AND me.pos = c.pos
+  WHERE c.n > 1 OR NOT c.top),
+done AS (SELECT * FROM climb WHERE top AND n = 1)
+SELECT doc_id, leaf, subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(proof) AS proof_sha256, f AS folded_root,
+       f = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM placed JOIN done USING (k)
+"""
+
 ORACLES = {
     "op3_quality_rules": OP3,
     "op4_decontaminate": OP4,
     "op6_substring_dedup": OP6,
     "op7_shards": OP7,
     "op10_url_filter": OP10,
+    "op11_importance": OP11,
+    "op12_merkle": OP12,
 }

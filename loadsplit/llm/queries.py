@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from loadsplit.session import scratch_path
 
-from . import decontaminate, html_text, piece_nbest, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
+from . import decontaminate, html_text, importance, merkle, piece_nbest, prefix_counts, quality_rules, sharding, simhash, substring_dedup, \
+    token_files, toxicity, url_filter
 from .common import ship, table
 
 #: fixed values: rules of the url query (verdict, host, path)
@@ -81,6 +82,24 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.filter_urls(pages, pages.where(site.isin(*LISTED_SITES)), URL_RULES)
 
 
+def op11_importance(spark: SparkSession, d: str) -> DataFrame:
+    """Towards the words of the benchmark; a quarter of the documents with 20 words or more is drawn."""
+    return importance.resample(table(spark, d, "documents"), table(spark, d, "benchmark")) \
+        .select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose id's checksum is divisible by 7 are presented with one character more than they have."""
+    n, tampered = F.col("n_chars"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, d, "documents"), {"n_chars": F.when(tampered, n + 1).otherwise(n)}) \
+        .select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_prefix_counts(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_counts.count_tokens(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json")) \
+        .select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, d: str) -> DataFrame:
@@ -92,4 +111,4 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_toxicity, op2_token_files, op3_quality_rules, op4_decontaminate, op5_piece_nbest, op6_substring_dedup, op7_shards,
-    op8_html_text, op9_simhash, op10_url_filter)}
+    op8_html_text, op9_simhash, op10_url_filter, op11_importance, op12_merkle, op13_prefix_counts)}
