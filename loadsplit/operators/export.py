@@ -46,14 +46,14 @@ def _appliance_sums(gold: DataFrame, digits: int) -> list:
     return out
 
 
-def daily_summary(gold: DataFrame, interval_features: DataFrame) -> DataFrame:
+def daily_summary(gold: DataFrame, interval_features: DataFrame, ordered: bool = True) -> DataFrame:
     """Per date the total and five appliance sums (4 dp) and the mean
-    temperature (2 dp); dates without silver rows drop out (inner join)."""
+    temperature (2 dp); dates without silver rows drop out (inner join).
+    Tables need no order."""
     temps = daily_temperature(interval_features)
     g = gold.groupBy("usage_date").agg(*_appliance_sums(gold, 4))
-    j = g.join(temps, "usage_date", "inner")
-    return (j.select(*g.columns, round_half_up("temp_c", 2).alias("avg_temp_c"))
-            .orderBy("usage_date"))
+    out = g.join(temps, "usage_date", "inner").select(*g.columns, round_half_up("temp_c", 2).alias("avg_temp_c"))
+    return out.orderBy("usage_date") if ordered else out
 
 
 def daily_summary_with_confidence(gold: DataFrame) -> DataFrame:

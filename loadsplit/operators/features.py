@@ -29,8 +29,8 @@ def ac_proxy(temp="temp_c"):
     return F.coalesce(t > AC_PROXY_TEMP_C, F.lit(False))
 
 
-def interval_features(intervals: DataFrame, weather: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """F8: F1-F7 composed, the 9-column silver layout."""
+def interval_features(intervals: DataFrame, weather: DataFrame, keys: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """F8: F1-F7 composed, the 9-column silver layout (and the columns named in ``keep``)."""
     j = join_weather(intervals, weather, keys)
     ts = F.col("interval_start_dt")
     return j.select(
@@ -43,6 +43,7 @@ def interval_features(intervals: DataFrame, weather: DataFrame, keys: Sequence[s
         C.is_peak(ts).alias("is_peak"),
         F.col("temp_c"),
         ac_proxy("temp_c").alias("ac_proxy"),
+        *keep,
     )
 
 

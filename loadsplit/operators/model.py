@@ -143,13 +143,14 @@ def standardize(df: DataFrame, cols: Sequence[str] = FEATURES, stats: DataFrame
 def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_init: int = N_INIT,
                  max_iter: int = MAX_ITER, cols: Sequence[str] = FEATURES):
     """MLlib KMeans on the scaled features, best of ``n_init`` seeds by
-    training cost. Returns (centroids DataFrame in z-space, training cost).
+    training cost, then moved on to a fixpoint. Returns (centroids DataFrame in
+    z-space, training cost); ``clusters_certificate`` shows that it is one.
 
     Equal feature rows (hours, rounded temperatures and kWh repeat) are fitted
     once with their count as weight: the same objective on fewer rows, with all
     data in it. They are written once to the shared checkpoint folder and the
-    iterations read that copy, not the whole lineage. ``max_iter`` bounds a fit
-    that has not converged to the estimator's tolerance by then.
+    iterations read that copy, not the whole lineage. ``max_iter`` bounds the
+    rounds of a start, not those to the fixpoint.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
@@ -158,8 +159,8 @@ def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_i
     zcols = [f"z_{c}" for c in cols]
     path = scratch_path(z.sparkSession, "kmeans-input")
     z.groupBy(*zcols).agg(F.count(F.lit(1)).cast("double").alias("weight")).write.mode("overwrite").parquet(path)
-    vec = VectorAssembler(inputCols=zcols, outputCol="features").transform(
-        z.sparkSession.read.parquet(path)).select("features", "weight")
+    points = z.sparkSession.read.parquet(path)
+    vec = VectorAssembler(inputCols=zcols, outputCol="features").transform(points).select("features", "weight")
     vec = vec.persist()          # blocks lost with an executor are re-read from the Parquet copy
     best = None
     try:
@@ -171,11 +172,55 @@ def fit_clusters(z: DataFrame, k: int = N_CLUSTERS, seed: int = RANDOM_SEED, n_i
                 best = (model, cost)
     finally:
         vec.unpersist()
-    model, cost = best
-    spark = vec.sparkSession
-    rows = [tuple([i] + [float(x) for x in center]) for i, center in enumerate(model.clusterCenters())]
-    from loadsplit.schemas import CENTROIDS
-    return spark.createDataFrame(rows, CENTROIDS), cost
+    centers = [[float(x) for x in center] for center in best[0].clusterCenters()]
+    return settle_clusters(points, centers, cols)
+
+
+def _centroid_table(spark: SparkSession, centers: list[list[float]], cols: Sequence[str]) -> DataFrame:
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("cluster", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in cols)])
+    return spark.createDataFrame([(i, *c) for i, c in enumerate(centers)], schema)
+
+
+def _cluster_sums(points: DataFrame, centers: list[list[float]], cols: Sequence[str]) -> list:
+    """Per cluster the weight of the points nearest to it, their exact weighted sums
+    and squared distances; ``points`` has the scaled columns and ``weight``. k rows."""
+    scored = assign_cluster(points, _centroid_table(points.sparkSession, centers, cols), cols)
+    w = F.col("weight").cast("decimal(18,0)")
+    return scored.groupBy("cluster").agg(
+        F.sum(w).alias("n"), *[F.sum(F.col(f"z_{c}").cast("decimal(18,6)") * w).alias(c) for c in cols],
+        F.sum(F.col("weight") * F.col("distance") * F.col("distance")).alias("cost")).collect()
+
+
+def settle_clusters(points: DataFrame, centers: list[list[float]], cols: Sequence[str] = FEATURES) -> tuple[DataFrame, float]:
+    """Rounds of assignment and exact weighted mean until no centroid moves. The cost
+    falls with every round that moves one, and there are finitely many
+    partitions, so it ends. A cluster without points keeps its centroid."""
+    while True:
+        sums = {r["cluster"]: r for r in _cluster_sums(points, centers, cols)}
+        means = [[float(sums[i][c] / sums[i]["n"]) for c in cols] if i in sums else center for i, center in enumerate(centers)]
+        if means == centers:
+            return _centroid_table(points.sparkSession, centers, cols), float(sum(r["cost"] for r in sums.values()))
+        centers = means
+
+
+def clusters_certificate(z: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
+    """D5's proof, recomputed from all rows: clusters, rows, the largest distance of a
+    centroid from the mean of the rows nearest to it (6 places), and how many rows
+    are nearer to a cluster's mean than to their own centroid."""
+    scored = assign_cluster(z, centroids, cols)
+    means = scored.groupBy("cluster").agg(*[(F.sum(to_decimal(f"z_{c}")).cast("double") / F.count(F.lit(1))).alias(c) for c in cols])
+    again = assign_cluster(scored.withColumnRenamed("distance", "_own").drop("cluster"), _all_clusters(centroids, means, cols), cols)
+    moved = again.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("distance") < F.col("_own")).alias("rows_nearer_elsewhere"))
+    m = means.select("cluster", *[F.col(c).alias(f"_{c}") for c in cols])
+    off = centroids.join(m, "cluster").agg(
+        F.count(F.lit(1)).alias("n_clusters"), round_half_up(F.max(F.sqrt(sum((F.col(c) - F.col(f"_{c}")) ** 2 for c in cols))), 6).alias("centroid_off"))
+    return off.crossJoin(moved)  # one row each
+
+
+def _all_clusters(centroids: DataFrame, means: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The means, and the centroids of clusters without rows."""
+    return means.select("cluster", *cols).unionByName(centroids.join(means, "cluster", "left_anti").select("cluster", *cols))
 
 
 def _centroid_rows(centroids: DataFrame, cols: Sequence[str]) -> list:

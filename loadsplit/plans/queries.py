@@ -348,8 +348,9 @@ def q_standardize(spark, d):
 
 
 def q_fit_clusters(spark, d):
-    cents, cost = M.fit_clusters(zscores(spark, d))
-    return cents.withColumn("training_cost", F.lit(float(cost)))
+    """The centroids depend on the starts; that they are a fixpoint of k-means over all rows does not."""
+    z = cut(zscores(spark, d), "zscores")
+    return M.clusters_certificate(z, M.fit_clusters(z)[0])
 
 
 def q_assign_cluster(spark, d):
@@ -648,11 +649,14 @@ QUERIES: dict[str, Query] = {
     "day_header": q_day_header,
     # 2.8
     "build_weather": q_build_weather,
+    "read_meter_csv": _pipeline("read_meter_csv"),
     "run_ingest": _pipeline("run_ingest"),
+    "reload_replaced_files": _pipeline("reload_replaced_files"),
     "ingest_incremental": _pipeline("ingest_incremental"),
     "run_features": _pipeline("run_features"),
     "run_disaggregate": _pipeline("run_disaggregate"),
     "run_export": _pipeline("run_export"),
     "run_all": _pipeline("run_all"),
     "run_incremental": _pipeline("run_incremental"),
+    "read_snapshot": _pipeline("read_snapshot"),
 }

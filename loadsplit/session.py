@@ -7,9 +7,11 @@ it is an error, as executors cannot read each other's temporary folders.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,23 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for
+    clusters where it is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_loadsplit_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="loadsplit-code-"), "loadsplit_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(os.path.join(top, "loadsplit")):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), top))
+    sc.addPyFile(path)
+    sc._loadsplit_shipped = True
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side helpers can test paths."""
     return path[5:] if path.startswith("file:") else path

@@ -1,48 +1,128 @@
 """File readers.
 
-Meter exports live at ``<root>/YYYY/MM/YYYYMMDD.csv``. The scan reads every
-line, headers too, as strings in file order; each file's header line then says
-which column is which, so columns bind by name whatever their order. Headers
-are found and joined in Spark, and nothing per file reaches the driver.
+Meter exports live at ``<root>/YYYY/MM/YYYYMMDD.csv``. Month folders are listed
+inside tasks, so the files of the whole tree never reach the driver. Of each file
+to be read its first line is read, also in tasks; files with the same layout are
+scanned together with a schema of their own width, and the eight columns are
+taken by name. So columns bind by name whatever their order and number, and no
+line is shuffled or joined. The paths of the files to be scanned are on the
+driver, as they are for every Spark scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import collections
+import csv
+import functools
+import re
+import urllib.parse
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadsplit import schemas
 from loadsplit.constants import METER_FILE_GLOB, METER_PATH_REGEX, RAW_COLUMNS
+from loadsplit.session import ship
 
-MAX_FIELDS = 64      # fields read per line; a required column beyond them counts as missing
-LINES = T.StructType([T.StructField(f"f{k}", T.StringType()) for k in range(MAX_FIELDS)])
+HEAD_BYTES = 1 << 16     # read at a time until the first line is whole
+LISTED = "source_file string, path string, length long, modified timestamp"
+
+
+def qualified(spark: SparkSession, root: str, encoded: bool = False) -> str:
+    """The folder with its scheme, ``file:///...`` for a local one; ``encoded`` as in a URI."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(root)
+    home = home.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(home)
+    name = home.toUri().toString() if encoded else home.toString()
+    return re.sub(r"^([A-Za-z0-9+.-]+):/(?!/)", r"\1:///", name).rstrip("/")
 
 
 def relative_source_file(path: Column, root: str, spark: SparkSession | None = None) -> Column:
     """Path below the data root, e.g. ``2025/05/20250501.csv``; null for a
     file elsewhere."""
-    spark = spark or SparkSession.active()
-    home = spark._jvm.org.apache.hadoop.fs.Path(root)
-    home = home.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(home).toUri().toString()
     plain = lambda c: F.regexp_replace(c, "^([A-Za-z0-9+.-]+):/+", "$1:/")
-    prefix = plain(F.lit(home.rstrip("/") + "/"))
+    prefix = plain(F.lit(qualified(spark or SparkSession.active(), root, encoded=True) + "/"))
     return F.when(F.startswith(plain(path), prefix), F.substr(plain(path), F.length(prefix) + 1))
 
 
-def list_meter_files(spark: SparkSession, root: str) -> DataFrame:
-    """Distributed listing of meter files (path, relative source_file, size).
+# --- listing and headers, in tasks ------------------------------------------------------
+
+def _file_system(name: str):
+    """(file system, path in it) for a task's own access; None for a store that only Spark reads."""
+    from pyarrow import fs
+    scheme, rest = name.split("://", 1)
+    try:
+        return fs.FileSystem.from_uri(f"{scheme}://{urllib.parse.quote(rest, safe='/:@')}")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return None
 
-    ``binaryFile`` reads no content when ``content`` is not selected.
-    """
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", METER_FILE_GLOB)
-             .load(root)
-             .select("path", relative_source_file(F.col("path"), root, spark).alias("source_file"), "length"))
-    return files.where(F.col("source_file").rlike(METER_PATH_REGEX))
+
+def _list(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+    files, home = _file_system(uri)
+    for b in batches:
+        for month in b.column(0).to_pylist():
+            found = [f for f in files.get_file_info(fs.FileSelector(f"{home}/{month}")) if f.is_file]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"{month}/{f.base_name}" for f in found], pa.string()),
+                 pa.array([f"{uri}/{month}/{f.base_name}" for f in found], pa.string()),
+                 pa.array([f.size for f in found], pa.int64()), pa.array([f.mtime for f in found], pa.timestamp("us", tz="UTC"))],
+                ["source_file", "path", "length", "modified"])
+
+
+def month_folders(spark: SparkSession, root: str) -> list[str]:
+    """``YYYY/MM`` below the root: one row a month on the driver."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/[0-9][0-9][0-9][0-9]/[0-9][0-9]")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted("/".join(f.getPath().toString().rsplit("/", 2)[1:]) for f in found if f.isDirectory())
+
+
+def list_meter_files(spark: SparkSession, root: str) -> DataFrame:
+    """Meter files below the root: source_file, path, length, modified."""
+    uri = qualified(spark, root)
+    if _file_system(uri) is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", METER_FILE_GLOB).load(root) \
+            .select(relative_source_file(F.col("path"), root, spark).alias("source_file"), "path", "length",
+                    F.col("modificationTime").alias("modified"))
+    else:
+        ship(spark)
+        months = month_folders(spark, root)
+        dealt = spark.createDataFrame([(m,) for m in months], "month string").repartition(max(1, len(months)))
+        files = dealt.mapInArrow(functools.partial(_list, uri=uri), LISTED)
+    return files.withColumn("modified", F.date_trunc("MILLISECOND", "modified")).where(F.col("source_file").rlike(METER_PATH_REGEX))
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lines = []
+        for path in b.column(b.schema.get_field_index("path")).to_pylist():
+            files, name = _file_system(path)
+            with files.open_input_stream(name) as f:
+                head = b""
+                while b"\n" not in head.lstrip() and (more := f.read(HEAD_BYTES)):
+                    head += more
+            lines.append(head.decode("utf-8-sig", "replace").lstrip().split("\n", 1)[0].rstrip("\r"))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lines, pa.string())], [*b.schema.names, "header"])
+
+
+def with_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``files`` with ``header``, the first line of each that is not blank."""
+    files = files.select("source_file", "path", "length", "modified")
+    one = files.select("path").first()
+    if one is not None and _file_system(one[0]) is None:  # read through Spark: the line that names the columns
+        paths = [r[0] for r in files.select("path").collect()]
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+        named = sum(F.upper("header").contains(c).cast("int") for c in RAW_COLUMNS) >= 2
+        return files.join(lines.where(named).groupBy("path").agg(F.min("header").alias("header")), "path", "left")
+    ship(spark)
+    return files.mapInArrow(_first_lines, T.StructType([*files.schema.fields, T.StructField("header", T.StringType())]))
+
+
+def header_names(line: str) -> list[str]:
+    """Names as they bind: trimmed, upper case, without byte order mark."""
+    return [c.lstrip("﻿").strip().upper() for c in next(csv.reader([line]), [])]
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
@@ -58,46 +138,36 @@ def with_lineage(df: DataFrame, root: str) -> DataFrame:
     return df.where(F.col("source_file").rlike(METER_PATH_REGEX))
 
 
-def meter_lines(spark: SparkSession, root: str, paths: Iterable[str] | None = None) -> DataFrame:
-    """All lines of the meter files as (fields array, source_file)."""
-    reader = spark.read.schema(LINES).option("header", "false").option("mode", "PERMISSIVE") \
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", METER_FILE_GLOB)
-    lines = with_lineage(reader.csv([*paths] if paths is not None else [root]), root)
-    return lines.select(F.array(*LINES.fieldNames()).alias("fields"), "source_file")
-
-
-def header_names(fields: Column) -> Column:
-    """Names as they bind: trimmed, upper case, without byte order mark."""
-    return F.transform(fields, lambda f: F.upper(F.trim(F.regexp_replace(f, "^\ufeff", ""))))
-
-
-def is_header(fields: Column) -> Column:
-    """A line with the names of at least two of the columns among its fields."""
-    return F.size(F.array_intersect(header_names(fields), F.array(*[F.lit(c) for c in RAW_COLUMNS]))) >= 2
-
-
-def bind_columns(lines: DataFrame) -> DataFrame:
-    """(fields, source_file) -> the eight columns by name, source_file, and
-    ``missing_columns``, true where the file lacks one of them (or a header).
-
-    Headers are one row per file, joined back on the file; a file that holds a
-    large share of all lines is a skewed key that AQE splits."""
-    heads = lines.where(is_header(F.col("fields"))).groupBy("source_file") \
-        .agg(F.min(header_names(F.col("fields"))).alias("_names"))
-    rows = lines.where(~is_header(F.col("fields"))).join(heads, "source_file", "left")
-    at = {c: F.array_position("_names", c).cast("int") for c in RAW_COLUMNS}
-    missing = F.lit(False)
-    for c in RAW_COLUMNS:
-        missing = missing | (F.coalesce(at[c], F.lit(0)) == 0)
-    return rows.select(*[F.get("fields", at[c] - 1).alias(c) for c in RAW_COLUMNS], "source_file",
-                       missing.alias("missing_columns"))
-
-
-def read_meter_csv(spark: SparkSession, root: str, paths: Iterable[str] | None = None) -> DataFrame:
-    """S1 + S2 + S9: all ``YYYY/MM/YYYYMMDD.csv`` below ``root`` (or below the
-    folders ``paths`` in it) as strings bound by name, with ``source_file``
-    relative to the root. A column that a file lacks is null."""
-    return bind_columns(meter_lines(spark, root, paths)).drop("missing_columns")
+# --- rows -----------------------------------------------------------------------------
+
+def read_files(spark: SparkSession, root: str, headed: Iterable[tuple[str, str]]) -> DataFrame:
+    """Rows of the files (path, header line) as the eight columns by name,
+    source_file and ``missing_columns``, true where the file lacks one of them.
+    One scan for each layout (width and places of the eight columns)."""
+    layouts = collections.defaultdict(list)
+    for path, header in headed:
+        names = header_names(header or "")
+        layouts[len(names), tuple(names.index(c) if c in names else -1 for c in RAW_COLUMNS)].append(path)
+    rows = None
+    for (width, places), paths in sorted(layouts.items()):
+        schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(max(width, 1))])
+        scan = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(sorted(paths))
+        found = with_lineage(scan, root).select(
+            *[(F.col(f"c{k}") if k >= 0 else F.lit(None).cast("string")).alias(c) for c, k in zip(RAW_COLUMNS, places)], "source_file",
+            F.lit(min(places) < 0).alias("missing_columns"))
+        rows = found if rows is None else rows.unionByName(found)
+    if rows is None:
+        rows = spark.createDataFrame([], schemas.RAW_METER).withColumns(
+            {"source_file": F.lit(""), "missing_columns": F.lit(False)})
+    return rows
+
+
+def read_meter_csv(spark: SparkSession, root: str, files: DataFrame | None = None) -> DataFrame:
+    """S1 + S2 + S9: all ``YYYY/MM/YYYYMMDD.csv`` below ``root`` (or just ``files`` of
+    its listing) as strings bound by name, with ``source_file`` relative to the
+    root. A column that a file lacks is null."""
+    headed = with_headers(spark, list_meter_files(spark, root) if files is None else files)
+    return read_files(spark, root, [(r["path"], r["header"]) for r in headed.collect()]).drop("missing_columns")
 
 
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:

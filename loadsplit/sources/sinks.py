@@ -6,6 +6,8 @@ overwrite, so a re-run replaces only the days it recomputes.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,54 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file, over what has the name."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot write {target}")
+
+
+def _part_files(spark: SparkSession, folder: str) -> list[str]:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+    return [f.getPath().toString() for f in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []]
+
+
+def write_named_csv(df: DataFrame, path: str) -> None:
+    """E7 as one file of that name, in the order of ``df``: for tables of one row, or
+    one an appliance, a date."""
+    spark = df.sparkSession
+    aside = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    df.coalesce(1).write.option("header", "true").csv(aside)
+    for part in _part_files(spark, aside):
+        _rename(spark, part, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_meter_files(raw: DataFrame, root: str) -> None:
+    """E8 as the files ``YYYY/MM/YYYYMMDD.csv`` named by ``source_file``: one file is
+    written by one task, then renamed; a file that is there is replaced. Column
+    names and their order are those of ``raw``."""
+    spark = raw.sparkSession
+    aside = f"{root.rstrip('/')}/.{uuid.uuid4().hex[:8]}.tmp"
+    day = F.regexp_extract("source_file", r"^\d{4}/\d{2}/(\d{8})\.csv$", 1)
+    rows = raw.withColumn("_day", day).drop("source_file").where("_day <> ''")
+    rows.repartition("_day").sortWithinPartitions("_day").write.option("header", "true") \
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").partitionBy("_day").csv(aside)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.listStatus(folder):  # one a day
+        name = found.getPath().getName()
+        if name.startswith("_day="):
+            d = name[len("_day="):]
+            for part in _part_files(spark, f"{aside}/{name}"):
+                _rename(spark, part, f"{root.rstrip('/')}/{d[:4]}/{d[4:6]}/{d}.csv")
+    fs.delete(folder, True)
+
+
 def read_summary_csv(spark: SparkSession, path: str) -> DataFrame:
     """Typed read of an E7 daily-summary export."""
     from pyspark.sql import types as T

@@ -2,11 +2,12 @@
 
 A file-source stream over ``<root>/YYYY/MM/YYYYMMDD.csv`` remembers every file
 it has processed in its checkpoint; ``trigger(availableNow=True)`` processes
-what is there now and stops, so a daily schedule runs it like a batch job.
-Each micro-batch goes through the same ingest step as the batch path. The
-batch is also anti-joined with bronze's file list, so a micro-batch replayed
-after a failure between the bronze write and the checkpoint commit adds
-nothing twice.
+what is there now and stops, so a daily schedule runs it like a batch job. The
+stream carries file names, sizes and times, not lines: each micro-batch hands
+its files to the same step as the batch path, which holds them against the
+manifest, so a micro-batch replayed after a failure between the commit of the
+warehouse and that of the checkpoint adds nothing twice. A file source knows a
+file by its path: one that was replaced is loaded by the next batch run.
 """
 
 from __future__ import annotations
@@ -15,22 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsplit import schemas
-from loadsplit.sources.meter_csv import LINES, normalize_headers, with_lineage
+from loadsplit.constants import METER_PATH_REGEX
+from loadsplit.sources.meter_csv import normalize_headers, relative_source_file
 
 METER_GLOB = "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9][0-9][0-9][0-9][0-9][0-9][0-9].csv"
-
-
 EXPORT_GLOB = "year=[0-9]*/month=[0-9]*/day=[0-9]*/*.csv"
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def meter_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
                  layout: str = "reference") -> DataFrame:
-    """Streaming twin of ``meter_lines``: (fields, source_file), to be bound by
-    name in the micro-batch, which holds whole files.
+    """Streaming twin of ``list_meter_files``: (source_file, path, length, modified);
+    no content is read.
 
     ``layout='export'`` reads the directory-per-day layout of the E8 sink,
     where one logical file (a day) is several part files committed together
-    with one column order; it gives the bound columns. Do not cap files per
+    with one column order; it gives the rows themselves. Do not cap files per
     trigger there: the file-level rules (skip loaded, quarantine) need all
     parts of a day in the same micro-batch."""
     if max_files_per_trigger and layout == "export":
@@ -43,24 +44,26 @@ def meter_stream(spark: SparkSession, root: str, max_files_per_trigger: int | No
         src = F.concat_ws("/", F.regexp_extract(parts, r"year=(\d{4})", 1), F.regexp_extract(parts, r"month=(\d{2})", 1),
                           F.concat(F.regexp_extract(parts, r"day=(\d{8})", 1), F.lit(".csv")))
         return df.select(*schemas.RAW_METER.fieldNames(), src.alias("source_file"))
-    reader = spark.readStream.schema(LINES).option("header", "false")
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = with_lineage(reader.csv(f"{root.rstrip('/')}/{METER_GLOB}"), root)
-    return lines.select(F.array(*LINES.fieldNames()).alias("fields"), "source_file")
+    files = reader.load(f"{root.rstrip('/')}/{METER_GLOB}").select(
+        relative_source_file(F.col("path"), root, spark).alias("source_file"),
+        F.regexp_replace("path", "^([A-Za-z0-9+.-]+):/(?!/)", "$1:///").alias("path"), "length", F.date_trunc("MILLISECOND", "modificationTime").alias("modified"))
+    return files.where(F.col("source_file").rlike(METER_PATH_REGEX))
 
 
 def ingest_incremental(spark: SparkSession, root: str, warehouse: str, checkpoint: str,
                        max_files_per_trigger: int | None = None, layout: str = "reference") -> list[dict]:
     """Run the stream until every file present now is processed; returns the
     per-batch ingest reports."""
-    from loadsplit.plans.pipeline import ingest_lines, ingest_raw
+    from loadsplit.plans.pipeline import ingest_files, ingest_raw
 
     reports: list[dict] = []
-    step = ingest_raw if layout == "export" else ingest_lines
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        reports.append(step(spark, df, warehouse).first().asDict() | {"epoch": epoch_id})
+        done = ingest_raw(spark, df, warehouse) if layout == "export" else ingest_files(spark, root, df, warehouse)
+        reports.append(done.first().asDict() | {"epoch": epoch_id})
 
     q = (meter_stream(spark, root, max_files_per_trigger, layout).writeStream
          .foreachBatch(batch)

@@ -87,5 +87,9 @@ def test_fit_clusters_returns_five_centroids(spark):
     from loadsplit.plans import queries as Q
     cents, cost = M.fit_clusters(Q.zscores(spark, "/root/testdata/sf0.001"), n_init=2)
     assert cents.count() == 5 and cost > 0
+    proof = M.clusters_certificate(Q.zscores(spark, "/root/testdata/sf0.001"), cents).first()
+    assert (proof["n_clusters"], proof["centroid_off"], proof["rows_nearer_elsewhere"]) == (5, 0.0, 0)
+    off = cents.withColumn("usage_kwh", F.col("usage_kwh") + 0.01)
+    assert M.clusters_certificate(Q.zscores(spark, "/root/testdata/sf0.001"), off).first()["centroid_off"] > 0
     assert M.map_clusters(M.centroids_original_units(
         M.assign_cluster(Q.zscores(spark, "/root/testdata/sf0.001"), cents))).count() == 5

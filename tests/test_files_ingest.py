@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from loadsplit.operators import export as E
@@ -10,6 +11,7 @@ from loadsplit.plans import pipeline as PL
 from loadsplit.session import local_path
 from loadsplit.sources import meter_csv as S
 from loadsplit.sources import sinks
+from loadsplit.sources.snapshots import Warehouse
 from tests.conftest import day_rows, write_meter_file
 
 D1, D2, D3 = dt.date(2025, 5, 1), dt.date(2025, 5, 2), dt.date(2025, 5, 3)
@@ -55,17 +57,17 @@ def test_ingest_quarantine_quality_and_rerun(spark, scratch):
         write_meter_file(root, d, rows)
     rep = PL.run_ingest(spark, root, wh).first().asDict()
     assert rep == {"rows_loaded": 192, "files_loaded": 2, "files_skipped": 0, "files_in_error": 1}
-    bronze = spark.read.parquet(f"{wh}/bronze")
+    bronze = PL.read_table(spark, wh, "bronze")
     assert bronze.count() == 192 and bronze.where(F.col("usage_kwh").isNull()).count() == 1
-    qr = {r["source_file"]: r for r in spark.read.parquet(f"{wh}/quality").collect()}
+    qr = {r["source_file"]: r for r in PL.read_table(spark, wh, "quality").collect()}
     issues = qr["2025/05/20250503.csv"]["issues"]
     # 95 rows + one repeated slot = 96 rows, so the count check stays quiet
     assert issues == "kWh missing in 1 rows; kWh below zero in 1 rows; 1 rows repeat a meter and slot"
     assert qr["2025/05/20250501.csv"]["issues"] == ""
     rep2 = PL.run_ingest(spark, root, wh).first().asDict()   # same files again: nothing new
-    assert rep2["rows_loaded"] == 0 and spark.read.parquet(f"{wh}/bronze").count() == 192
+    assert rep2["rows_loaded"] == 0 and PL.read_table(spark, wh, "bronze").count() == 192
     assert rep2["files_skipped"] == 2 and rep2["files_in_error"] == 1
-    assert spark.read.parquet(f"{wh}/quality").count() == 2
+    assert PL.read_table(spark, wh, "quality").count() == 2
 
 
 def test_ingest_binds_by_name_and_counts_files_without_a_column(spark, scratch):
@@ -80,7 +82,7 @@ def test_ingest_binds_by_name_and_counts_files_without_a_column(spark, scratch):
     write_meter_file(other, D1, day_rows(D1))
     rep = PL.run_ingest(spark, root, wh).first().asDict()
     assert rep == {"rows_loaded": 192, "files_loaded": 2, "files_skipped": 0, "files_in_error": 1}
-    kwh = {r["source_file"]: r["k"] for r in spark.read.parquet(f"{wh}/bronze").groupBy("source_file").agg(F.sum("usage_kwh").alias("k")).collect()}
+    kwh = {r["source_file"]: r["k"] for r in PL.read_table(spark, wh, "bronze").groupBy("source_file").agg(F.sum("usage_kwh").alias("k")).collect()}
     assert kwh == {"2025/05/20250501.csv": 48.0, "2025/05/20250502.csv": 24.0}
     # the file below siteB is a meter file of that root, under its own name
     assert S.list_meter_files(spark, other).count() == 1 and S.list_meter_files(spark, root).count() == 3
@@ -93,24 +95,81 @@ def test_blank_date_fails_its_file(spark, scratch):
     write_meter_file(root, D1, rows)
     write_meter_file(root, D2, day_rows(D2))
     assert PL.run_ingest(spark, root, wh).first()["files_in_error"] == 1
-    assert spark.read.parquet(f"{wh}/bronze").where("interval_start_dt is null").count() == 0
+    assert PL.read_table(spark, wh, "bronze").where("interval_start_dt is null").count() == 0
 
 
-def test_quality_report_of_a_stopped_run_is_made_good(spark, scratch, monkeypatch):
+def test_a_stopped_run_loads_nothing_and_the_next_all(spark, scratch, monkeypatch):
     root, wh = _root(scratch, "meters"), scratch("wh")
     write_meter_file(root, D1, day_rows(D1))
-    monkeypatch.setattr(PL, "_write_report", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
-    try:
+    monkeypatch.setattr(PL.Q, "quality_report", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
         PL.run_ingest(spark, root, wh)
-    except RuntimeError:
-        pass
     monkeypatch.undo()
+    with pytest.raises(ValueError, match="no table bronze"):
+        PL.read_table(spark, wh, "bronze")
     write_meter_file(root, D2, day_rows(D2))
-    assert PL.run_ingest(spark, root, wh).first()["files_loaded"] == 1
-    assert sorted(r[0] for r in spark.read.parquet(f"{wh}/quality").select("source_file").collect()) == \
+    assert PL.run_ingest(spark, root, wh).first()["files_loaded"] == 2
+    assert sorted(r[0] for r in PL.read_table(spark, wh, "quality").select("source_file").collect()) == \
         ["2025/05/20250501.csv", "2025/05/20250502.csv"]
 
 
+def test_a_file_of_a_hundred_columns_and_blank_first_lines(spark, scratch):
+    root, wh = _root(scratch, "meters"), scratch("wh")
+    wide = [f"N{k}" for k in range(92)]
+    rows = [r | dict.fromkeys(wide, "9") for r in day_rows(D1, kwh=0.5)]
+    path = write_meter_file(root, D1, rows, columns=[*wide, *day_rows(D1)[0]])
+    text = open(path).read()
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("\r\n\n" + text)
+    write_meter_file(root, D2, day_rows(D2, kwh=0.25, n=0))            # a header and nothing else
+    assert PL.run_ingest(spark, root, wh).first().asDict() == {"rows_loaded": 96, "files_loaded": 2, "files_skipped": 0, "files_in_error": 0}
+    assert PL.read_table(spark, wh, "bronze").agg(F.sum("usage_kwh")).first()[0] == 48.0
+    assert PL.run_ingest(spark, root, wh).first()["files_skipped"] == 2
+
+
+def test_no_line_is_shuffled_or_joined_on_the_way_to_rows(spark, scratch):
+    root = _root(scratch, "meters")
+    write_meter_file(root, D1, day_rows(D1))
+    write_meter_file(root, D2, day_rows(D2), columns=[*reversed(list(day_rows(D2)[0]))])
+    plan = S.read_meter_csv(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_replaced_file_is_loaded_again_and_its_old_rows_go(spark, scratch):
+    root, wh = _root(scratch, "meters"), scratch("wh")
+    moved = day_rows(D1)
+    moved[0]["USAGE_DATE"] = f"{D3:%m/%d/%Y}"                          # one of its rows is on another file's date
+    write_meter_file(root, D1, moved)
+    write_meter_file(root, D3, day_rows(D3, kwh=0.25))
+    PL.run_ingest(spark, root, wh).collect()
+    assert PL.read_table(spark, wh, "bronze").where(F.col("usage_date") == D3).count() == 97
+    write_meter_file(root, D1, day_rows(D1, kwh=0.75))
+    assert PL.run_ingest(spark, root, wh).first().asDict() == {"rows_loaded": 96, "files_loaded": 1, "files_skipped": 1, "files_in_error": 0}
+    kwh = {r["source_file"]: (r["n"], r["k"]) for r in PL.read_table(spark, wh, "bronze").groupBy("source_file")
+           .agg(F.count("*").alias("n"), F.sum("usage_kwh").alias("k")).collect()}
+    assert kwh == {"2025/05/20250501.csv": (96, 72.0), "2025/05/20250503.csv": (96, 24.0)}
+    assert PL.read_table(spark, wh, "bronze").where(F.col("usage_date") == D3).count() == 96
+    bad = day_rows(D1)
+    bad[5]["USAGE_DATE"] = "2025-05-01"
+    write_meter_file(root, D1, bad)                                    # a bad file does not take the place of a good one
+    assert PL.run_ingest(spark, root, wh).first()["files_in_error"] == 1
+    assert PL.read_table(spark, wh, "bronze").count() == 192
+
+
+def test_the_digest_of_a_date_does_not_depend_on_how_its_rows_came(spark, scratch):
+    one, two, root = scratch("wh"), scratch("wh"), _root(scratch, "meters")
+    write_meter_file(root, D1, day_rows(D1))
+    other = day_rows(D2)
+    for r in other:
+        r["USAGE_DATE"] = f"{D1:%m/%d/%Y}"
+    PL.run_ingest(spark, root, one).collect()
+    write_meter_file(root, D2, other)
+    PL.run_ingest(spark, root, one).collect()
+    PL.run_ingest(spark, root, two).collect()
+    parts = [Warehouse(spark, w).parts("bronze")["2025-05-01"] for w in (one, two)]
+    assert parts[0]["signature"] == parts[1]["signature"] and [len(p["commits"]) for p in parts] == [2, 1]
+
+
 def test_short_file_warns_only(spark):
     rows = [("f.csv", "m", None, 0.1)] * 95
     df = spark.createDataFrame(rows, "source_file string, esiid string, interval_start_dt timestamp_ntz, "
@@ -131,7 +190,11 @@ def test_incremental_stream_picks_each_file_once(spark, scratch):
     write_meter_file(root, D2, day_rows(D2))
     r3 = ingest_incremental(spark, root, wh, ck)
     assert sum(r["rows_loaded"] for r in r3) == 96
-    assert spark.read.parquet(f"{wh}/bronze").count() == 192
+    assert PL.read_table(spark, wh, "bronze").count() == 192
+    write_meter_file(root, D1, day_rows(D1, n=95))                     # replaced under its name
+    assert sum(r["files_loaded"] for r in ingest_incremental(spark, root, wh, ck, max_files_per_trigger=1)) == 0
+    assert PL.run_ingest(spark, root, wh).first()["files_loaded"] == 1
+    assert PL.read_table(spark, wh, "bronze").count() == 191
 
 
 def test_export_round_trip(spark, scratch):
