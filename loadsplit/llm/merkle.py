@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadsplit.session import scratch_path
 
@@ -43,10 +44,13 @@ LANE = 1024
 TOP = -1  # tree number of the tree over the groups' roots
 
 #: a stored node: where it is, its digest, the digests beside the way up (side 0: none, 1: left, 2: right),
-#: and the node where the way ends, with its digest and how many copies of its own row there are
-_NODE = "tree long, level int, pos long, hash binary, siblings array<struct<side: int, hash: binary>>, " \
-        "up_tree long, up_level int, up_pos long, up_lanes long, up_hash binary, weight long, n long"
+#: the node where the way ends with its digest and how many copies of its own row there are, how many
+#: leaves are below the node and (in the first row of a block) below the end of the way, and below the tree's root
+_NODE = "tree long, level int, pos long, hash binary, siblings array<struct<side: int, hash: binary>>, up_tree long, up_level int, " \
+        "up_pos long, up_lanes long, up_hash binary, weight long, up_weight long, n long"
 _SIBLINGS = pa.list_(pa.struct([("side", pa.int32()), ("hash", pa.binary())]))
+#: what a leaf's row has besides
+_LEAF = ("_id", "shown")
 
 
 def field(c: Column) -> Column:
@@ -76,12 +80,13 @@ def _levels(leaves: list[bytes], rise: int) -> list[list[bytes]]:
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], level: int, rise: int) -> Iterator[pa.RecordBatch]:
-    """Node rows of whole blocks, from rows (block, tree, pos, hash, weight, n) sorted by block and place."""
+    """Node rows of whole blocks, from rows (block, tree, pos, hash, weight, n and what
+    a leaf has besides) sorted by block and place."""
     for rows in _blocks(batches):
         tree, n = rows["tree"][0].as_py(), rows["n"][0].as_py()
         depth = max(n - 1, 0).bit_length()           # levels above the tree's leaves
         up = min(level + rise, depth)
-        pos, digests = rows["pos"].to_pylist(), rows["hash"].to_pylist()
+        pos, digests, weight = (rows[c].to_pylist() for c in ("pos", "hash", "weight"))
         levels = _levels(digests, up - level)
         ways = []
         for i in range(len(digests)):
@@ -91,20 +96,20 @@ def _block_rows(batches: Iterator[pa.RecordBatch], level: int, rise: int) -> Ite
                 way.append({"side": 0, "hash": None} if beside >= len(nodes) else {"side": 1 if beside < i else 2, "hash": nodes[beside]})
                 i >>= 1
             ways.append(way)
-        m, total = len(digests), sum(rows["weight"].to_pylist())
-        at_root = up == depth
-        link = (TOP, 0, tree) if at_root and tree != TOP else (None, None, None) if at_root else (tree, up, pos[0] >> (up - level))
+        m, total = len(digests), sum(weight)
+        link = (tree, up, pos[0] >> (up - level)) if up < depth else (None, None, None) if tree == TOP else (TOP, 0, tree)
         fixed = lambda value, kind: pa.array([value] * m, kind)
-        yield pa.RecordBatch.from_arrays(
-            [fixed(tree, pa.int64()), fixed(level, pa.int32()), pa.array(pos, pa.int64()), pa.array(digests, pa.binary()),
-             pa.array(ways, _SIBLINGS), fixed(link[0], pa.int64()), fixed(link[1], pa.int32()), fixed(link[2], pa.int64()),
-             fixed(-(-total // LANE), pa.int64()), fixed(levels[-1][0], pa.binary()),
-             pa.array([total] + [0] * (m - 1), pa.int64()), fixed(n, pa.int64())],
-            [f.split(" ")[0] for f in _NODE.replace("side: int, hash: binary", "").split(", ")])
+        own = {"tree": fixed(tree, pa.int64()), "level": fixed(level, pa.int32()), "pos": pa.array(pos, pa.int64()),
+               "hash": pa.array(digests, pa.binary()), "siblings": pa.array(ways, _SIBLINGS), "up_tree": fixed(link[0], pa.int64()),
+               "up_level": fixed(link[1], pa.int32()), "up_pos": fixed(link[2], pa.int64()), "up_lanes": fixed(-(-total // LANE), pa.int64()),
+               "up_hash": fixed(levels[-1][0], pa.binary()), "weight": pa.array(weight, pa.int64()),
+               "up_weight": pa.array([total] + [0] * (m - 1), pa.int64()), "n": fixed(n, pa.int64())}
+        besides = [c for c in _LEAF if c in rows.column_names]
+        yield pa.RecordBatch.from_arrays([*own.values(), *(rows[c].combine_chunks() for c in besides)], [*own, *besides])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """One table a block; equal keys are neighbours, and a task has the blocks of several keys."""
+    """One table a block; a task has the blocks of several keys."""
     for rows in grouped(batches, "block"):
         key = rows["block"].to_pylist()
         cuts = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
@@ -114,51 +119,59 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def build_levels(leaves: DataFrame, most: int, path: str, rise: int = RISE) -> None:
-    """Append the node rows of the trees over ``leaves`` (tree, pos, hash, weight, n) to ``path/level=L``.
-    ``n`` is the number of leaves of the row's tree, ``most`` the largest of them."""
+    """Write the node rows of the trees over ``leaves`` (tree, pos, hash, weight, n and
+    columns to keep with a leaf) to ``path/base=L``. ``n`` is the number of leaves of
+    the row's tree, ``most`` the largest of them."""
     spark, level = leaves.sparkSession, 0
+    schema = T._parse_datatype_string(_NODE)
+    for c in leaves.columns:
+        if c in _LEAF:
+            schema = schema.add(c, leaves.schema[c].dataType)
     while True:
         block = F.concat_ws("/", F.col("tree").cast("string"), F.shiftright("pos", rise).cast("string"))
-        dealt = leaves.select(block.alias("block"), "tree", "pos", "hash", "weight", "n") \
-            .repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block", "pos")
-        rows = dealt.mapInArrow(functools.partial(_block_rows, level=level, rise=rise), _NODE)
-        rows.write.parquet(f"{path}/base={level}")
+        dealt = leaves.withColumn("block", block).repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block", "pos")
+        dealt.mapInArrow(functools.partial(_block_rows, level=level, rise=rise), schema).write.parquet(f"{path}/base={level}")
         level += rise
         if level >= max(most - 1, 0).bit_length():
             return
         done = spark.read.parquet(f"{path}/base={level - rise}")
-        leaves = done.where((F.col("up_level") == level) & (F.col("up_tree") == F.col("tree")) & (F.col("weight") > 0)) \
-            .select("tree", F.col("up_pos").alias("pos"), F.col("up_hash").alias("hash"), "weight", "n")
+        leaves = done.where((F.col("up_level") == level) & (F.col("up_tree") == F.col("tree")) & (F.col("up_weight") > 0)) \
+            .select("tree", F.col("up_pos").alias("pos"), F.col("up_hash").alias("hash"), F.col("up_weight").alias("weight"), "n")
+        schema = T._parse_datatype_string(_NODE)
 
 
 # --- the manifest -------------------------------------------------------------------------
 
 def write_manifest(docs: DataFrame, path: str, presented: dict[str, Column] | None = None, fields: tuple[str, ...] = FIELDS,
                    id_col: str = "doc_id", group_col: str = "lang", rise: int = RISE) -> None:
-    """Write ``path/leaves`` (_id, tree, pos, hash, shown), ``path/trees`` and
-    ``path/top`` (node rows). ``shown`` is the leaf of the row with the
-    columns of ``presented`` in place of its own: what ``prove`` holds against the tree."""
+    """Write ``path/trees`` and ``path/top``, the node rows of the groups' trees and of
+    the tree over their roots. A leaf's row also has ``_id`` and ``shown``, the leaf of
+    the row with the columns of ``presented`` in place of its own: what
+    ``prove`` holds against the tree."""
     spark = docs.sparkSession
     plain = {c: F.col(f"`{c}`") for c in fields}
     rows = docs.select(F.col(f"`{group_col}`").alias("_group"), F.col(f"`{id_col}`").alias("_id"),
                        leaf(list(plain.values())).alias("hash"), leaf(list((plain | (presented or {})).values())).alias("shown"))
     line = number_rows(rows, [F.col("_group").asc_nulls_first(), F.col("_id").asc_nulls_first(), F.col("hash")], "line")
-    line = stage(line, "merkle-line")
-    groups = line.groupBy("_group").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = stage(number_rows(groups, [F.col("_group").asc_nulls_first()], "tree"), "merkle-groups")
-    line = line.join(groups.withColumnRenamed("_group", "_g"), F.col("_group").eqNullSafe(F.col("_g")))
-    line.select("_id", "tree", (F.col("line") - F.col("first")).alias("pos"), "hash", "shown", "n").write.parquet(f"{path}/leaves")
+    groups = line.groupBy(F.col("_group").alias("_g")).agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = stage(number_rows(groups, [F.col("_g").asc_nulls_first()], "tree"), "merkle-groups")
     n_groups, most = groups.agg(F.count(F.lit(1)), F.max("n")).first()
-    leaves = spark.read.parquet(f"{path}/leaves")
-    build_levels(leaves.select("tree", "pos", "hash", F.lit(1).cast("long").alias("weight"), "n"), most or 0, f"{path}/trees", rise)
-    roots = spark.read.parquet(f"{path}/trees").where((F.col("up_tree") == TOP) & (F.col("weight") > 0))
-    build_levels(roots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.col("up_hash").alias("hash"), "weight",
-                              F.lit(n_groups).cast("long").alias("n")), n_groups, f"{path}/top", rise)
+    leaves = line.join(groups, F.col("_group").eqNullSafe(F.col("_g"))) \
+        .select("tree", (F.col("line") - F.col("first")).alias("pos"), "hash", F.lit(1).cast("long").alias("weight"), "n", *_LEAF)
+    build_levels(leaves, most or 0, f"{path}/trees", rise)
+    roots = _nodes(spark, f"{path}/trees").where((F.col("up_tree") == TOP) & (F.col("up_weight") > 0))
+    build_levels(roots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.col("up_hash").alias("hash"),
+                              F.col("up_weight").alias("weight"), F.lit(n_groups).cast("long").alias("n")), n_groups, f"{path}/top", rise)
+
+
+def _nodes(spark: SparkSession, path: str) -> DataFrame:
+    """Stored node rows of all levels, without what only leaves have."""
+    return spark.read.schema(f"{_NODE}, base int").parquet(path)
 
 
 def root_hash(spark: SparkSession, path: str) -> str | None:
     """Hex digest of the manifest's root; None for a manifest without rows."""
-    found = spark.read.parquet(f"{path}/top").where("up_tree is null and weight > 0").select(F.lower(F.hex("up_hash"))).first()
+    found = _nodes(spark, f"{path}/top").where("up_tree is null and up_weight > 0").select(F.lower(F.hex("up_hash"))).first()
     return found and found[0]
 
 
@@ -200,17 +213,12 @@ def prove(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """Climb from every leaf of the manifest at ``path``: id, leaf, subroot, root
     (hex), proof (the siblings' digests, left to right from the leaf up), folded_root
     (what the presented leaf gives) and verified."""
-    trees, top = spark.read.parquet(f"{path}/trees"), spark.read.parquet(f"{path}/top")
-    leaves = spark.read.parquet(f"{path}/leaves").drop("n").join(
-        trees.where("base = 0").drop("hash", "level", "base", "weight", "n"), ["tree", "pos"])
-    # a row stands once for each lane of the leaves below it, which its children counted
-    upper = trees.where("base > 0").unionByName(top).drop("base", "weight", "n", "hash")
-    lanes = trees.unionByName(top).where("weight > 0").select(
-        F.col("up_tree").alias("tree"), F.col("up_level").alias("level"), F.col("up_pos").alias("pos"), F.col("up_lanes").alias("lanes"))
-    nodes = upper.join(lanes, ["tree", "level", "pos"]) \
-        .withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1))).drop("lanes")
+    upper = _nodes(spark, f"{path}/trees").where("base > 0").unionByName(_nodes(spark, f"{path}/top"))
+    # a row stands once for each lane of the leaves below it, as its children's link counts them
+    lanes = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("weight") / LANE) - 1)
+    nodes = upper.withColumn("lane", F.explode(lanes)).drop("base", "weight", "up_weight", "n", "hash")
     with _unlimited_recursion(spark):
-        found = spark.sql(_CLIMB, start=stage(leaves, "merkle-start"), nodes=stage(nodes, "merkle-nodes"))
+        found = spark.sql(_CLIMB, start=spark.read.parquet(f"{path}/trees/base=0"), nodes=nodes)
         return stage(found, "merkle-proofs").withColumnRenamed("_id", id_col)
 
 
