@@ -13,7 +13,7 @@ all its documents, ``searchsorted`` on the documents' offsets gives each word it
 document, and n-grams whose first and last word are of different documents are
 masked before ``bincount``. A text longer than a batch is a batch of its own
 whose words are taken in blocks, the last words of a block carried into the
-next. Buckets are counted per task and added up in Spark; the gains (one number
+next. The checksum of an n-gram comes from those of its words. Buckets are counted per task and added up in Spark; the gains (one number
 a bucket) are all that reaches the driver or is sent to the tasks.
 
 Defined cases: a text that is null, empty or without words has no feature, the
@@ -27,7 +27,6 @@ smoothing and an empty table no rows. Other columns are not read unless kept.
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -46,36 +45,69 @@ SHARE = 25       # per cent of the documents that can be drawn
 MIN_WORDS = 20   # fewer words: never drawn
 SEED = 7
 
-BATCH_BYTES = 4 << 20
-BLOCK_WORDS = 1 << 16
+BATCH_BYTES = 4 << 20    # of joined texts, and of what one pass of the pattern takes
 SEPARATOR = b"\x00"
 #: fixed value: words after lower-casing A-Z, on UTF-8 bytes
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TOKEN = re.compile(_WORD + rb"|\x00")
+_GAP = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
+_SEPARATOR_CRC = zlib.crc32(SEPARATOR)
+#: lower case; a separator inside a text becomes a blank, which is no word either
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + SEPARATOR, b"abcdefghijklmnopqrstuvwxyz ")
+
+
+def _zero_bytes(most: int) -> np.ndarray:
+    """[n, k, b]: what n zero bytes make of a checksum whose k-th byte is b and whose others are 0."""
+    step = np.array([zlib.crc32(bytes([b])) for b in range(256)], np.uint32) ^ np.uint32(zlib.crc32(b"\x00"))
+    shifts = [np.arange(256, dtype=np.uint32)[None, :] << np.array([[0], [8], [16], [24]], np.uint32)]
+    for _ in range(most):
+        shifts.append((shifts[-1] >> 8) ^ step[shifts[-1] & 255])
+    return np.array(shifts)
+
+
+_ZEROS = _zero_bytes(64)
+
+
+def _after(crc: np.ndarray, next_crc: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of two byte strings in a row, from their checksums and the second's length."""
+    crc, size = crc.copy(), size.copy()
+    while (far := np.flatnonzero(size >= len(_ZEROS))).size:
+        crc[far] = _shifted(crc[far], np.full(far.size, len(_ZEROS) - 1))
+        size[far] -= len(_ZEROS) - 1
+    return _shifted(crc, size) ^ next_crc
+
+
+def _shifted(crc: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return _ZEROS[size, 0, crc & 255] ^ _ZEROS[size, 1, crc >> 8 & 255] ^ _ZEROS[size, 2, crc >> 16 & 255] ^ _ZEROS[size, 3, crc >> 24]
 
 
 def features(texts: list[bytes], ngram: int, n_buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(n-gram length, documents, buckets) of all n-grams of a batch, in blocks."""
-    joined = SEPARATOR.join(texts).lower()
-    starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-    found = _WORD.finditer(joined)
-    words, docs = [], np.empty(0, np.int64)
-    while hits := [(m.start(), m.group()) for m in itertools.islice(found, BLOCK_WORDS)]:
-        old = len(words)  # words carried over, whose own n-grams are counted already
-        docs = np.r_[docs, np.searchsorted(starts, np.fromiter((h[0] for h in hits), np.int64, len(hits)), "right") - 1]
-        words += [h[1] for h in hits]
-        spaced = [b" " + w for w in words]
-        crc = list(map(zlib.crc32, words))
-        for n in range(1, ngram + 1):
+    joined = SEPARATOR.join([t.translate(_FOLD) for t in texts])
+    at = first_doc = 0
+    crc, size, doc = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+    while at < len(joined):
+        gap = _GAP.search(joined, at + BATCH_BYTES) if at + BATCH_BYTES < len(joined) else None
+        end = gap.start() if gap else len(joined)
+        found = _TOKEN.findall(joined, at, end)
+        at, old = end, crc.size  # the words kept from the last block come first; their own n-grams are counted
+        sums = np.fromiter(map(zlib.crc32, found), np.uint32, len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        offsets = np.flatnonzero((sizes == 1) & (sums == _SEPARATOR_CRC))  # where documents end among the tokens
+        docs = first_doc + np.searchsorted(offsets, np.arange(len(found)), "right")
+        first_doc += offsets.size
+        crc, size, doc = (np.r_[kept, np.delete(new, offsets)] for kept, new in ((crc, sums), (size, sizes), (doc, docs)))
+        gram = crc
+        for n in range(1, min(ngram, crc.size) + 1):
             if n > 1:
-                crc = list(map(zlib.crc32, spaced[n - 1:], crc))
-            if not crc:
-                break
-            first = max(old - n + 1, 0)
-            head, tail = docs[first:len(crc)], docs[first + n - 1:]
+                blank = _after(gram[:-1], np.uint32(zlib.crc32(b" ")), np.ones(gram.size - 1, np.int64))
+                gram = _after(blank, crc[n - 1:], size[n - 1:])
+            new = slice(max(old - n + 1, 0), None)
+            head, tail = doc[:gram.size][new], doc[n - 1:][new]
             inside = head == tail
-            yield n, head[inside], np.array(crc[first:], np.int64)[inside] % n_buckets
-        keep = min(ngram - 1, len(words))
-        words, docs = words[len(words) - keep:], docs[docs.size - keep:]
+            yield n, head[inside], gram[new][inside] % n_buckets
+        keep = slice(max(crc.size - ngram + 1, 0), None)
+        crc, size, doc = crc[keep], size[keep], doc[keep]
 
 
 def _bucket_counts(batches: Iterator[pa.RecordBatch], ngram: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
