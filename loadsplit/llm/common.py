@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadsplit.session import scratch_path
+from loadsplit.session import scratch_path, ship  # noqa: F401 - ship is used by the queries and tests
 
 #: fixed values: the ASCII letters whose case the contracts fold
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,21 +29,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, for
-    clusters where it is not installed."""
-    sc = spark.sparkContext
-    if getattr(sc, "_loadsplit_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="loadsplit-code-"), "loadsplit_code.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(os.path.join(top, "loadsplit")):
-            for f in files:
-                if f.endswith(".py"):
-                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), top))
-    sc.addPyFile(path)
-    sc._loadsplit_shipped = True
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most so many rows to the Python workers, for what runs inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def ascii_lower(c: Column) -> Column:
@@ -62,6 +55,30 @@ def utf8(col: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in col.cast(pa.binary()).to_pylist()]
 
 
+class Recent(dict):
+    """Values by key, made when missing; the older half is forgotten when ``most`` new ones are there."""
+
+    def __init__(self, make, most: int, keep=lambda key: True):
+        self.make, self.most, self.keep, self.old = make, most, keep, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if self.keep(key):
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.turn()
+        self[key] = value
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
+
 def by_bytes(texts: list[bytes], most: int) -> Iterator[slice]:
     """Slices of about ``most`` bytes that cover the list; a longer text is alone or ends its slice."""
     at = size = 0

@@ -62,7 +62,7 @@ def measured(df):
 
 @pytest.mark.parametrize("ngram", [1, 2, 3])
 def test_resampling_equals_brute_force(spark, docs, ngram, monkeypatch):
-    monkeypatch.setattr(importance, "BLOCK_WORDS", 7)
+    monkeypatch.setattr(importance, "BATCH_BYTES", 40)
     rng = random.Random(3)
     rows = odd_texts(300) + [(100 + k, " ".join(rng.choice(["the", "It's", "x-ray", "é", "日本", "9a"]) for _ in range(rng.randint(0, 40))))
                              for k in range(60)]
@@ -71,6 +71,13 @@ def test_resampling_equals_brute_force(spark, docs, ngram, monkeypatch):
     assert measured(found) == plain_resample(rows, target, 40, 5, ngram)
 
 
+def test_buckets_of_words_of_any_length():
+    texts = ["a" * 63, "b" * 64 + " " + "c" * 65, "d " * 5 + "e" * 1000 + " f", "\x00 g \x00h", "", " ", "É é"]
+    for ngram in (1, 2, 4):
+        found = collections.Counter((int(d), int(b)) for _, ds, bs in importance.features([t.encode() for t in texts], ngram, 10_007) for d, b in zip(ds, bs))
+        assert found == collections.Counter((d, h % 10_007) for d, t in enumerate(texts) for h in plain_features(t, ngram)[1])
+
+
 def test_resampling_of_empty_tables_and_clashing_columns(spark, docs):
     none = spark.createDataFrame([], "text string")
     assert importance.resample(docs([]), none).count() == 0
@@ -188,6 +195,12 @@ def test_counts_do_not_depend_on_what_is_remembered(library, monkeypatch):
         assert int(counter.differences(text).sum()) == library(text)
 
 
+def test_differences_of_any_size_are_packed():
+    rng = random.Random(3)
+    for values in ([], [0], [127, -127], [128], [-128, 5], [10**6, -10**6, 1], [rng.randint(-300, 300) for _ in range(50)]):
+        assert prefix_counts.unpack(prefix_counts._pack(values)).tolist() == values
+
+
 def test_stored_counts_answer_without_the_texts(spark, docs, library, scratch):
     rows = odd_texts(3000)
     path = scratch("counts")
@@ -196,8 +209,9 @@ def test_stored_counts_answer_without_the_texts(spark, docs, library, scratch):
     want = sorted(((i, len((t or "").encode()), len(t or ""), library(t or "")) for i, t in rows), key=str)
     assert sorted((tuple(r) for r in counts.drop("steps").collect()), key=str) == want
     text = dict(rows)[7]
-    at = [r[0] for k in range(len(text) + 1) for r in counts.where("doc_id = 7").select(prefix_counts.tokens_at(F.lit(k))).collect()]
-    assert at == [library(text[:k]) for k in range(len(text) + 1)]
+    asked = counts.where("doc_id = 7").select("doc_id", "steps", F.explode(F.sequence(F.lit(-1), F.lit(len(text) + 1))).alias("k"))
+    at = {r.k: r.tokens_at for r in prefix_counts.tokens_at(asked, F.col("k")).collect()}
+    assert at == {k: library(text[:max(k, 0)]) for k in range(-1, len(text) + 2)}
     for limit in (0, 1, 5, 10**6):
         got = {r["doc_id"]: r["fit_chars"] for r in prefix_counts.fit_budget(counts, limit).where("doc_id in (3, 7, 8)").collect()}
         for i in (3, 7, 8):
