@@ -6,16 +6,19 @@ Texts are packed once, in input order, into compressed blocks of some megabytes
 that are written as a table bucketed by the input part; neither texts nor
 positions are shuffled after that. A round of counting is a request and a
 reply: each pack sends the sorted distinct hashes of its windows to hash ranges
-(differences of sorted hashes, zero bytes left out: four to five bytes a
-window, and a window that fills a corpus is sent once a pack), each range
-counts them and answers with one bit per hash. The first round counts 48 bits of
+(differences of sorted hashes, zero bytes left out, and a window that fills a
+corpus is sent once a pack), each range counts them and answers with one bit per
+hash. The first round counts 48 bits of
 the hash; a second one counts 64 bits of an independent hash, for the windows
 that passed the first only, so chance matches need both. The answers go
 back to the packs' parts, by a join on the bucket column that leaves the packs
 where they are.
 
-Hash ranges hold about ``RANGE_WINDOWS`` windows, and packs ``pack_bytes`` of
-text, at any input size.
+There are ``RANGES_PER_TASK`` hash ranges a shuffle partition, so requests grow with
+the packs alone: a row of some 70 bytes and four to five bytes a window. A range
+that holds more than ``RANGE_WINDOWS`` windows is counted in slices of its hashes:
+its requests are cut where they have arrived and sorted by slice, which spills, so
+a task counts one slice at a time. Packs hold ``pack_bytes`` of text.
 
 Defined cases: a null or empty text has no words and loses none; a text of
 fewer words than a window loses none; one text longer than a pack is a pack of
@@ -46,6 +49,7 @@ WINDOW = 35
 PACK_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
 RANGE_WINDOWS = 1 << 20
+RANGES_PER_TASK = 4
 LONG_WORD = 64
 #: per round: seed of the byte values, base of the polynomials (odd), bits left out
 ROUNDS = ((1, 0x9E3779B97F4A7C15, 16), (2, 0xC2B2AE3D27D4EB4F, 0))
@@ -230,7 +234,8 @@ class _Asked:
         cut = np.r_[np.searchsorted(self.distinct, _edges(n_ranges, 64 - off)), self.distinct.size]
         again = self.twice.copy()
         for r in replies:
-            lo, hi = cut[r["range"]], cut[r["range"] + 1]
+            lo = cut[r["range"]] + r["at"]
+            hi = lo + r["n"]
             again[lo:hi] |= np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=hi - lo).astype(bool)
         self.at = np.sort(self.at[self.order[again[self.place]]])
 
@@ -252,19 +257,41 @@ def _requests(k: int, window: int, n_ranges: list[int]):
             full = np.flatnonzero(np.diff(cut))
             n = np.diff(cut)[full]
             blobs = [_dense(asked.distinct[cut[r]:cut[r + 1]]) for r in full]
+            fixed = lambda value: pa.array([value] * full.size, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([row["part"]] * full.size, pa.int32()),
-                 pa.array([row["pack"]] * full.size, pa.int32()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())],
-                ["range", "part", "pack", "n", "hashes"])
+                [pa.array(full, pa.int64()), pa.array(full, pa.int32()), fixed(row["part"]), fixed(row["pack"]), fixed(0),
+                 pa.array(n, pa.int32()), pa.array(blobs, pa.binary())], _REQUEST_NAMES)
+
+    return run
+
+
+#: a request: what is counted together, range, sender, place of its first hash among the sender's of the range, hashes
+_REQUEST = "key long, range int, part int, pack int, at int, n int, hashes binary"
+_REQUEST_NAMES = [f.split()[0] for f in _REQUEST.split(", ")]
+
+
+def _slices(n_ranges: int, n_slices: int, bits: int):
+    """mapInArrow function that cuts requests at the slices of their range."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = _edges(n_ranges * n_slices, bits)
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                h, first = _sparse(r["hashes"], r["n"]), r["range"] * n_slices
+                cut = np.r_[np.searchsorted(h, edges[first:first + n_slices]), h.size]
+                for k in np.flatnonzero(np.diff(cut)).tolist():
+                    lo, hi = int(cut[k]), int(cut[k + 1])
+                    rows.append(r | {"key": first + k, "at": lo, "n": hi - lo, "hashes": _dense(h[lo:hi])})
+            yield pa.RecordBatch.from_pylist(rows, b.schema)
 
     return run
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by range: for each request one bit per hash that another
-    request of the range has too."""
-    for t in grouped(batches, "range"):
-        numbers = t.column("range").to_numpy()
+    """Rows sorted by key: for each request one bit per hash that another
+    request of the key has too."""
+    for t in grouped(batches, "key"):
+        numbers = t.column("key").to_numpy()
         first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
         for at, to in zip(first, np.r_[first[1:], numbers.size]):
             g = t.slice(at, to - at)
@@ -280,15 +307,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             told = [k for k, p in enumerate(parts) if p.any()]
             if told:
                 yield pa.RecordBatch.from_arrays(
-                    [g.column(c).combine_chunks().take(pa.array(told)) for c in ("part", "pack", "range")]
+                    [g.column(c).combine_chunks().take(pa.array(told)) for c in ("part", "pack", "range", "at", "n")]
                     + [pa.array([np.packbits(parts[k]).tobytes() for k in told], pa.binary())],
-                    ["part", "pack", "range", "bits"])
+                    ["part", "pack", "range", "at", "n", "bits"])
 
 
 def _own(replies: str) -> Column:
     """The replies to a pack, from those to its part."""
     return F.transform(F.filter(F.col(replies), lambda r: r["pack"] == F.col("pack")),
-                       lambda r: F.struct(r["range"].alias("range"), r["bits"].alias("bits")))
+                       lambda r: F.struct(*[r[c].alias(c) for c in ("range", "at", "n", "bits")]))
 
 
 def _answered(packs: DataFrame, answers: list[DataFrame]) -> DataFrame:
@@ -300,17 +327,18 @@ def _answered(packs: DataFrame, answers: list[DataFrame]) -> DataFrame:
 
 
 def repeated(packs: DataFrame, window: int = WINDOW) -> tuple[list[int], list[DataFrame]]:
-    """Number of hash ranges and replies (part, list of pack, range, bits) of each round."""
+    """Number of hash ranges and replies (part, list of pack, range, place, number and bits) of each round."""
     spark = packs.sparkSession
     total = packs.agg(F.sum("windows")).first()[0] or 0
-    n_ranges = [max(4 * shuffle_partitions(spark), -(-total // RANGE_WINDOWS))] * len(ROUNDS)
+    n_ranges = [RANGES_PER_TASK * shuffle_partitions(spark)] * len(ROUNDS)
+    n_slices = max(1, -(-total // (n_ranges[0] * RANGE_WINDOWS)))
     answers: list[DataFrame] = []
     for k in range(len(ROUNDS)):
-        asked = _answered(packs.drop("windows"), answers).mapInArrow(
-            _requests(k, window, n_ranges), "range int, part int, pack int, n int, hashes binary")
-        told = asked.repartition("range").sortWithinPartitions("range") \
-            .mapInArrow(_count, "part int, pack int, range int, bits binary")
-        lists = told.groupBy("part").agg(F.collect_list(F.struct("pack", "range", "bits")).alias(f"_a{k}"))
+        asked = _answered(packs.drop("windows"), answers).mapInArrow(_requests(k, window, n_ranges), _REQUEST).repartition("range")
+        if n_slices > 1:
+            asked = asked.mapInArrow(_slices(n_ranges[k], n_slices, 64 - ROUNDS[k][2]), _REQUEST)
+        told = asked.sortWithinPartitions("key").mapInArrow(_count, "part int, pack int, range int, at int, n int, bits binary")
+        lists = told.groupBy("part").agg(F.collect_list(F.struct("pack", "range", "at", "n", "bits")).alias(f"_a{k}"))
         answers.append(stage(lists, f"substring-replies-{k}"))
     return n_ranges, answers
 

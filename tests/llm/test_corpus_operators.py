@@ -161,6 +161,31 @@ def test_substring_removal_matches_brute_force(docs, window, pack_bytes):
     assert [p[5].encode().split() for p in plain] == [w[5].encode().split() for w in want]
 
 
+def test_substring_ranges_are_counted_in_slices(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "RANGE_WINDOWS", 40)
+    monkeypatch.setattr(substring_dedup, "RANGES_PER_TASK", 1)
+    rows = near_copies(6) + odd_texts(400)
+    cut = []
+    slices = substring_dedup._slices
+    monkeypatch.setattr(substring_dedup, "_slices", lambda *a: cut.append(a[1]) or slices(*a))
+    got = substring_dedup.remove_repeats(docs(rows), window=7, pack_bytes=3000).collect()
+    assert min(cut) > 10
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.removed, r.kept_sha256) for r in got) == [w[:5] for w in plain_removal(rows, 7)]
+
+
+def test_substring_requests_grow_with_the_input(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "RANGE_WINDOWS", 40)
+    n = []
+    for size in (50, 100, 200):
+        rng = random.Random(size)
+        rows = [(k, " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(300))) for k in range(size)]
+        packs = substring_dedup.pack_texts(docs(rows), pack_bytes=20_000)
+        n_ranges, _ = substring_dedup.repeated(packs)
+        asked = packs.drop("windows").mapInArrow(substring_dedup._requests(0, 35, n_ranges), substring_dedup._REQUEST)
+        n.append((asked.count(), packs.count()))
+    assert all(a == packs * n_ranges[0] for a, packs in n) and 3 < n[2][0] / n[0][0] < 5
+
+
 def test_substring_frame_keeps_columns(docs):
     rows = [(1, "a  b\nc d"), (2, "x a  b\nc d y"), (None, None), (3, "")]
     out = substring_dedup.drop_repeats(docs(rows), window=3)
