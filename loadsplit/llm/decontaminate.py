@@ -4,16 +4,19 @@ test strings, and direct comparison confirms occurrences.
 
 The alphabet is the word. Patterns are all 13-word windows of the benchmark
 items (an item of fewer words is one window); those of one length share a
-shift table. A block is the last three words of a window: if a document's
-block stands nowhere in a pattern, the search moves on by eleven words at once.
-Documents are not shuffled to be searched: the patterns go to them.
-
-Benchmark items are broadcast in blocks of at most ``block_words`` words
-(plus one item), one after the other: a block is searched by its own pass over
-all documents, its hits are staged, and it is destroyed before the next one is
-made, so what the driver, a task and a worker hold does not grow with the
-benchmark. The staged hits are merged by row at the end. A benchmark of one
-block needs one pass and no staging of documents.
+shift table, which is an array indexed by the hash of three words. A block is the
+last three words of a window: if a document's block stands nowhere in a pattern,
+the search moves on by eleven words at once. Documents are not shuffled to be
+searched: the patterns go to them.
+
+Benchmark items are broadcast in blocks of about ``block_words`` words; longer
+items are cut into pieces that overlap by a window. A pattern is a place in the
+block's text, so the tables of a full block take some 60 bytes a word. One pass
+over the documents searches ``PASS_BLOCKS`` blocks, one after the other; the hits
+of a pass are staged and its broadcast destroyed before the next is made, so what
+the driver, a task and a worker hold does not grow with the benchmark. The
+staged hits are merged by row at the end. A benchmark of one pass needs no
+staging of documents.
 
 Defined cases: null or empty texts and items have no words; a document without
 words is not contaminated; items with the same id count once; a null item id
@@ -30,6 +33,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,6 +44,8 @@ from .common import stage, utf8
 WINDOW = 13
 BLOCK = 3
 BLOCK_WORDS = 500_000
+PASS_BLOCKS = 4
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: word bytes keep their (lower-cased) value, all others become a space
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -51,67 +57,136 @@ def split_words(text: bytes) -> list[bytes]:
     return text.translate(_WORDS).split()
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+
+
+def _stretches(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from every word on."""
+    n = max(hashes.size - size + 1, 0)
+    mixed = np.zeros(n, np.uint64)
+    for k in range(size):
+        mixed = (mixed ^ hashes[k:k + n]) * _MIX
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
 class WuManber:
-    """Word patterns of one length."""
+    """The windows of one length over the words of a benchmark block. A pattern is
+    the number of its first word; ``owner`` has the item of every word."""
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set[str]]):
+    def __init__(self, length: int, starts: np.ndarray, hashes: np.ndarray, text: bytes, offsets: np.ndarray, owner: np.ndarray):
         self.m, self.b = length, min(BLOCK, length)
-        self.default = length - self.b + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.bucket: dict[int, list[tuple[tuple[bytes, ...], set[str]]]] = defaultdict(list)
-        for p, items in patterns.items():
-            for end in range(self.b, length + 1):
-                block = p[end - self.b:end]
-                self.shift[block] = min(self.shift.get(block, self.default), length - end)
-            self.bucket[hash(p[length - self.b:])].append((p, items))
-
-    def find(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
+        self.text, self.offsets = text, offsets
+        blocks = _stretches(hashes, self.b)
+        default = length - self.b + 1
+        size = max(10, int(8 * starts.size).bit_length())
+        self.bits = np.uint64(64 - size)
+        self.shift = np.full(1 << size, default, np.uint8 if default < 256 else np.int64)
+        for end in range(self.b, length + 1):  # from the largest shift down to 0
+            self.shift[blocks[starts + end - self.b] >> self.bits] = length - end
+        # the patterns by suffix hash, equal ones together, each with its items
+        suffix, whole = blocks[starts + length - self.b], _stretches(hashes, length)[starts]
+        while True:
+            order = np.lexsort((owner[starts], whole, suffix))
+            again = np.r_[False, (suffix[order[1:]] == suffix[order[:-1]]) & (whole[order[1:]] == whole[order[:-1]])]
+            other = [k for k in np.flatnonzero(again).tolist() if self._pattern(starts[order[k]]) != self._pattern(starts[order[k - 1]])]
+            if not other:
+                break
+            whole[order[other]] += np.uint64(1)  # different windows of one hash
+        head = np.flatnonzero(~again)
+        self.keys, self.place = suffix[order[head]], starts[order[head]].astype(np.int32)
+        owners, group = owner[starts[order]], np.cumsum(~again)
+        new = np.r_[True, (owners[1:] != owners[:-1]) | (group[1:] != group[:-1])]
+        self.items = owners[new]
+        self.first = np.searchsorted(group[new], np.arange(1, head.size + 2))
+
+    def _pattern(self, start: int) -> bytes:
+        return self.text[self.offsets[start]:self.offsets[start + self.m] - 1]
+
+    def find(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(start, items) of every occurrence."""
-        m, b, shift, default, end, n = self.m, self.b, self.shift.get, self.default, self.m, len(words)
-        while end <= n:
-            block = tuple(words[end - b:end])
-            s = shift(block, default)
+        m, b, n = self.m, self.b, len(words)
+        if n < m:
+            return
+        blocks = _stretches(hashes, b)
+        skip = self.shift[blocks >> self.bits]
+        skip = skip.tobytes() if skip.dtype == np.uint8 else skip.tolist()
+        end = m - b
+        last = n - b
+        while end <= last:
+            s = skip[end]
             if s:
                 end += s
                 continue
-            start = end - m
-            for p, items in self.bucket.get(hash(block), ()):
-                if p[0] == words[start] and p == tuple(words[start:end]):
-                    yield start, items
+            key = blocks[end]
+            k = int(np.searchsorted(self.keys, key))
+            if k < self.keys.size and self.keys[k] == key:
+                start = end + b - m
+                window = b" ".join(words[start:start + m])
+                while k < self.keys.size and self.keys[k] == key:
+                    if self._pattern(self.place[k]) == window:
+                        yield start, self.items[self.first[k]:self.first[k + 1]]
+                    k += 1
             end += 1
 
 
-def build(items: Iterable[tuple[str, bytes]], window: int = WINDOW) -> list[WuManber]:
-    by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
-        w = split_words(text)
-        m = min(window, len(w))
-        for i in range(len(w) - m + 1 if m else 0):
-            by_length[m][tuple(w[i:i + m])].add(item)
-    return [WuManber(m, p) for m, p in sorted(by_length.items())]
+class Block:
+    """Tables of a benchmark block: one for each window length."""
+
+    def __init__(self, items: Iterable[tuple[str, bytes]], window: int = WINDOW):
+        words, self.names, starts, owner = [], [], defaultdict(list), []
+        for item, text in items:
+            w = split_words(text)
+            m = min(window, len(w))
+            if m:
+                starts[m].append(np.arange(len(words), len(words) + len(w) - m + 1))
+                words += w
+                owner += [len(self.names)] * len(w)
+                self.names.append(item)
+        hashes, offsets = _hashes(words), np.cumsum([0, *(len(w) + 1 for w in words)], dtype=np.int64)
+        text, owner = b" ".join(words) + b" ", np.array(owner, np.int32)
+        self.tables = [WuManber(m, np.concatenate(s), hashes, text, offsets, owner) for m, s in sorted(starts.items())]
+
+    def find(self, words: list[bytes], hashes: np.ndarray) -> tuple[list[int], set[str]]:
+        """(start, end, ...) of what is found, and the items."""
+        spans, found = [], set()
+        for t in self.tables:
+            for start, items in t.find(words, hashes):
+                spans += [start, start + t.m]
+                found.update(items.tolist())
+        return spans, {self.names[i] for i in found}
+
 
+def _pieces(text: bytes, block_words: int, window: int) -> Iterator[tuple[int, bytes]]:
+    """(words, text) of an item, cut where it is longer than a block; pieces overlap so
+    that every window is whole in one."""
+    words = split_words(text)
+    for at in range(0, max(len(words) - window + 1, 1), block_words):
+        piece = words[at:at + block_words + window - 1]
+        yield len(piece), b" ".join(piece)
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int, window: int) -> tuple[DataFrame, list[tuple[int, int]]]:
     """The items (_item, _text, _part) staged, and the ranges of _part that make
-    up the blocks. Tasks number their items into parts of at most block_words
-    words (plus one item); the driver sees part totals only and puts
-    neighbouring parts together."""
+    up the blocks. Tasks number their items into parts of about block_words
+    words; the driver sees part totals only and puts neighbouring parts together."""
     rows = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")).alias("_item"),
                             F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            parts, sizes = [], []
-            for text in utf8(batch.column(1)):
-                size = len(split_words(text))
-                if held and held + size > block_words:
-                    part, held = part + 1, 0
-                held += size
-                parts.append(part)
-                sizes.append(size)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.int64()), pa.array(sizes, pa.int64())],
-                                             ["_item", "_text", "_part", "_size"])
+            names, texts, parts, sizes = [], [], [], []
+            for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                for size, piece in _pieces(text, block_words, window):
+                    if held and held + size > block_words:
+                        part, held = part + 1, 0
+                    held += size
+                    for column, value in ((names, item), (texts, piece), (parts, part), (sizes, size)):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(parts, pa.int64()),
+                                              pa.array(sizes, pa.int64())], ["_item", "_text", "_part", "_size"])
 
     items = stage(rows.mapInArrow(run, rows.select("*").schema.add("_part", "long").add("_size", "long")), "decontaminate-items")
     blocks, held = [], 0
@@ -124,20 +199,20 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
     return items, blocks
 
 
-def _send(items: DataFrame, block: tuple[int, int]):
-    """The (id, text) of a block, broadcast."""
-    rows = items.where(F.col("_part").between(*block)).select("_item", "_text").collect()
-    return items.sparkSession.sparkContext.broadcast([(i, t.encode()) for i, t in rows])
+def _send(items: DataFrame, blocks: list[tuple[int, int]]):
+    """The (id, text) of each of some blocks, broadcast."""
+    found = [items.where(F.col("_part").between(*k)).select("_item", "_text").collect() for k in blocks]
+    return items.sparkSession.sparkContext.broadcast([[(i, t.encode()) for i, t in rows] for rows in found])
 
 
-_built: dict[str, list[WuManber]] = {}
+_built: dict[str, list[Block]] = {}
 
 
-def _tables(block, name: str, window: int) -> list[WuManber]:
-    """The tables of a broadcast block of that unique name, made once per worker."""
+def _tables(sent, name: str, window: int) -> list[Block]:
+    """The tables of broadcast blocks of that unique name, made once per worker."""
     if name not in _built:
         _built.clear()
-        _built[name] = build(block.value, window)
+        _built[name] = [Block(items, window) for items in sent.value]
     return _built[name]
 
 
@@ -157,27 +232,28 @@ def _digest(hits: list[list[int]], items: list[Iterable[str]]) -> list[pa.Array]
 _DIGEST = ["_n_hit", "_n_items", "_sha"]
 
 
-def _occurrences(batch: pa.Array, tables: list[WuManber]) -> tuple[list[int], list[list[int]], list[set[str]]]:
+def _occurrences(batch: pa.Array, blocks: list[Block]) -> tuple[list[int], list[list[int]], list[set[str]]]:
     """Words, (start, end, ...) of what is found, and the items of each text."""
     n_words, hits, found = [], [], []
     for text in utf8(batch):
         words, spans, ids = split_words(text), [], set()
-        for t in tables:
-            for start, items in t.find(words):
-                spans += [start, start + t.m]
-                ids |= items
+        hashes = _hashes(words)
+        for block in blocks:
+            own, items = block.find(words, hashes)
+            spans += own
+            ids |= items
         n_words.append(len(words))
         hits.append(spans)
         found.append(ids)
     return n_words, hits, found
 
 
-def _whole_pass(block, window: int):
+def _whole_pass(sent, window: int):
     """mapInArrow function from (_row, _text) to (_row, _n, digest columns)."""
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(block, name, window)
+        tables = _tables(sent, name, window)
         for batch in batches:
             n_words, hits, found = _occurrences(batch.column(1), tables)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), *_digest(hits, found)], ["_row", "_n", *_DIGEST])
@@ -185,13 +261,13 @@ def _whole_pass(block, window: int):
     return run
 
 
-def _block_pass(block, window: int):
+def _hit_pass(sent, window: int):
     """mapInArrow function from (_key, _text) to (_key, _hits, _items) of the rows
     with an occurrence."""
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(block, name, window)
+        tables = _tables(sent, name, window)
         for batch in batches:
             _, hits, found = _occurrences(batch.column(1), tables)
             at = [k for k, h in enumerate(hits) if h]
@@ -203,6 +279,7 @@ def _block_pass(block, window: int):
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_key, _row, _text) to (_key, _row, _n)."""
     for batch in batches:
         n = pa.array([len(split_words(t)) for t in utf8(batch.column(2))], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], ["_key", "_row", "_n"])
@@ -217,20 +294,23 @@ def search(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_co
            item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """_row (struct of the ``keep`` columns), _n (words), _n_hit, _n_items and
     _sha (checksum of the item ids)."""
-    items, blocks = _blocks(benchmark, item_id, item_text, block_words)
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+    items, blocks = _blocks(benchmark, item_id, item_text, block_words, window)
+    passes = [blocks[k:k + PASS_BLOCKS] for k in range(0, len(blocks), PASS_BLOCKS)]
+    row, text = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text")
+    d = docs.select(row, text)
     sums = d.select("_row", F.lit(0).cast("long").alias("_n")).schema.add("_n_hit", "long").add("_n_items", "long").add("_sha", "string")
-    if len(blocks) <= 1:
-        block = _send(items, blocks[0] if blocks else (0, -1))
-        return d.mapInArrow(_whole_pass(block, window), sums)
-    rows = stage(d.withColumn("_key", F.monotonically_increasing_id()), "decontaminate-rows")
-    passes = []
-    for k in blocks:
-        block = _send(items, k)
-        found = rows.select("_key", "_text").mapInArrow(_block_pass(block, window), "_key long, _hits array<bigint>, _items array<string>")
-        passes.append(stage(found, "decontaminate-hits"))
-        block.destroy()
-    merged = reduce(DataFrame.unionByName, passes).groupBy("_key").agg(
+    if len(passes) <= 1:
+        return d.mapInArrow(_whole_pass(_send(items, passes[0] if passes else [(0, -1)]), window), sums)
+    carried = text_col in keep  # then the text is staged with its row only
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("_key"), row, *([] if carried else [text])), "decontaminate-rows")
+    rows = rows.select("_key", "_row", F.col("_row")[text_col].alias("_text")) if carried else rows
+    found_in = []
+    for blocks_of_pass in passes:
+        sent = _send(items, blocks_of_pass)
+        found = rows.select("_key", "_text").mapInArrow(_hit_pass(sent, window), "_key long, _hits array<bigint>, _items array<string>")
+        found_in.append(stage(found, "decontaminate-hits"))
+        sent.destroy()
+    merged = reduce(DataFrame.unionByName, found_in).groupBy("_key").agg(
         F.flatten(F.collect_list("_hits")).alias("_hits"), F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"))
     digests = merged.mapInArrow(_digest_rows, "_key long, _n_hit long, _n_items long, _sha string")
     counted = rows.select("_key", "_row", "_text")
