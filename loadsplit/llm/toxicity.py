@@ -2,14 +2,19 @@
 insults, threats, targets, negation and reported speech are composed and run
 over clauses; a text is scored by its matched clauses, not by isolated words.
 
-A clause's words become symbols (insult, threat, target, negator, report, intent,
-other). Each transducer reads the symbols and marks the insults and threats it
-meets: *targeted* (a target stands before or after in the clause), *negated* (a
-negator stands in the three words before), *reported* (a word of speech or a
-quotation mark opens the clause before it), *intended* (a threat after a word
-of intent). The composition is one machine over tuples of states, built as far
-as texts need it. A matched word's weight goes to the feature of its kind and
-marks; the score is a logistic function of the features.
+A sentence becomes a tape of symbols: insult, threat, target, negator, report,
+intent, colon, quotation mark, other. Contractions are written out first
+("aren't" is "are not", "I'll" is "I will"). The transducers are a cascade: each
+reads the symbols with the marks that those before it have put on them, and adds
+its own. Negation marks what follows a negator within three words, verbs of
+speech and intent among it; speech marks what follows a verb of speech that is not
+negated to the end of the sentence, over a colon too, and what stands between
+quotation marks, over sentences of a line; intent marks threats after a word of
+intent that is not negated; the target, before or after, does not reach over a
+colon. The composition is one machine over tuples of states, built as far as
+texts need it. An insult counts on every path, a threat only with a target or
+intent; a matched word's weight goes to the feature of its kind and marks, and
+each path has a weight of its own. The score is a logistic function of the features.
 
 Learned from labelled rows only: which words or word beginnings are insults
 (they cover most of the toxic texts that no better one covers, and hardly occur
@@ -18,9 +23,10 @@ fit reads at most about ``clean_rows`` and ``toxic_rows`` labelled rows (picked
 by a hash of the id); scoring reads every text whole.
 
 Defined cases: null and empty texts match nothing and get the score of such
-texts; without any toxic or clean label the prior alone scores; null ids never
-learn and count as not held out; repeated rows keep their rows; an empty table
-gives an empty result. Other columns are not read.
+texts; without any toxic or clean label the prior alone scores; labels other than
+0 and 1 teach nothing; null ids never learn and count as not held out; repeated
+rows keep their rows; an empty table gives an empty result. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -29,14 +35,14 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import stage, utf8
 from .decontaminate import split_words
 
 CLEAN_ROWS = 20_000
@@ -47,18 +53,20 @@ END = "\0"
 SHORTEST, LONGEST = 3, 8
 MIN_TEXTS = 3
 PURITY = 0.9
-CANDIDATES = 5_000
 
-#: fixed values: word classes of the grammar, in the corpus' languages
+# word classes of the grammar, in the corpus' languages
 TARGETS = "you your he she they him her them we us du dich dir er sie ihr tu te toi il elle ils usted ustedes ellos ellas".split()
 NEGATORS = "not no never none nor nicht kein keine nie ne pas jamais non nunca jamás".split()
 REPORTS = "said says say called calls wrote claimed told quote quoted sagte sagt nannte dit disait appelle dijo dice llama".split()
 INTENTS = "will shall going gonna must werde wird vais va voy vas".split()
 THREATS = "kill hurt destroy beat punch stab shoot burn crush töten schlagen umbringen tuer frapper matar golpear".split()
-_QUOTES = re.compile('["“”„«»]')
-_CLAUSE = re.compile(r"[.!?;:\n]+")
+_SENTENCE = re.compile(r"[.!?;]+")
+_TOKEN = re.compile(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[":]')
+#: typographic quotation marks and apostrophes are read as the plain ones
+_PLAIN = str.maketrans("“”„«»’", '"""""\'')
+_CONTRACTIONS = ((re.compile(r"n't\b"), " not"), (re.compile(r"'ll\b"), " will"), (re.compile(r"\bn'(?=\w)"), "ne "))
 
-INSULT, THREAT, TARGET, NEGATOR, REPORT, INTENT, OTHER = range(7)
+INSULT, THREAT, TARGET, NEGATOR, REPORT, INTENT, COLON, QUOTE, OTHER = range(9)
 TARGETED, NEGATED, REPORTED, INTENDED = 1, 2, 4, 8
 KINDS, MARKS = 2, 16
 
@@ -67,51 +75,68 @@ KINDS, MARKS = 2, 16
 
 @dataclass
 class Transducer:
-    """Arcs (state, symbol) -> (next state, mark); a missing arc goes to ``rest``
-    of the state without a mark."""
-    arcs: dict[tuple[int, int], tuple[int, int]]
-    rest: dict[int, int] = field(default_factory=dict)
+    """Arcs (state, symbol) -> next state; a missing arc goes to ``rest`` of the state
+    or stays. In a state of ``active`` the symbols ``marked`` are marked. A symbol of
+    ``opens`` that has the mark ``unless`` is read as any other."""
+    arcs: dict[tuple[int, int], int]
+    mark: int
+    marked: tuple[int, ...]
+    active: tuple[int, ...]
+    rest: dict[int, int]
+    opens: int
+    unless: int = 0
 
-    def step(self, state: int, symbol: int) -> tuple[int, int]:
-        return self.arcs.get((state, symbol), (self.rest.get(state, state), 0))
+    def step(self, state: int, symbol: int, marks: int) -> tuple[int, int]:
+        """(next state, marks) after a symbol with the marks put on it so far."""
+        out = marks | self.mark if state in self.active and symbol in self.marked else marks
+        read = OTHER if symbol == self.opens and marks & self.unless else symbol
+        return self.arcs.get((state, read), self.rest.get(state, state)), out
 
 
-def _after(symbol: int, mark: int, marked: Iterable[int], reach: int = 0) -> Transducer:
-    """Marks symbols that come after ``symbol``, within ``reach`` symbols (0: in the clause)."""
-    states = range(1, reach + 1) if reach else (1,)
-    arcs = {(s, symbol): (1, 0) for s in (0, *states)}
-    rest = {s: s + 1 if s < reach else 0 for s in states} if reach else {}
-    for s in states:
-        arcs |= {(s, m): (rest.get(s, s), mark) for m in marked}
-    return Transducer(arcs, rest)
+def _after(symbol: int, mark: int, marked: tuple[int, ...], reach: int = 0, unless: int = 0) -> Transducer:
+    """Marks symbols that come after ``symbol``, within ``reach`` symbols (0: up to a colon or the end)."""
+    states = tuple(range(1, reach + 1)) if reach else (1,)
+    arcs = {(s, symbol): 1 for s in (0, *states)} | {(s, COLON): 0 for s in states}
+    return Transducer(arcs, mark, marked, states, {s: s + 1 if s < reach else 0 for s in states} if reach else {}, symbol, unless)
 
 
+def _speech(marked: tuple[int, ...]) -> Transducer:
+    """State 1 after a verb of speech, 2 between quotation marks."""
+    return Transducer({(0, REPORT): 1, (0, QUOTE): QUOTED, (1, QUOTE): QUOTED, (QUOTED, QUOTE): 0}, REPORTED, marked, (1, QUOTED), {}, REPORT, NEGATED)
+
+
+QUOTED = 2
 BOTH = (INSULT, THREAT)
-FORWARD = (_after(TARGET, TARGETED, BOTH), _after(NEGATOR, NEGATED, BOTH, reach=3),
-           _after(REPORT, REPORTED, BOTH), _after(INTENT, INTENDED, (THREAT,)))
+FORWARD = (_after(NEGATOR, NEGATED, (*BOTH, REPORT, INTENT), reach=3), _speech(BOTH), _after(INTENT, INTENDED, (THREAT,), unless=NEGATED),
+           _after(TARGET, TARGETED, BOTH))
+SPEECH = 1   # its place in FORWARD
 BACKWARD = (_after(TARGET, TARGETED, BOTH),)
 
 
 class Composition:
-    """The product of transducers over one symbol string; arcs are kept once made."""
+    """The cascade of transducers over one tape as one machine; arcs are kept once made."""
 
     def __init__(self, parts: tuple[Transducer, ...]):
         self.parts, self.start, self.arcs = parts, (0,) * len(parts), {}
 
-    def run(self, symbols: Iterable[int]) -> list[int]:
-        state, marks = self.start, []
+    def run(self, symbols: Iterable[int], start: tuple[int, ...] | None = None) -> tuple[list[int], tuple[int, ...]]:
+        """(marks of each symbol, last state)."""
+        state, found = start or self.start, []
         for x in symbols:
             key = (state, x)
             if key not in self.arcs:
-                steps = [p.step(s, x) for p, s in zip(self.parts, state)]
-                self.arcs[key] = tuple(s for s, _ in steps), sum(m for _, m in steps)
-            state, mark = self.arcs[key]
-            marks.append(mark)
-        return marks
+                marks, after = 0, []
+                for part, s in zip(self.parts, state):
+                    s, marks = part.step(s, x, marks)
+                    after.append(s)
+                self.arcs[key] = tuple(after), marks
+            state, marks = self.arcs[key]
+            found.append(marks)
+        return found, state
 
 
 class Grammar:
-    """Clause features of a text, given the insult units and their weights."""
+    """Features of a text's matched clauses, given the insult units and their weights."""
 
     def __init__(self, insults: dict[str, float]):
         self.classes = {w.encode(): (k, 1.0) for k, words in
@@ -133,21 +158,32 @@ class Grammar:
     def features(self, text: bytes) -> dict[int, float]:
         """Sum of weights per feature (kind * MARKS + marks); empty if nothing matches."""
         heads = self.heads
+        if not text.isascii():
+            text = text.decode().translate(_PLAIN).encode()
         if not any(w[:SHORTEST] in heads for w in split_words(text)):
             return {}
         out: dict[int, float] = defaultdict(float)
-        for clause in _CLAUSE.split(text.decode()):
-            read = [self.symbol(w) for w in split_words(clause.encode())]
-            symbols = [s for s, _ in read]
-            if INSULT not in symbols and THREAT not in symbols:
-                continue
-            told = REPORTED if _QUOTES.search(clause) else 0
-            ahead, behind = self.forward.run(symbols), self.backward.run(reversed(symbols))[::-1]
-            for (s, weight), a, b in zip(read, ahead, behind):
-                if s in BOTH:
-                    out[s * MARKS + (a | b | told)] += weight
+        for line in text.lower().decode().split("\n"):
+            for pattern, words in _CONTRACTIONS:
+                line = pattern.sub(words, line)
+            quoted = False
+            for sentence in _SENTENCE.split(line):
+                read = [self.token(t) for t in _TOKEN.findall(sentence)]
+                symbols = [s for s, _ in read]
+                start = tuple(QUOTED if quoted and k == SPEECH else 0 for k in range(len(FORWARD)))
+                ahead, state = self.forward.run(symbols, start)
+                quoted = state[SPEECH] == QUOTED
+                if INSULT not in symbols and THREAT not in symbols:
+                    continue
+                behind = self.backward.run(reversed(symbols))[0][::-1]
+                for (s, weight), a, b in zip(read, ahead, behind):
+                    if s == INSULT or s == THREAT and (a | b) & (TARGETED | INTENDED):
+                        out[s * MARKS + ((a | b) & (MARKS - 1))] += weight
         return out
 
+    def token(self, token: str) -> tuple[int, float]:
+        return (QUOTE, 0.0) if token == '"' else (COLON, 0.0) if token == ":" else self.symbol(token.encode())
+
 
 def prior() -> np.ndarray:
     """Bias, then one weight per feature: what a match means before any label."""
@@ -189,8 +225,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, clean_rows: int = CLEAN_RO
                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(_text, _toxic) of a bounded sample of the labelled rows that may teach;
     equal texts once."""
-    own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col))) \
-        .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
+    label_id, label = F.col(f"`{id_col}`"), F.col(f"`{label_col}`")
+    own = labels.where(label_id.isNotNull() & label.isin(0, 1) & ~held_out(label_id)).groupBy(label_id.alias("_id")).agg(F.max(label).alias("_toxic"))
     n = {r["_toxic"]: r["count"] for r in own.groupBy("_toxic").count().collect()}
     share = F.when(F.col("_toxic") == 1, F.lit(min(1.0, toxic_rows / max(1, n.get(1, 0))))) \
         .otherwise(F.lit(min(1.0, clean_rows / max(1, n.get(0, 0)))))
@@ -211,19 +247,31 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
              pa.array([count[0][w] for w in words], pa.int64())], ["word", "toxic", "clean"])
 
 
+def _units(word: str) -> Iterator[str]:
+    yield from (word[:n] for n in range(SHORTEST, LONGEST + 1) if n <= len(word))
+    yield word + END
+
+
+def _units_of(known: set[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted({u for w in set(split_words(t)) for u in _units(w.decode())} & known) for t in utf8(b.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["units"])
+    return run
+
+
 def learn_insults(rows: DataFrame) -> dict[str, float]:
-    """Units and weights (0 to 1). Candidates are counted in Spark; the toxic
-    sample's words come to the driver, which picks units by coverage."""
+    """Units and weights (0 to 1). Candidates are counted in Spark, all that are pure
+    enough are candidates; of the toxic sample only which of them a text holds
+    comes to the driver, which picks units by coverage."""
     words = rows.select("_text", F.col("_toxic").cast("int")).mapInArrow(_distinct_words, "word string, toxic long, clean long") \
         .groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.length("word") >= SHORTEST)
     sizes = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("word")))
     units = F.concat(F.transform(sizes, lambda n: F.substring(F.col("word"), F.lit(1), n)), F.array(F.concat("word", F.lit(END))))
     counts = words.select(F.explode(units).alias("unit"), "t", "c").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     pure = counts.where((F.col("t") >= MIN_TEXTS) & (F.col("t") >= PURITY * (F.col("t") + F.col("c") + 0.2)))
-    rate = {r["unit"]: r["t"] / (r["t"] + r["c"] + 0.2) for r in pure.orderBy(F.desc("t"), "unit").limit(CANDIDATES).collect()}
-    texts = [{u for w in set(split_words(r["_text"].encode())) for s in (w.decode(),)
-              for u in (*(s[:n] for n in range(SHORTEST, LONGEST + 1) if n <= len(s)), s + END) if u in rate}
-             for r in rows.where("_toxic = 1").select("_text").toLocalIterator()]
+    rate = {r["unit"]: r["t"] / (r["t"] + r["c"] + 0.2) for r in pure.collect()}  # of at most toxic_rows texts
+    texts = [r["units"] for r in rows.where("_toxic = 1").select("_text").mapInArrow(_units_of(set(rate)), "units array<string>").toLocalIterator()]
     has: dict[str, set[int]] = defaultdict(set)
     for k, units_ in enumerate(texts):
         for u in units_:
@@ -261,7 +309,7 @@ def _features(insults: dict[str, float]):
 
 def fit(docs: DataFrame, labels: DataFrame, **options) -> tuple[dict[str, float], np.ndarray]:
     """(insult units, weights) from the labelled rows that may teach."""
-    rows = training_rows(docs, labels, **options)
+    rows = stage(training_rows(docs, labels, **options), "toxicity-sample")
     insults = learn_insults(rows)
     read = rows.select("_text", F.col("_toxic").cast("int").alias("y")).mapInArrow(_features(insults), "x array<double>, y int") \
         .groupBy("x").agg(F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).collect()  # at most the sample
