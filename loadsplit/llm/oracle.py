@@ -68,7 +68,10 @@ b AS (
            + CASE WHEN word_chars > 15 * n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits
+       fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits,
+       CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols' WHEN 8 THEN 'duplicate_lines'
+                      WHEN 16 THEN 'exclamations' WHEN 32 THEN 'short_words' WHEN 64 THEN 'long_words' END AS sole_rule,
+       CASE WHEN fail_bits IN (1, 2, 4, 8, 16, 32, 64) THEN count(*) OVER (PARTITION BY fail_bits) END AS ablation_gain
 FROM b
 """
 

@@ -2,7 +2,8 @@
 once per document, failures are stored as bits beside the measurements, and
 versioned policies and ablations are bitwise operations on the stored ledger.
 
-Column expressions only; nothing is shuffled to build or judge the ledger.
+Column expressions only; nothing is shuffled to build or judge the ledger, and
+what judges or ablates reads the stored ledger, never a text.
 Three-word windows are compared by a 64-bit hash of their words within one
 document.
 
@@ -16,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadsplit.session import scratch_path
+
 WINDOW = 3
 #: fixed values
 SYMBOLS = "#*$%&|<>"
@@ -73,7 +76,7 @@ def _covered(s: Column) -> Column:
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the measurements as long columns (they replace columns of
     the same name)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = docs.withColumn("_w", F.array_remove(F.split(text, WORD_BREAK), "")).withColumn("_l", lines)
     d = d.withColumn("n_words", F.size("_w").cast("long")) \
@@ -94,9 +97,19 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     bits = F.lit(0).cast("long")
     for k, rule in enumerate(RULES.values()):
         bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(1 << k)).otherwise(0).cast("long"))
-    picked = docs.select(F.col(id_col), F.col(text_col), *[F.col(c) for c in keep if c not in (id_col, text_col)])
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    picked = docs.select(*quoted([id_col, text_col]), *quoted(c for c in keep if c not in (id_col, text_col)))
     out = measure(picked, text_col).withColumn("fail_bits", bits)
-    return out.select(id_col, *[c for c in keep if c != id_col], *[m for m in MEASURES if m not in keep], "fail_bits")
+    return out.select(*quoted([id_col, *[c for c in keep if c != id_col]]), *[m for m in MEASURES if m not in keep], "fail_bits")
+
+
+def write_ledger(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Store the ledger: every rule is evaluated here, once."""
+    ledger(docs, id_col, text_col).write.parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def passes(version: str, bits: str = "fail_bits", policies: Mapping[str, tuple[str, ...]] = POLICIES) -> Column:
@@ -119,15 +132,35 @@ def ablations(led: DataFrame, version: str) -> DataFrame:
         F.sum(F.when(F.col("b") == 0, n).otherwise(0)).alias("n_kept"))
 
 
+def sole_rule(version: str, bits: str = "fail_bits") -> Column:
+    """Name of the rule without which a failing row would pass the policy; null if
+    the row passes or fails several."""
+    failed = F.col(bits).bitwiseAND(F.lit(mask(POLICIES[version])))
+    name = F.lit(None).cast("string")
+    for rule in POLICIES[version]:
+        name = F.when(failed == mask((rule,)), F.lit(rule)).otherwise(name)
+    return name
+
+
+def judge_ledger(led: DataFrame, version: str = "strict-1") -> DataFrame:
+    """A ledger with ``base_failed`` and ``kept`` under a policy version, and its
+    ablations: ``sole_rule`` and ``ablation_gain``, how many rows the policy would
+    take in without that rule."""
+    gains = ablations(led, version).select(F.col("rule").alias("sole_rule"), F.col("n_only_this").alias("ablation_gain"))  # one row a rule
+    return led.withColumn("base_failed", ~passes("base-1")).withColumn("kept", ~F.col("base_failed") & passes(version)) \
+        .withColumn("sole_rule", sole_rule(version)).join(F.broadcast(gains), "sole_rule", "left").select(*led.columns, "base_failed", "kept", "sole_rule", "ablation_gain")
+
+
 def judge(docs: DataFrame, version: str = "strict-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The ledger with ``base_failed`` and ``kept`` under a policy version."""
-    return ledger(docs, id_col, text_col).withColumn("base_failed", ~passes("base-1")) \
-        .withColumn("kept", ~F.col("base_failed") & passes(version))
+    """Store the documents' ledger in the scratch folder and judge from it."""
+    path = scratch_path(docs.sparkSession, "quality-ledger")
+    write_ledger(docs, path, id_col, text_col)
+    return judge_ledger(read_ledger(docs.sparkSession, path), version)
 
 
 def keep_passing(docs: DataFrame, version: str = "strict-1", text_col: str = "text") -> DataFrame:
     """The input rows that pass the policy, with their own columns unchanged."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
     # a filter on a non-deterministic column stays above the measurements; pushed
     # down, each rule would evaluate them again
     judged = ledger(whole, "_row", "_text").withColumn("_place", F.monotonically_increasing_id())

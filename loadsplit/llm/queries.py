@@ -48,7 +48,8 @@ def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents")) \
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits",
+                "sole_rule", "ablation_gain")
 
 
 def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
