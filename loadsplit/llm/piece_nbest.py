@@ -163,11 +163,12 @@ class Pieces:
         while heap and len(out) < n:
             _, at, _, behind, tail = heapq.heappop(heap)
             if at == 0:
-                ids = []
+                ids, forward = [], 0.0  # added up from the start, as the Viterbi scores are
                 while tail:
-                    own, tail = tail
+                    own, s, tail = tail
                     ids.append(own)
-                out.append((behind, b"".join(ids)))
+                    forward += s
+                out.append((forward, b"".join(ids)))
                 continue
             if left[at] == n:
                 continue
@@ -175,8 +176,8 @@ class Pieces:
             for i, s, own in edges[at]:
                 if left[i] < n:
                     tick += 1
-                    heapq.heappush(heap, (-(score[i] + s + behind), i, tick, s + behind, (own, tail)))
-        return out
+                    heapq.heappush(heap, (-(score[i] + s + behind), i, tick, s + behind, (own, s, tail)))
+        return sorted(out, key=lambda w: -w[0])
 
     def segment(self, text: str, n: int) -> Segments:
         """(ids of the best segmentation, its score, the n best as (score,
@@ -229,7 +230,7 @@ class Pieces:
             if len(self.searched) >= CACHED_SEARCHES:
                 self.searched.clear()
             ids, score, _ = self.best[chunk]
-            found = self.searched[chunk, n] = [(score, ids), *[w for w in self.search(chunk, n) if w != (score, ids)]][:n]
+            found = self.searched[chunk, n] = [(score, ids), *[w for w in self.search(chunk, n) if w[1] != ids]][:n]
         return found
 
     def combine(self, chunks: list[str], n: int) -> Segments:
