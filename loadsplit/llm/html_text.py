@@ -9,8 +9,10 @@ closes what is open at the end. Below ``MAX_DEPTH`` open elements, further ones
 are put side by side, so depth is bounded and no text is lost. Rendering
 follows: white space collapses in a line except inside ``pre``; paragraphs,
 headings, lists and tables stand apart by an empty line and other blocks by a
-line break; list items are marked and indented; the cells of a table column
-have one width. Formulas stand in the line, the text elements of a drawing are
+line break; list items are marked, numbered as ``start``, ``value`` and ``reversed``
+say, and indented; the cells of a table stand in columns, spans over columns and
+rows included, and the blanks for that are bounded by the page's length, beyond which
+long cells do not widen their column. Formulas stand in the line, the text elements of a drawing are
 words of it, and every option of a select is a line.
 
 Defined cases: a null or empty page gives empty text; unclosed, misnested and
@@ -24,6 +26,9 @@ whole; an empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import bisect
+import html
+import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -35,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import utf8
 
 MAX_DEPTH = 150
+#: widths up to which a cell's lines make their column wide, the first that the page has room for
+CELL_WIDTHS = (80, 40, 20, 10, 0)
 
 #: fixed values: element classes of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,7 +75,8 @@ SVG_UNSEEN = frozenset("defs symbol desc metadata clippath mask marker pattern l
 #: an end tag or implied end does not reach past these
 SCOPE = frozenset("table td th caption html template".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
 
 
 class Node:
@@ -118,6 +126,8 @@ class TreeBuilder(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._start(tag, attrs, False)
+        if tag == "textarea":  # what looks like tags in it is text
+            self.set_cdata_mode(tag)
 
     def _start(self, tag: str, attrs: list[tuple[str, str | None]], closed: bool) -> None:
         if tag not in HEAD:
@@ -170,6 +180,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "textarea":
+            data = html.unescape(data)
         if data.strip(" \t\n\r\f"):
             self._end_head()
             if len(self.open) == MAX_DEPTH and self._foreign():  # its text element may not be open
@@ -183,9 +195,9 @@ class TreeBuilder(HTMLParser):
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def parse(html: str) -> Node:
+def parse(page: str) -> Node:
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(page)
     builder.close()
     return builder.root
 
@@ -198,9 +210,10 @@ def visible(node: Node) -> bool:
 class Page:
     """Lines under construction: text with collapsed spaces, and breaks between blocks."""
 
-    def __init__(self):
+    def __init__(self, spare: list[int]):
         self.lines: list[str] = []
         self.line, self.gap, self.space = "", 0, False
+        self.spare = spare  # blanks that tables of the page may still be padded with
 
     def text(self, data: str) -> None:
         data = _SPACE.sub(" ", data)
@@ -259,6 +272,13 @@ def _number(value: str | None, least: int, most: int) -> int:
         return least
 
 
+def _whole(value: str | None, default: int) -> int:
+    try:
+        return min(10**9, max(-10**9, int(value))) if value else default
+    except ValueError:
+        return default
+
+
 def _cells(node: Node, row: list[Node]) -> Node:
     """Put the cells under a row into ``row``; returns the row without them.
     Elements around cells (a form) are looked into, other tables are not."""
@@ -273,9 +293,54 @@ def _cells(node: Node, row: list[Node]) -> Node:
     return rest
 
 
-def _table(node: Node) -> list[str]:
-    """Caption, then rows whose cells are padded to their column's width."""
-    caption, rows = [], []
+def _grid(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of one section as (column, columns spanned, lines): a cell takes the first
+    column that no cell from above still spans."""
+    held: dict[int, int] = {}  # column -> last row that a cell from above covers
+    out = []
+    for r, row in enumerate(rows):
+        at, placed = 0, []
+        for lines, across, down in row:
+            while held.get(at, -1) >= r:
+                at += 1
+            placed.append((at, across, lines))
+            for c in range(at, at + across) if down > 1 else ():
+                held[c] = r + down - 1
+            at += across
+        out.append(placed)
+    return out
+
+
+def _laid(rows: list[list[tuple[int, int, list[str]]]], cap: int) -> Iterator[str]:
+    """Lines of placed rows. A column is as wide as its longest line of up to ``cap``
+    characters; a longer line pushes its neighbours on in its own line only."""
+    width: dict[int, int] = {}
+    for row in rows:
+        for at, across, lines in row:
+            if across == 1:
+                width[at] = max(width.get(at, 0), max((len(x) for x in lines if len(x) <= cap), default=0))
+    start, x = {}, 0
+    for c in sorted(width):
+        start[c] = x
+        x += width[c] + 2
+    starts = sorted(start)
+    for row in rows:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line = ""
+            for at, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    place = start[at] if at in start else start[starts[i - 1]] if (i := bisect.bisect(starts, at)) else 0
+                    line = line.ljust(max(place, len(line) + 2) if line else place) if cap else line + "  " * bool(line)
+                    line += lines[k]
+            yield line.rstrip(" ")
+
+
+def _table(node: Node, spare: list[int]) -> list[str]:
+    """Caption, then rows whose cells stand in columns. ``spare`` is how many blanks the
+    page's tables may still be padded with; the widest of ``CELL_WIDTHS`` that it
+    allows is taken, the last one pads nothing."""
+    caption: list[str] = []
+    sections: list[list] = [[]]
 
     def walk(n: Node) -> None:
         for c in n.children:
@@ -283,33 +348,32 @@ def _table(node: Node) -> list[str]:
                 continue
             if c.tag == "tr":
                 row: list[Node] = []
-                caption.extend(lines_of(_cells(c, row)))
-                rows.append([(lines_of(x), _number(x.attrs.get("colspan"), 1, 1000)) for x in row])
+                caption.extend(lines_of(_cells(c, row), spare=spare))
+                sections[-1].append([(lines_of(x, spare=spare), _number(x.attrs.get("colspan"), 1, 1000),
+                                      65534 if x.attrs.get("rowspan") == "0" else _number(x.attrs.get("rowspan"), 1, 65534)) for x in row])
             elif c.tag in ("thead", "tbody", "tfoot"):
+                sections.append([])
                 walk(c)
+                sections.append([])
             else:
-                caption.extend(lines_of(c))
+                caption.extend(lines_of(c, spare=spare))
         # text beside rows and cells is kept, before the table
         caption.extend(x for x in (_SPACE.sub(" ", c).strip() for c in n.children if isinstance(c, str)) if x)
 
     walk(node)
-    width: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                width[at] = max(width.get(at, 0), max(map(len, lines), default=0))
-            at += span
-    out = list(caption)
-    for row in rows:
-        for k in range(max((len(x) for x, _ in row), default=0)):
-            at, cells = 0, []
-            for lines, span in row:
-                room = sum(width.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-                cells.append((lines[k] if k < len(lines) else "").ljust(room))
-                at += span
-            out.append("  ".join(cells).rstrip(" "))
-    return out
+    rows = [row for section in sections for row in _grid(section)]
+    content = sum(len(x) for row in rows for _, _, lines in row for x in lines)
+    for cap in CELL_WIDTHS:
+        body, size, most = [], 0, content + spare[0] if cap else math.inf
+        for line in _laid(rows, cap):
+            body.append(line)
+            size += len(line)
+            if size > most:
+                break
+        else:
+            spare[0] -= max(size - content, 0)
+            break
+    return caption + body
 
 
 def _svg(node: Node, page: Page) -> None:
@@ -330,15 +394,17 @@ def _svg(node: Node, page: Page) -> None:
             _svg(c, page)
 
 
-def lines_of(node: Node, pre: bool = False) -> list[str]:
+def lines_of(node: Node, pre: bool = False, spare: list[int] | None = None) -> list[str]:
     """Rendered lines of a node's content."""
-    page = Page()
+    page = Page([0] if spare is None else spare)
     _render(node, page, pre or node.tag == "pre")
     return page.done()
 
 
 def _render(node: Node, page: Page, pre: bool) -> None:
-    number = _number(node.attrs.get("start"), -10**9, 10**9) if node.attrs.get("start") else 1
+    back = node.tag == "ol" and "reversed" in node.attrs
+    items = sum(isinstance(c, Node) and c.tag == "li" and visible(c) for c in node.children) if back else 1
+    number, step = _whole(node.attrs.get("start"), items), -1 if back else 1
     for c in node.children:
         if isinstance(c, str):
             page.raw(c) if pre else page.text(c)
@@ -363,17 +429,18 @@ def _render(node: Node, page: Page, pre: bool) -> None:
             page.block()
         elif c.tag == "table":
             page.block(True)
-            page.block_of(_table(c))
+            page.block_of(_table(c, page.spare))
             page.block(True)
         elif c.tag == "li":
+            number = _whole(c.attrs.get("value"), number)
             mark = f"{number}. " if node.tag == "ol" else "- "
-            number += 1
+            number += step
             page.block()
-            page.block_of(lines_of(c, pre), mark, " " * len(mark))
+            page.block_of(lines_of(c, pre, page.spare), mark, " " * len(mark))
             page.block()
         elif c.tag in ("blockquote", "dd"):
             page.block(c.tag in APART)
-            page.block_of(lines_of(c, pre), "  ", "  ")
+            page.block_of(lines_of(c, pre, page.spare), "  ", "  ")
             page.block(c.tag in APART)
         elif c.tag in BLOCK:
             page.block(c.tag in APART)
@@ -383,8 +450,23 @@ def _render(node: Node, page: Page, pre: bool) -> None:
             _render(c, page, pre)
 
 
-def render(html: str) -> str:
-    return "\n".join(lines_of(parse(html)))
+def _drop_unseen(node: Node, unseen: bool = False) -> Node | None:
+    """The tree without what ``visibility`` hides: it is inherited, and an element inside
+    can be visible again. Cells and rows stay in their place."""
+    style = _VISIBILITY.search(node.attrs.get("style") or "")
+    if style:
+        unseen = style[1].lower() != "visible"
+    if node.tag in VOID or node.tag in FOREIGN:
+        return None if unseen else node
+    found = [c if isinstance(c, str) else _drop_unseen(c, unseen) for c in node.children if not (unseen and isinstance(c, str))]
+    node.children = [c for c in found if c is not None]
+    return node if node.children or not unseen or node.tag in ("td", "th", "tr") else None
+
+
+def render(page: str) -> str:
+    """The page's visible text; its tables are padded with at most twice its length in blanks."""
+    tree = parse(page)
+    return "\n".join(lines_of(_drop_unseen(tree) or tree, spare=[2 * len(page)]))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
