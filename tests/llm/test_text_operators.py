@@ -1,5 +1,6 @@
 """Operators on single texts, against plain Python on small fixtures."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -43,6 +44,19 @@ def test_quality_measures_match_plain_python(docs):
     assert all(not r.kept for r in got if r.base_failed)
 
 
+def test_quality_ledger_is_stored_and_ablated(spark, docs, scratch):
+    rows = [(1, "word " * 20), (2, " ".join(f"w{k}" for k in range(60)) + "$" * 40), (3, " ".join(f"w{k}" for k in range(60))), (4, None),
+            (5, " ".join(f"w{k}!" for k in range(60)) + "$" * 40), (None, " ".join(f"v{k}" for k in range(70)) + "#" * 50)]
+    path = scratch("ledger")
+    quality_rules.write_ledger(docs(rows).withColumnRenamed("text", "a.b"), path, text_col="a.b")
+    got = {r.doc_id: r for r in quality_rules.judge_ledger(quality_rules.read_ledger(spark, path)).collect()}
+    assert {i: (r.sole_rule, r.ablation_gain) for i, r in got.items()} == {
+        1: (None, None), 2: ("symbols", 2), 3: (None, None), 4: ("few_words", 1), 5: (None, None), None: ("symbols", 2)}
+    assert [i for i, r in got.items() if r.kept] == [3]
+    plan = quality_rules.judge_ledger(quality_rules.read_ledger(spark, path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan
+
+
 def test_quality_policies_are_bitwise(docs):
     rows = [(k, t) for k, t in enumerate(["w" * 3 + " x", " ".join(f"word{j}" for j in range(60)), " ".join(f"word{j}###" for j in range(60))])]
     led = quality_rules.ledger(docs(rows))
@@ -84,28 +98,52 @@ def test_decontaminate_matches_brute_force(spark, docs, block_words):
     assert sorted(map(tuple, got)) == sorted(plain_contamination([t for _, t in rows], items))
 
 
-def test_decontaminate_holds_one_block_at_a_time(spark, docs, monkeypatch):
+@pytest.mark.parametrize("blocks, n_sent", [(1, 6), (4, 2)])
+def test_decontaminate_holds_the_blocks_of_one_pass_at_a_time(spark, docs, monkeypatch, blocks, n_sent):
     import os
     sent, most, make = [], [20], type(spark.sparkContext).broadcast
 
     def broadcast(sc, value):
         assert not any(os.path.exists(b._path) for b in sent)
-        assert sum(len(decontaminate.split_words(t)) for _, t in value) <= most[0]
+        assert len(value) <= blocks and all(sum(len(decontaminate.split_words(t)) for _, t in items) <= most[0] for items in value)
         sent.append(make(sc, value))
         return sent[-1]
 
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", blocks)
     items = [(k, " ".join(f"w{k}x{j}" for j in range(15))) for k in range(6)] + [(7, ""), (8, "w1x1 w1x2")]
     rows = [(k, t + " and " + u) for k, ((_, t), (_, u)) in enumerate(zip(items, items[1:]))] + [(50, None), (51, "clean")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.measure(docs(rows), bench.coalesce(1), block_words=20)
-    assert len(sent) == 6 and str(got._jdf.queryExecution().executedPlan()).count("MapInArrow") <= 3
+    got = decontaminate.measure(docs(rows), bench.coalesce(1), block_words=20, keep=("doc_id", "text")).drop("text")
+    assert len(sent) == n_sent and str(got._jdf.queryExecution().executedPlan()).count("MapInArrow") <= 3
     assert sorted(map(tuple, got.drop("doc_id").collect())) == sorted(plain_contamination([t for _, t in rows], items))
     sent.clear()
     most[0] = 100
     assert decontaminate.measure(docs(rows), bench.repartition(5)).count() == len(rows) and len(sent) == 1
 
 
+def test_decontaminate_cuts_items_longer_than_a_block(spark, docs):
+    words = [f"w{k % 37}x{k % 11}" for k in range(200)]
+    items = [(1, " ".join(words)), (2, " ".join(words[5:40])), (3, "w1x1 w2x2")]
+    rows = [(k, "a " + " ".join(words[k:k + n]) + " b") for k in range(0, 180, 7) for n in (2, 12, 13, 14, 40)]
+    got = decontaminate.measure(docs(rows), spark.createDataFrame(items, "item_id long, text string"), block_words=16).drop("doc_id")
+    assert sorted(map(tuple, got.collect())) == sorted(plain_contamination([t for _, t in rows], items))
+
+
+def test_decontaminate_tables_of_a_full_block_are_small():
+    import tracemalloc
+    rng = random.Random(1)
+    items = [(str(k), " ".join(f"w{rng.randrange(60_000)}" for _ in range(500)).encode()) for k in range(decontaminate.BLOCK_WORDS // 500)]
+    tracemalloc.start()
+    block = decontaminate.Block(items)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 60e6
+    words = items[7][1].split()[100:130]
+    spans, found = block.find(words, decontaminate._hashes(words))
+    assert len(spans) == 36 and found == {"7"}
+
+
 def test_decontaminate_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     d = docs([(1, "a b"), (2, None)])
@@ -186,6 +224,28 @@ def test_nbest_matches_all_segmentations():
         assert m.decode(np.frombuffer(ids, "<u4").tolist()) == s
 
 
+def test_nbest_of_fractional_scores():
+    """Forward and backward sums of these differ in their last bits."""
+    rng = random.Random(8)
+    m = piece_nbest.Pieces({p: (k, -rng.random() * 7 - .1) for k, p in enumerate(["▁", "a", "b", "ab", "ba", "aba", "▁a", "▁b"])}, range(100, 356))
+
+    def every(s):  # scores added up from the start
+        out = [((), 0.0, s)]
+        while any(rest for *_, rest in out):
+            out = [x for ids, v, rest in out for x in ([(ids, v, rest)] if not rest else
+                   [((*ids, m.scores[rest[:j]][0]), v + m.scores[rest[:j]][1], rest[j:]) for j in range(1, 4) if j <= len(rest) and rest[:j] in m.scores])]
+        return {ids: v for ids, v, _ in out}
+
+    for _ in range(400):
+        chunk = "▁" + "".join(rng.choice("ab") for _ in range(rng.randint(0, 9)))
+        ways = every(chunk)
+        m.learn({chunk})
+        got = [(v, tuple(np.frombuffer(ids, "<u4").tolist())) for v, ids in m.ways(chunk, 4)]
+        assert len({ids for _, ids in got}) == len(got) == min(4, len(ways)) and all(ways[ids] == v for v, ids in got)
+        assert [v for v, _ in got] == sorted((v for v, _ in got), reverse=True)
+        assert np.allclose([v for v, _ in got], sorted(ways.values(), reverse=True)[:4], rtol=1e-12)
+
+
 def test_nbest_of_many_ties(docs):
     """Runs of spaces have millions of tied best paths; long texts may have no space at all."""
     m = piece_nbest.pieces(vocabulary("piece_bpe_32k.model"))
@@ -279,6 +339,65 @@ def test_html_marked_sections(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><td rowspan=2>A<td>b1<tr><td>b2<tr><td>cc<td>dd</table>", "A   b1\n    b2\ncc  dd"),
+    ("<table><tr><td>a<td rowspan=0>long<td>x<tr><td>b<td>y<tr><td>c<td>z</table>", "a  long  x\nb        y\nc        z"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td colspan=2 rowspan=2>ab<td>c<tr><td>d<tr><td>x<td>y<td>z</table>", "ab    c\n      d\nx  y  z"),
+    ("<p style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</p>d", "b\n\nd"),
+    ("<div style='visibility:hidden'><p>x</p></div>y", "y"),
+    ("<table><tr><td style='visibility:hidden'>aaa<td>b<tr><td>c<td>d</table>", "   b\nc  d"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"), ("<ol start=5 reversed><li>a<li>b</ol>", "5. a\n4. b"),
+    ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+    ("a<textarea><b>x</b> &amp; y</textarea>z", "a<b>x</b> & yz")])
+def test_html_spans_visibility_numbers_and_text_areas(page, text):
+    assert html_text.render(page) == text
+
+
+def test_html_cells_stand_where_a_grid_puts_them():
+    rng = random.Random(6)
+    for _ in range(300):
+        n_rows, name, page = rng.randint(1, 5), iter(range(999)), "<table>"
+        grid, place = {}, {}
+        for r in range(n_rows):
+            page, at = page + "<tr>", 0
+            for _ in range(rng.randint(0, 4)):
+                while (r, at) in grid:
+                    at += 1
+                text = f"c{next(name)}" + "x" * rng.randint(0, 3)
+                across, down = rng.choice([1, 1, 1, 2, 3]), rng.choice([1, 1, 1, 2, 3])
+                for y in range(r, r + down):
+                    for x in range(at, at + across):
+                        grid.setdefault((y, x), text)
+                place[text] = (r, at, across)
+                page += f"<td colspan={across} rowspan={down}>{text}"
+                at += across
+        lines = html_text.render(page).split("\n")
+        rows = sorted({r for r, _, _ in place.values()})
+        single = {at for _, at, across in place.values() if across == 1}
+        seen = {}
+        for text, (r, at, _) in place.items():
+            line = lines[rows.index(r)]
+            assert text in line.split(), (page, lines)
+            if at in single:
+                seen.setdefault(at, set()).add(line.index(text))
+        wide = any(across > 1 for _, _, across in place.values())
+        assert wide or all(len(v) == 1 for v in seen.values()), (page, lines)
+        for r in rows:  # cells of a row stand in the order of their columns
+            own = [t for t, (y, at, _) in sorted(place.items(), key=lambda x: x[1][1]) if y == r]
+            assert lines[rows.index(r)].split() == own
+
+
+@pytest.mark.parametrize("page", [
+    "<table>" + "<tr><td>a<td>b" * 20_000 + "<tr><td>" + "w " * 30_000 + "<td>z</table>",
+    "<table>" + "<tr><td colspan=1000>a<td>b" * 20_000 + "</table>",
+    "<table><tr>" + "<td>x" * 1000 + "<tr><td>" + "y" * 70 + "<td>z" * 999 + "<tr><td colspan=999>a<td>b" * 3000 + "</table>",
+    "<table><tr><td>" * 40 + "<table>" + "<tr><td>a<td>b" * 5000 + f"<tr><td>{'k' * 79}<td>z</table>" + "<td>q</table>" * 40])
+def test_html_tables_are_padded_within_bounds(page):
+    text = html_text.render(page)
+    assert len(text) < 4 * len(page) and "a" in text and text.rstrip()[-1] in "bzq"
+
+
 def test_html_frame(spark, docs):
     docs([])
     rows = [(1, "<p>a"), (None, None), (2, ""), (2, "<p>a"), (3, "<p>" + "x " * 50_000)]
@@ -297,7 +416,7 @@ def test_url_filter(spark):
                                    (7, "http://bad.net/q", "a"), (7, "http://bad.net/q", "a"), (None, "http://example.org/en/12", "a"), (8, "x://h.org", "b")],
                                   "page_id long, url string, host string")
     listed = spark.createDataFrame([("http://bad.net/p/?k=1",), (None,), ("nothing",)], "url string")
-    for most in (1 << 15, 1):  # a full block passes all, the join still decides
+    for most in (1 << 15, 1, 0):  # 0: blocks are met in a shuffle join
         got = {(r.page_id, r.host, r.path, r.rule, r.listed, r.verdict) for r in url_filter.filter_urls(pages, listed, rules, max_blocks=most).collect()}
         assert got == {(1, "a.example.org", "/es/1", "example.org/es/", False, "block"), (2, "notexample.org", "/es/", "org/", False, "allow"),
                        (3, "", "", None, False, "allow"), (4, "", "", None, False, "allow"), (5, "www.bad.net", "/p/", None, True, "block"),
@@ -316,6 +435,16 @@ def test_bloom_has_no_false_negatives(spark):
     assert url_filter.possible_hits(others, "k", blocks, n).where("_possible").count() < 150
 
 
+def test_bloom_of_a_long_list_still_rejects(spark):
+    keys = spark.range(800_000).select(F.concat(F.lit("k"), "id").alias("k"))
+    blocks, n = url_filter.blocked_bloom(keys, "k")
+    assert n > url_filter.MAX_BLOCKS
+    others = spark.range(20_000).select(F.when(F.col("id") % 4 > 0, F.concat(F.lit("o"), "id")).alias("k")).unionByName(keys.limit(500))
+    probed = url_filter.possible_hits(others, "k", blocks, n)
+    assert probed.where("_possible and k like 'k%'").count() == 500 and probed.where("_possible and k not like 'k%'").count() < 750
+    assert probed.count() == 20_500 and "BroadcastHashJoin" not in probed._jdf.queryExecution().sparkPlan().toString()
+
+
 # --- shards ---------------------------------------------------------------------------------------------
 
 def test_shards_are_contiguous_and_balanced(docs):
@@ -346,6 +475,61 @@ def test_transducers_mark_clauses():
     assert threat == {toxicity.MARKS + (toxicity.TARGETED | toxicity.INTENDED): 1.0}
 
 
+@pytest.mark.parametrize("text, marks", [
+    ("he said: you are an idiot", "TARGETED REPORTED"), ("you aren't an idiot", "TARGETED NEGATED"), ("they don’t call him idiot", "TARGETED NEGATED"),
+    ("he never said to them idiot", "TARGETED"), ('he wrote "good. you idiot." and idiot', "TARGETED REPORTED|"), ('"a" idiot "b"', ""),
+    ("„idiot“", "REPORTED"), ("you: idiot", ""), ("ce n'est pas un idiot", "NEGATED"), ("he said nothing. idiot", "")])
+def test_clauses_are_linked(text, marks):
+    g = toxicity.Grammar({"idiot\0": 1.0})
+    want = collections.Counter(sum(getattr(toxicity, m) for m in path.split()) for path in marks.split("|"))
+    assert g.features(text.encode()) == want
+
+
+@pytest.mark.parametrize("text, marks", [
+    ("a punch card", None), ("burn the toast", None), ("I'll burn it", "INTENDED"), ("we will kill them", "TARGETED INTENDED"),
+    ("not going to hurt anyone", "NEGATED"), ("they punch you", "TARGETED")])
+def test_threats_need_a_target_or_intent(text, marks):
+    got = toxicity.Grammar({}).features(text.encode())
+    if marks == "NEGATED":  # a negated intent is none
+        assert got == {}
+    else:
+        assert got == ({} if marks is None else {toxicity.MARKS + sum(getattr(toxicity, m) for m in marks.split()): 1.0})
+
+
+def test_composed_machine_equals_the_rules():
+    """Every symbol's marks from the rules, read off the whole tape."""
+    T = toxicity
+    rng = random.Random(9)
+    for _ in range(2000):
+        tape = [rng.randrange(9) for _ in range(rng.randint(0, 12))]
+        negated = [any(tape[j] == T.NEGATOR and T.COLON not in tape[j:k] for j in range(max(0, k - 3), k)) for k in range(len(tape))]
+        quotes = [sum(x == T.QUOTE for x in tape[:k]) % 2 for k in range(len(tape))]
+        want = []
+        for k, x in enumerate(tape):
+            last = max((j for j in range(k) if tape[j] == T.QUOTE and not quotes[k]), default=-1)
+            clause = max((j for j in range(k) if tape[j] == T.COLON), default=-1)
+            spoken = quotes[k] or any(tape[j] == T.REPORT and not negated[j] for j in range(last + 1, k))
+            meant = any(tape[j] == T.INTENT and not negated[j] for j in range(clause + 1, k))
+            aimed = T.TARGET in tape[clause + 1:k]
+            m = (T.NEGATED if negated[k] and x in (T.INSULT, T.THREAT, T.REPORT, T.INTENT) else 0) + (T.REPORTED if spoken and x in T.BOTH else 0)
+            want.append(m + (T.INTENDED if meant and x == T.THREAT else 0) + (T.TARGETED if aimed and x in T.BOTH else 0))
+        assert T.Composition(T.FORWARD).run(tape)[0] == want, tape
+
+
+def test_toxicity_takes_all_candidates_and_labels_of_any_kind(spark, docs):
+    words = [f"q{k:04d}z" for k in range(6000)]
+    rows = [(k, " ".join(words[k % 10::10])) for k in range(300)] + [(1000 + k, "calm day") for k in range(300)]
+    rows += [(2000, words[17]), (2001, "calm")]
+    labels = [(k, 1) for k in range(300)] + [(1000 + k, 0) for k in range(300)] + [(2000, 2), (2001, -1)]
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    sample = toxicity.training_rows(docs(rows), lab)
+    assert {r._toxic for r in sample.collect()} == {0, 1}
+    units = toxicity.learn_insults(sample)
+    assert len(units) >= 1 and all(any(w.encode().startswith(u.rstrip(chr(0)).encode()) for w in words) for u in units)
+    got = {r.doc_id: r.predicted for r in toxicity.judge(docs(rows), lab).collect()}
+    assert all(got[k] == 1 for k in range(300)) and not any(got[1000 + k] for k in range(300))
+
+
 def test_toxicity_learns_from_its_part_of_the_labels(spark, docs):
     rng = random.Random(4)
     calm = lambda: " ".join(rng.choice(["tree", "river", "stone", "cloud", "bird"]) + rng.choice("abcdef") for _ in range(30))
