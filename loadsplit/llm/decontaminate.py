@@ -104,12 +104,14 @@ class WuManber:
     def _pattern(self, start: int) -> bytes:
         return self.text[self.offsets[start]:self.offsets[start + self.m] - 1]
 
-    def find(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(start, items) of every occurrence."""
+    def find(self, words: list[bytes], hashes: np.ndarray, known: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, items) of every occurrence. ``known`` keeps the text's block hashes by block size."""
         m, b, n = self.m, self.b, len(words)
         if n < m:
             return
-        blocks = _stretches(hashes, b)
+        if b not in known:
+            known[b] = _stretches(hashes, b)
+        blocks = known[b]
         skip = self.shift[blocks >> self.bits]
         skip = skip.tobytes() if skip.dtype == np.uint8 else skip.tolist()
         end = m - b
@@ -148,11 +150,11 @@ class Block:
         text, owner = b" ".join(words) + b" ", np.array(owner, np.int32)
         self.tables = [WuManber(m, np.concatenate(s), hashes, text, offsets, owner) for m, s in sorted(starts.items())]
 
-    def find(self, words: list[bytes], hashes: np.ndarray) -> tuple[list[int], set[str]]:
+    def find(self, words: list[bytes], hashes: np.ndarray, known: dict[int, np.ndarray] | None = None) -> tuple[list[int], set[str]]:
         """(start, end, ...) of what is found, and the items."""
-        spans, found = [], set()
+        spans, found, known = [], set(), {} if known is None else known
         for t in self.tables:
-            for start, items in t.find(words, hashes):
+            for start, items in t.find(words, hashes, known):
                 spans += [start, start + t.m]
                 found.update(items.tolist())
         return spans, {self.names[i] for i in found}
@@ -237,9 +239,9 @@ def _occurrences(batch: pa.Array, blocks: list[Block]) -> tuple[list[int], list[
     n_words, hits, found = [], [], []
     for text in utf8(batch):
         words, spans, ids = split_words(text), [], set()
-        hashes = _hashes(words)
+        hashes, known = _hashes(words), {}
         for block in blocks:
-            own, items = block.find(words, hashes)
+            own, items = block.find(words, hashes, known)
             spans += own
             ids |= items
         n_words.append(len(words))
