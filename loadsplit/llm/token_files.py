@@ -21,6 +21,7 @@ come; an empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -34,9 +35,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shuffle_partitions, utf8
+from .common import arrow_rows, by_bytes, shuffle_partitions, utf8
 
-CACHED_WORDS = 1_600_000
+CACHED_WORDS = 1_200_000   # some 170 MB a worker
+ARROW_ROWS = 2_000
+PIECE_BYTES = 4 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
@@ -50,7 +53,8 @@ _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 class WordEncoder(dict):
     """Word (bytes without ASCII white space) to its ids as little-endian
-    unsigned 32-bit integers, forgetting all when it grows too large."""
+    unsigned 32-bit integers; of the words remembered the oldest half goes when
+    there are too many. A word with a comma or full stop after it is not one of them."""
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,19 +66,19 @@ class WordEncoder(dict):
         self.plain = probe("AbÉé.,") == probe("abéé") + probe(".,") and probe("é") == self._letters("é")
 
     def _letters(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))]
+        written = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return [t.id for t in self.model.tokenize(written)]
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         if self.plain and word[-1:] in (b".", b",") and word[-2:-1].islower():
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            text = word.decode()
-            found = self._letters(text) if self.plain and _LETTERS.fullmatch(text) else \
-                self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
-        self[word] = ids
+            return self[word[:-1]] + self[word[-1:]]
+        if len(self) >= CACHED_WORDS:
+            for old in [*itertools.islice(self, CACHED_WORDS // 2)]:
+                del self[old]
+        text = word.decode()
+        found = self._letters(text) if self.plain and _LETTERS.fullmatch(text) else \
+            self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = self[word] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
     def encode(self, text: bytes) -> bytes:
@@ -92,27 +96,14 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _pieces(texts: list[bytes], most: int = 4 << 20) -> Iterator[slice]:
-    """Slices of some megabytes, so that few ids are held at once."""
-    at = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield slice(at, k + 1)
-            at, size = k + 1, 0
-    yield slice(at, len(texts))
-
-
 def _encode(tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(tokenizer_path), np.uint32(end_id).astype("<u4").tobytes()
         part, row, start = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             texts = utf8(b.column(1))
-            for piece in _pieces(texts):
+            for piece in by_bytes(texts, PIECE_BYTES):
                 ids = [encoder.encode(t) + end for t in texts[piece]]
-                if not ids:
-                    continue
                 n = np.array([len(i) // 4 for i in ids], np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()),
                                                  pa.array(np.frombuffer(b"".join(ids), "<i4")))
@@ -133,15 +124,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
     schema = T.StructType().add("part", "integer").add("row", "long").add("_id", rows.schema["_id"].dataType) \
         .add("part_start", "long").add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType()))
     coded = ranged.select("_id", "_text").mapInArrow(_encode(tokenizer_path, end_id), schema)
-    coded.withColumnRenamed("_id", id_col).write.options(**{
-        "compression": "zstd",
-        "parquet.writer.version": "v2",              # delta encodings where there is no dictionary
-        "parquet.enable.dictionary": "true",
-        "parquet.dictionary.page.size": str(1 << 20),  # holds every id of a vocabulary of 250,000
-        "parquet.block.size": str(ROW_GROUP_BYTES),
-        "parquet.page.size": str(PAGE_BYTES),
-        "parquet.page.row.count.limit": str(PAGE_ROWS),
-    }).parquet(path)
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        coded.withColumnRenamed("_id", id_col).write.options(**{
+            "compression": "zstd",
+            "parquet.writer.version": "v2",              # delta encodings where there is no dictionary
+            "parquet.enable.dictionary": "true",
+            "parquet.dictionary.page.size": str(1 << 20),  # holds every id of a vocabulary of 250,000
+            "parquet.block.size": str(ROW_GROUP_BYTES),
+            "parquet.page.size": str(PAGE_BYTES),
+            "parquet.page.row.count.limit": str(PAGE_ROWS),
+        }).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
