@@ -47,7 +47,7 @@ from .common import grouped, ranges, shuffle_partitions, stage, utf8
 
 WINDOW = 35
 PACK_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 RANGE_WINDOWS = 1 << 20
 RANGES_PER_TASK = 4
 LONG_WORD = 64
