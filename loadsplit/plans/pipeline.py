@@ -186,9 +186,11 @@ def _ingest(spark: SparkSession, raw: DataFrame, files: DataFrame, skipped: int,
                 F.count_if(~ok).alias("files_in_error"),
             )
             report = spark.createDataFrame(report.collect(), report.schema)  # one row
+            rows = typed.join(status.where(~ok).select("source_file"), "source_file", "left_anti").select(*[c for c in typed.columns if c != "_bad"])
             if report.first()["files_loaded"]:
-                rows = typed.join(status.where(~ok).select("source_file"), "source_file", "left_anti").select(*[c for c in typed.columns if c != "_bad"])
                 _load(rows, status.where(ok), tx)
+            else:  # no file, or all of them in quarantine
+                tx.declare("bronze", rows.schema, by="usage_date")
             return report
 
 
@@ -240,7 +242,8 @@ def run_features(spark: SparkSession, warehouse: str, tx: Transaction | None = N
     with _in(spark, warehouse, "features", tx) as tx:
         with staged(spark, W.dedupe_hour(_need(tx.read("weather"), "weather")), "weather-hours") as hours:
             warm = date_digests(hours.withColumn("usage_date", F.to_date("datetime")))
-            _need(tx.read("bronze", ()), "bronze")
+            if not tx.parts("bronze"):
+                raise ValueError("there are no rows in table bronze yet")
             todo = stale(tx, "silver_intervals", {d: signature(p["signature"], warm.get(d)) for d, p in tx.parts("bronze").items()})
             if todo:
                 rows = I.filter_flow(tx.read("bronze", todo)).select("esiid", "interval_start_dt", "usage_kwh", "usage_date")

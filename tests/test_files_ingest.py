@@ -224,3 +224,39 @@ def test_weather_csv_reader(spark, scratch):
         f.write("datetime,temp_c\n2025-05-01 00:00:00,20.1\n2025-05-01 01:00:00,bad\n")
     rows = S.read_weather_csv(spark, p).orderBy("datetime").collect()
     assert rows[0]["temp_c"] == 20.1 and rows[1]["temp_c"] is None
+
+
+@pytest.mark.parametrize("layout", ["reference", "export"])
+@pytest.mark.parametrize("stream", [False, True])
+def test_files_all_in_quarantine_leave_an_empty_bronze(spark, scratch, layout, stream):
+    from loadsplit.streaming.incremental import ingest_incremental
+    root, wh, ckpt = _root(scratch, "meters"), scratch("wh"), scratch("ckpt")
+    bad = day_rows(D1, n=4)
+    bad[2]["USAGE_DATE"] = "2025-05-01"                      # an ISO date: the whole file is rejected
+
+    def put(day, rows):
+        if layout == "reference":
+            write_meter_file(root, day, rows)
+        else:
+            write_meter_file(os.path.join(root, f"year={day:%Y}", f"month={day:%m}", f"day={day:%Y%m%d}"), day, rows)
+            home = os.path.join(root, f"year={day:%Y}", f"month={day:%m}", f"day={day:%Y%m%d}")
+            os.rename(os.path.join(home, f"{day:%Y}", f"{day:%m}", f"{day:%Y%m%d}.csv"), os.path.join(home, "part-0.csv"))
+
+    def load():
+        return ingest_incremental(spark, root, wh, ckpt, layout=layout) if stream \
+            else [PL.run_ingest(spark, root, wh, layout=layout).first().asDict()]
+
+    put(D1, bad)
+    assert [(r["rows_loaded"], r["files_in_error"]) for r in load()] == [(0, 1)]
+    empty = PL.read_table(spark, wh, "bronze")
+    assert empty.count() == 0 and PL.read_table(spark, wh, "bronze", only=["2025-05-01"]).count() == 0
+    head = Warehouse(spark, wh).head()
+    load()                                                   # the same file: nothing to commit
+    assert Warehouse(spark, wh).head() == head
+    PL.run_weather(spark, spark.createDataFrame([("2025-05-01 00:10:00", "20.5")], "DATE string, HourlyDryBulbTemperature string"), wh)
+    with pytest.raises(ValueError, match="no rows in table bronze"):
+        PL.run_features(spark, wh)
+    put(D2, day_rows(D2, n=4))
+    assert sum(r["rows_loaded"] for r in load()) == 4
+    full = PL.read_table(spark, wh, "bronze")
+    assert full.count() == 4 and sorted(full.columns) == sorted(empty.columns) and dict(full.dtypes) == dict(empty.dtypes)
