@@ -10,8 +10,10 @@ it; offsets between files come from one total per file.
 
 Words between ASCII white space are encoded once per worker and remembered;
 the tokenizer's own splitting never joins across white space, so this gives the
-ids of the whole text. For a tokenizer that lower-cases and splits letters from
-marks, words of plain letters go straight to its merge model.
+ids of the whole text. Arrow lower-cases and splits some megabytes of texts at a
+time, finds their different words and deals out the ids of these. For a
+tokenizer that lower-cases and splits letters from marks, words of plain letters
+go straight to its merge model, without the marks that follow them.
 
 Defined cases: null and empty texts have only the end id; null document ids
 come first; rows with one id stand in input order and a hot id is spread over
@@ -21,7 +23,6 @@ come; an empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import struct
@@ -30,16 +31,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, by_bytes, shuffle_partitions, utf8
+from .common import arrow_rows, by_bytes, shuffle_partitions
 
-CACHED_WORDS = 1_200_000   # some 170 MB a worker
+CACHED_WORDS = 600_000     # some 150 MB a worker
 ARROW_ROWS = 2_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 3 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
@@ -47,18 +49,19 @@ PAGE_ROWS = 1000
 
 #: fixed values: how the byte-level pre-tokenizer writes the bytes that are not printable
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174))}
-#: lower-case letters that the normalizer and the pre-tokenizer leave as one word
-_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: letters that the normalizer only lower-cases (a-z are, all others of Latin-1) and the pre-tokenizer leaves as one word; ASCII marks
+_MARKED = re.compile("([a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
 
 
 class WordEncoder(dict):
     """Word (bytes without ASCII white space) to its ids as little-endian
-    unsigned 32-bit integers; of the words remembered the oldest half goes when
-    there are too many. A word with a comma or full stop after it is not one of them."""
+    unsigned 32-bit integers; of the words remembered those not met again go when
+    there are too many. A word with marks after it is not one of them."""
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
         # the short cuts are for a lower-casing tokenizer that splits letters from marks
@@ -72,12 +75,20 @@ class WordEncoder(dict):
     def __missing__(self, word: bytes) -> bytes:
         if self.plain and word[-1:] in (b".", b",") and word[-2:-1].islower():
             return self[word[:-1]] + self[word[-1:]]
-        if len(self) >= CACHED_WORDS:
-            for old in [*itertools.islice(self, CACHED_WORDS // 2)]:
-                del self[old]
+        if len(self) >= CACHED_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
+        if (ids := self.old.pop(word, None)) is not None:
+            self[word] = ids
+            return ids
         text = word.decode()
-        found = self._letters(text) if self.plain and _LETTERS.fullmatch(text) else \
-            self.tokenizer.encode(text, add_special_tokens=False).ids
+        if self.plain and (parts := _MARKED.fullmatch(text)):
+            letters, marks = parts[1].lower(), parts[2]
+            if marks or letters != text:
+                return self[letters.encode()] + (self[marks.encode()] if marks else b"")
+            found = self._letters(letters)
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
         ids = self[word] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
@@ -86,6 +97,20 @@ class WordEncoder(dict):
             text = text.lower()
         return b"".join(map(self.__getitem__, text.split()))
 
+    def encode_all(self, texts: pa.Array, end: bytes) -> pa.ListArray:
+        """Lists of the ids of texts (strings, no nulls), with ``end`` after each."""
+        if self.plain:
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = [*map(self.__getitem__, words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)), end]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        known = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        dealt = np.insert(words.indices.to_numpy(), ends, len(ids) - 1)
+        last = np.r_[0, np.cumsum(counts[dealt])][np.r_[0, ends + np.arange(1, ends.size + 1)]]
+        return pa.ListArray.from_arrays(pa.array(last, pa.int32()), known.take(pa.array(dealt)).flatten())
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -101,17 +126,16 @@ def _encode(tokenizer_path: str, end_id: int):
         encoder, end = _encoder(tokenizer_path), np.uint32(end_id).astype("<u4").tobytes()
         part, row, start = TaskContext.get().partitionId(), 0, 0
         for b in batches:
-            texts = utf8(b.column(1))
-            for piece in by_bytes(texts, PIECE_BYTES):
-                ids = [encoder.encode(t) + end for t in texts[piece]]
-                n = np.array([len(i) // 4 for i in ids], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()),
-                                                 pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            texts = pc.fill_null(b.column(1), "")
+            for piece in by_bytes([range(n) for n in pc.binary_length(texts).to_pylist()], PIECE_BYTES):
+                lists = encoder.encode_all(texts[piece.start:piece.stop], end)
+                n = pc.list_value_length(lists).to_numpy().astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * n.size, pa.int32()), pa.array(np.arange(row, row + n.size)), b.column(0)[piece.start:piece.stop],
                      pa.array(start + np.cumsum(n) - n), pa.array(n), lists],
                     ["part", "row", "_id", "part_start", "n_tokens", "ids"])
                 row, start = row + n.size, start + int(n.sum())
+                pa.default_memory_pool().release_unused()
 
     return run
 

@@ -198,6 +198,27 @@ def test_word_encoder_equals_whole_text():
         assert enc.encode(t.encode()) == np.array(enc.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+def test_word_encoder_deals_out_the_ids_of_whole_texts():
+    import pyarrow as pa
+    enc = token_files.WordEncoder(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(3)
+    chars = [chr(c) for c in [*range(1, 0x250), 0x300, 0x3A3, 0x4E00, 0x2028, 0x1F600]]
+    texts = ["", " ", "a", "<|endoftext|> A", "\t\x1c x\n", "É, é!? É", "don't #'s"]
+    texts += ["".join(rng.choice(chars if rng.random() < .3 else "abc .,'sé<|>ABÉ%") for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    got = enc.encode_all(pa.array(texts), np.uint32(2).astype("<u4").tobytes()).to_pylist()
+    assert got == [[*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert enc.encode_all(pa.array([], pa.string()), b"\2\0\0\0").to_pylist() == []
+
+
+def test_word_encoder_encodes_a_word_once_whatever_its_case_and_marks(monkeypatch):
+    import pyarrow as pa
+    enc = token_files.WordEncoder(vocabulary("word_bpe_49k.json"))
+    calls = []
+    monkeypatch.setattr(enc, "_letters", lambda w, f=enc._letters: calls.append(w) or f(w))
+    enc.encode_all(pa.array(["été Été, ÉTÉ%%% été.", "été!"]), b"\2\0\0\0")
+    assert calls == ["été"]
+
+
 # --- n-best segmentation ---------------------------------------------------------------------
 
 def test_nbest_matches_all_segmentations():
