@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,16 @@ def by_bytes(texts: list[bytes], most: int) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
+def text_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``most`` bytes of a string column; a longer text is alone or ends its part."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < batch.num_rows:
+        to = min(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most)) + 1, batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def ranges(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Boolean mask of length n that is true inside the half-open intervals."""
     d = np.zeros(n + 1, np.int64)

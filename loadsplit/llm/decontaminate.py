@@ -35,6 +35,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -250,14 +251,16 @@ def _occurrences(batch: pa.Array, blocks: list[Block]) -> tuple[list[int], list[
     return n_words, hits, found
 
 
-def _whole_pass(sent, window: int):
-    """mapInArrow function from (_row, _text) to (_row, _n, digest columns)."""
+def _whole_pass(sent, window: int, place: int | None):
+    """mapInArrow function from (_row, _text), or _row with the text in that
+    place, to (_row, _n, digest columns)."""
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(sent, name, window)
         for batch in batches:
-            n_words, hits, found = _occurrences(batch.column(1), tables)
+            text = batch.column(1) if place is None else pc.struct_field(batch.column(0), [place])
+            n_words, hits, found = _occurrences(text, tables)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), *_digest(hits, found)], ["_row", "_n", *_DIGEST])
 
     return run
@@ -299,11 +302,12 @@ def search(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_co
     items, blocks = _blocks(benchmark, item_id, item_text, block_words, window)
     passes = [blocks[k:k + PASS_BLOCKS] for k in range(0, len(blocks), PASS_BLOCKS)]
     row, text = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text")
-    d = docs.select(row, text)
-    sums = d.select("_row", F.lit(0).cast("long").alias("_n")).schema.add("_n_hit", "long").add("_n_items", "long").add("_sha", "string")
+    carried = text_col in keep  # then the text goes with its row only
+    sums = docs.select(row, F.lit(0).cast("long").alias("_n")).schema.add("_n_hit", "long").add("_n_items", "long").add("_sha", "string")
     if len(passes) <= 1:
-        return d.mapInArrow(_whole_pass(_send(items, passes[0] if passes else [(0, -1)]), window), sums)
-    carried = text_col in keep  # then the text is staged with its row only
+        d = docs.select(row, *([] if carried else [text]))
+        place = keep.index(text_col) if carried else None
+        return d.mapInArrow(_whole_pass(_send(items, passes[0] if passes else [(0, -1)]), window, place), sums)
     rows = stage(docs.select(F.monotonically_increasing_id().alias("_key"), row, *([] if carried else [text])), "decontaminate-rows")
     rows = rows.select("_key", "_row", F.col("_row")[text_col].alias("_text")) if carried else rows
     found_in = []

@@ -5,7 +5,8 @@ The lattice of a text falls apart at places that no piece spans (before a word
 mark that follows another character, around line breaks), so a text's
 segmentations are combinations of those of its chunks. Chunks are solved once
 per task and remembered: ids and score of the best path, and how much the
-second best loses. A text's N best can only change the N - 1 chunks that lose
+second best loses; where more come together than may be remembered, those
+that the texts at hand use again stay. A text's N best can only change the N - 1 chunks that lose
 least; those are searched by A* and combined best first.
 
 A path's score is the sum of the model's piece scores. A character that no
@@ -22,6 +23,7 @@ empty table gives an empty result. Other columns are only carried by ``keep``.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import sys
@@ -34,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import utf8
+from .common import text_slices, utf8
 
 N_BEST = 4
 CACHED_CHUNKS = 700_000
+#: where a worker has served other operators before and the executor's heap is full, as in a pipeline
+FEW_CHUNKS = 200_000
 CACHED_SEARCHES = 20_000
 GROUP_BYTES = 2 << 20
 MARK = "▁"
@@ -52,8 +56,8 @@ LARGEST = sys.float_info.max
 class Pieces:
     """The model's vocabulary as a lattice over text."""
 
-    def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: Sequence[int]):
-        self.scores, self.byte_ids = scores, byte_ids
+    def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: Sequence[int], cached: int = CACHED_CHUNKS):
+        self.scores, self.byte_ids, self.cached = scores, byte_ids, cached
         self.unknown = min((s for _, s in scores.values()), default=0.0) - 10
         self.spelled = [np.uint32(i).astype("<u4").tobytes() for i in byte_ids]
         #: every end of a piece; (score, ids) if it is a piece itself
@@ -148,9 +152,8 @@ class Pieces:
     def learn(self, chunks: set[str]) -> None:
         """Solve the chunks that are not remembered."""
         new = chunks.difference(self.best)
-        if len(self.best) + len(new) > CACHED_CHUNKS:
-            self.best.clear()
-            new = chunks
+        if len(self.best) + len(new) > self.cached:
+            self.best = {c: self.best[c] for c in chunks - new}
         self.solve(new)
 
     def search(self, chunk: str, n: int) -> list[Path]:
@@ -220,8 +223,10 @@ class Pieces:
             yield self.combine(chunks, n)
 
     def forget(self) -> None:
-        """Drop what is remembered: a worker lives on after its task."""
+        """Drop what is remembered: a worker lives on after its task. The free
+        tuples that Python keeps for itself would hold on to the memory around them."""
         self.best, self.searched = {}, {}
+        gc.collect()
 
     def ways(self, chunk: str, n: int) -> list[Path]:
         """The n best segmentations, the remembered best one first of its equals."""
@@ -288,23 +293,32 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
 
 
+_KIND = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct(
+    [("start", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
+
+
+def _encoded(model: Pieces, part: pa.RecordBatch, n_best: int) -> pa.RecordBatch:
+    """(_row, ids, score, nbest) of (_row, _text)."""
+    found = list(model.segments((t.decode() for t in utf8(part.column(1))), n_best))
+    paths = [[{"score": s, "changes": [{"start": x, "n": y, "ids": np.frombuffer(z, "<i4")} for x, y, z in c]} for s, c in f[2]] for f in found]
+    return pa.RecordBatch.from_arrays([part.column(0), _lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64()),
+                                       pa.array(paths, _KIND)], ["_row", "ids", "score", "nbest"])
+
+
 def encode(docs: DataFrame, model_path: str, n_best: int = N_BEST, text_col: str = "text",
-           keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, ids, score and nbest (array of score and changes to ids)."""
+           keep: tuple[str, ...] = ("doc_id",), cached: int = FEW_CHUNKS) -> DataFrame:
+    """The ``keep`` columns, ids, score and nbest (array of score and changes to
+    ids). A task holds the results of GROUP_BYTES of text at a time, and the
+    chunks of one such group or ``cached`` ones, whichever are more."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
     schema = rows.select("_row").schema.add("ids", T.ArrayType(T.IntegerType())).add("score", "double").add("nbest", T.ArrayType(_PATH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
-        kind = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct(
-            [("start", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
+        model.cached = cached
         for b in batches:
-            for at in range(0, b.num_rows, 1500):
-                part = b.slice(at, 1500)
-                found = list(model.segments((t.decode() for t in utf8(part.column(1))), n_best))
-                paths = [[{"score": s, "changes": [{"start": x, "n": y, "ids": np.frombuffer(z, "<i4")} for x, y, z in c]} for s, c in f[2]] for f in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64()),
-                                                  pa.array(paths, kind)], ["_row", "ids", "score", "nbest"])
+            for part in text_slices(b, 1, GROUP_BYTES):
+                yield _encoded(model, part, n_best)
         model.forget()
 
     return rows.mapInArrow(run, schema).select("_row.*", "ids", "score", "nbest")
@@ -334,6 +348,7 @@ def digest(docs: DataFrame, model_path: str, n_best: int = N_BEST, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
+        model.cached = CACHED_CHUNKS
         for b in batches:
             out = []
             texts = [t.decode() for t in utf8(b.column(1))]

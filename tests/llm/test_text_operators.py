@@ -4,13 +4,16 @@ import collections
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loadsplit.llm import decontaminate, html_text, piece_nbest, quality_rules, sharding, token_files, toxicity, url_filter
+from loadsplit.llm.common import text_slices
 from loadsplit.llm.queries import vocabulary
 
 from .conftest import odd_texts
@@ -153,6 +156,16 @@ def test_decontaminate_empty_tables(spark, docs):
     assert [r.doc_id for r in kept.collect()] == [2]
 
 
+def test_decontaminate_sends_a_text_once(spark, docs, capsys):
+    """A text that is carried is not sent to Python beside its row too, and null texts stay."""
+    d = docs([(1, "a b"), (2, "c d"), (3, None), (None, "")]).select("doc_id", "text")
+    kept = decontaminate.drop_contaminated(d, spark.createDataFrame([(1, "A b")], "item_id long, text string"))
+    kept.explain()
+    sent = re.findall(r"MapInArrow run\(([^)]*)\)", capsys.readouterr().out)
+    assert len(sent) == 1 and "_row" in sent[0] and "_text" not in sent[0]
+    assert sorted(kept.collect(), key=str) == sorted(d.where("doc_id is null or doc_id > 1").collect(), key=str)
+
+
 # --- token files ----------------------------------------------------------------------------
 
 def test_token_files_round_trip(spark, docs, scratch):
@@ -305,6 +318,41 @@ def test_nbest_frames(docs):
     assert piece_nbest.digest(docs(rows).limit(0), vocabulary("piece_bpe_32k.model")).count() == 0
 
 
+def test_nbest_remembers_few_chunks(monkeypatch):
+    """What a task holds is bounded, chunks that come again are not solved anew, and the results stay the same."""
+    path = vocabulary("piece_bpe_32k.model")
+    few, all_of_them = piece_nbest.Pieces.load(path), piece_nbest.Pieces.load(path)
+    few.cached = 300
+    monkeypatch.setattr(piece_nbest, "GROUP_BYTES", 1000)
+    rng = random.Random(6)
+    texts = ["the same words " + " ".join(f"w{rng.randrange(5000)}" for _ in range(20)) for _ in range(400)]
+    solved, solve = [], few.solve
+
+    def watched(chunks):
+        solved.extend(chunks)
+        solve(chunks)
+        assert len(few.best) <= 300
+
+    monkeypatch.setattr(few, "solve", watched)
+    assert list(few.segments(texts, 4)) == list(all_of_them.segments(texts, 4))
+    assert len(solved) > len(set(solved)) and [solved.count(w) for w in ("▁same", "▁words")] == [1, 1]
+    part = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], ["_row", "_text"])
+    assert piece_nbest._encoded(few, part, 4) == piece_nbest._encoded(all_of_them, part, 4)
+    few.forget()
+    assert not few.best and not few.searched
+
+
+def test_text_slices():
+    texts = ["x" * 5, None, "", "日" * 4, "y" * 100, "z", None, "é"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["n", "t"])
+    for b in (batch, batch.slice(1, 6), batch.slice(0, 0)):
+        for most in (1, 4, 17, 1000):
+            parts = list(text_slices(b, 1, most))
+            assert [r for p in parts for r in p.to_pylist()] == b.to_pylist() and all(p.num_rows for p in parts)
+            assert all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[:-1]) < most for p in parts)
+    assert [p.num_rows for p in text_slices(batch, 1, 17)] == [4, 1, 3]
+
+
 # --- html -----------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("page, text", [
