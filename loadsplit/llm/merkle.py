@@ -5,15 +5,19 @@ A node is the SHA-256 of its children's digests written as hex; the last node of
 a level goes up alone. The built levels are stored as node rows that link to
 their parent. A stored row climbs ``RISE`` levels at once: it holds the node's
 digest, its siblings on the way, and the link to the node where the way ends. A
-recursive query then starts at every leaf row, appends the siblings, folds the
-presented leaf with them and follows the link, through the group's root to the
-root of the manifest, so a tree over 10^11 leaves takes four steps.
+recursive query then starts where the ways of a block of leaves end, appends the
+siblings and follows the link, through the group's root to the root of the
+manifest, so a tree over 10^11 leaves takes four steps. Every leaf row takes on
+the siblings that its block has found and folds its presented leaf with its own
+and these. So the recursion carries a row for 2**RISE leaves, and leaves are not
+moved step by step.
 
 Texts are hashed where they are read and never moved. Leaves are numbered by
 range parts; blocks of 2**RISE neighbours are grouped, so a task holds one
-block of digests, however large a group is. Rows that many leaves reach stand in
-several copies, one for every ``LANE`` leaves below, and a leaf follows its link
-to its own copy: no key of the climb's joins has more than some LANE rows.
+block of digests, however large a group is. Rows that many blocks reach stand in
+several copies, one for every ``LANE`` blocks of leaves below, and a block follows
+its link to its own copy: no key of the climb's joins has more than some LANE rows,
+and none of the join with the leaves more than 2**RISE.
 
 Defined cases: a null field is written ``-``; a null group is a group, the first;
 null ids come first; rows with one id are ordered by their leaf, so repeated rows
@@ -45,7 +49,7 @@ TOP = -1  # tree number of the tree over the groups' roots
 
 #: a stored node: where it is, its digest, the digests beside the way up (side 0: none, 1: left, 2: right),
 #: the node where the way ends with its digest and how many copies of its own row there are, how many
-#: leaves are below the node and (in the first row of a block) below the end of the way, and below the tree's root
+#: blocks of leaves start below the node and (in the first row of a block) below the end of the way, and how many leaves are below the tree's root
 _NODE = "tree long, level int, pos long, hash binary, siblings array<struct<side: int, hash: binary>>, up_tree long, up_level int, " \
         "up_pos long, up_lanes long, up_hash binary, weight long, up_weight long, n long"
 _SIBLINGS = pa.list_(pa.struct([("side", pa.int32()), ("hash", pa.binary())]))
@@ -157,7 +161,8 @@ def write_manifest(docs: DataFrame, path: str, presented: dict[str, Column] | No
     groups = stage(number_rows(groups, [F.col("_g").asc_nulls_first()], "tree"), "merkle-groups")
     n_groups, most = groups.agg(F.count(F.lit(1)), F.max("n")).first()
     leaves = line.join(groups, F.col("_group").eqNullSafe(F.col("_g"))) \
-        .select("tree", (F.col("line") - F.col("first")).alias("pos"), "hash", F.lit(1).cast("long").alias("weight"), "n", *_LEAF)
+        .select("tree", (F.col("line") - F.col("first")).alias("pos"), "hash", "n", *_LEAF) \
+        .withColumn("weight", (F.col("pos") % 2 ** rise == 0).cast("long"))  # the first of a block counts for it
     build_levels(leaves, most or 0, f"{path}/trees", rise)
     roots = _nodes(spark, f"{path}/trees").where((F.col("up_tree") == TOP) & (F.col("up_weight") > 0))
     build_levels(roots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.col("up_hash").alias("hash"),
@@ -181,25 +186,29 @@ _APPEND = "aggregate({siblings}, {start}, (p, s) -> concat(p, coalesce(s.hash, X
 
 _CLIMB = f"""
 WITH RECURSIVE climb AS (
-  SELECT tree, pos, _id, hash, {_APPEND.format(siblings="siblings", start="X''")} AS proof,
-         {_FOLD.format(siblings="siblings", start="lower(hex(shown))")} AS folded,
+  SELECT up_tree AS tree, up_level AS level, up_pos AS pos, CAST(array() AS array<struct<side: int, hash: binary>>) AS way,
          up_tree, up_level, up_pos, up_lanes, up_hash, IF(up_tree = {TOP}, up_hash, NULL) AS subroot
   FROM {{start}}
   UNION ALL
-  SELECT c.tree, c.pos, c._id, c.hash, {_APPEND.format(siblings="r.siblings", start="c.proof")},
-         {_FOLD.format(siblings="r.siblings", start="c.folded")},
+  SELECT c.tree, c.level, c.pos, concat(c.way, r.siblings),
          r.up_tree, r.up_level, r.up_pos, r.up_lanes, r.up_hash, coalesce(c.subroot, IF(r.up_tree = {TOP}, r.up_hash, NULL))
   FROM climb c JOIN {{nodes}} r
     ON r.tree = c.up_tree AND r.level = c.up_level AND r.pos = c.up_pos
-   AND r.lane = pmod(c.pos div {LANE} + c.tree, c.up_lanes))
-SELECT _id, lower(hex(hash)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(up_hash)) AS root, proof, folded AS folded_root,
-       folded = lower(hex(up_hash)) AS verified
+   AND r.lane = pmod(c.pos + c.tree, c.up_lanes))
+SELECT tree, level, pos, way, lower(hex(subroot)) AS subroot, lower(hex(up_hash)) AS root
 FROM climb WHERE up_tree IS NULL"""
 
+_PROVE = f"""
+SELECT _id, leaf, subroot, root, proof, folded AS folded_root, folded = root AS verified
+FROM (SELECT _id, leaf, subroot, root, {_APPEND.format(siblings="siblings", start="X''")} AS proof,
+             {_FOLD.format(siblings="siblings", start="shown")} AS folded
+      FROM (SELECT l._id, lower(hex(l.hash)) AS leaf, lower(hex(l.shown)) AS shown, concat(l.siblings, w.way) AS siblings, w.subroot, w.root
+            FROM {{leaves}} l JOIN {{ways}} w ON w.tree = l.up_tree AND w.level = l.up_level AND w.pos = l.up_pos))"""
+
 
 @contextlib.contextmanager
 def _unlimited_recursion(spark: SparkSession) -> Iterator[None]:
-    """No limit on the rows of a recursive query: it has some per leaf."""
+    """No limit on the rows of a recursive query: it has some per block of leaves."""
     key = "spark.sql.cteRecursionRowLimit"
     old = spark.conf.get(key, None)
     spark.conf.set(key, "-1")
@@ -209,17 +218,25 @@ def _unlimited_recursion(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
-def prove(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
-    """Climb from every leaf of the manifest at ``path``: id, leaf, subroot, root
-    (hex), proof (the siblings' digests, left to right from the leaf up), folded_root
-    (what the presented leaf gives) and verified."""
+def climb(spark: SparkSession, path: str) -> DataFrame:
+    """Climb from every block of leaves of the manifest at ``path``: the node where the
+    ways of its leaves end (tree, level, pos), the siblings from there to the root
+    (way), subroot and root (hex)."""
     upper = _nodes(spark, f"{path}/trees").where("base > 0").unionByName(_nodes(spark, f"{path}/top"))
-    # a row stands once for each lane of the leaves below it, as its children's link counts them
+    # a row stands once for each lane of the blocks below it, as its children's link counts them
     lanes = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("weight") / LANE) - 1)
     nodes = upper.withColumn("lane", F.explode(lanes)).drop("base", "weight", "up_weight", "n", "hash")
     with _unlimited_recursion(spark):
-        found = spark.sql(_CLIMB, start=spark.read.parquet(f"{path}/trees/base=0"), nodes=nodes)
-        return stage(found, "merkle-proofs").withColumnRenamed("_id", id_col)
+        start = spark.read.parquet(f"{path}/trees/base=0").where("up_weight > 0")
+        return stage(spark.sql(_CLIMB, start=start, nodes=nodes), "merkle-ways")
+
+
+def prove(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
+    """Way of every leaf of the manifest at ``path``: id, leaf, subroot, root
+    (hex), proof (the siblings' digests, left to right from the leaf up), folded_root
+    (what the presented leaf gives) and verified."""
+    leaves = spark.read.parquet(f"{path}/trees/base=0")
+    return spark.sql(_PROVE, leaves=leaves, ways=climb(spark, path)).withColumnRenamed("_id", id_col)
 
 
 def manifest(docs: DataFrame, presented: dict[str, Column] | None = None, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -163,6 +164,18 @@ def test_stored_manifest_has_the_same_root_however_it_is_dealt(spark, scratch):
     assert len(roots) == 1
 
 
+def test_climb_carries_a_row_for_a_block_of_leaves(spark, scratch):
+    rows, path = merkle_rows(90), scratch("blocks")
+    merkle.write_manifest(spark.createDataFrame([r + ("", "", "") for r in rows], MERKLE), path, rise=2)
+    folder = os.path.dirname(path)
+    before = set(os.listdir(folder))
+    found = merkle.prove(spark, path)
+    stored = sum(spark.read.parquet(f"{folder}/{f}").count() for f in set(os.listdir(folder)) - before)
+    of_lang = collections.Counter(r[2] for r in rows)
+    assert stored == sum(-(-n // 4) for n in of_lang.values())
+    assert [found.count(), found.where("verified").count()] == [len(rows)] * 2
+
+
 # --- prefix token counts ----------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
